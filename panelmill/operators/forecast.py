@@ -58,7 +58,7 @@ def release_profile(history: DataFrame, before=None, seq: str | None = None) ->
         F.max("month").alias("as_of_month"),
         F.collect_list("offset_days").alias("_offsets"),  # at most twelve values
     )
-    gaps = F.array_sort(F.transform("_offsets", lambda x: F.abs(x - F.col("median_offset"))))
+    gaps = F.sort_array(F.transform("_offsets", lambda x: F.abs(x - F.col("median_offset"))))
     half = F.size(gaps)
     low = F.element_at(gaps, F.floor((half + 1) / 2).cast("int"))
     high = F.element_at(gaps, F.floor((half + 2) / 2).cast("int"))
@@ -105,12 +105,12 @@ def fallback_profile(profiles: DataFrame) -> DataFrame:
     """
     known = profiles.where((F.col("samples") > 0) & F.col("median_offset").isNotNull())
     counts = known.groupBy("median_offset").agg(F.count("*").alias("n"), F.max("as_of_month").alias("m"))
-    middle = counts.agg(F.percentile("median_offset", 0.5, "n").alias("v")).scalar()
+    middle = counts.agg(F.percentile("median_offset", 0.5, F.col("n")).alias("v")).scalar()
     return (
         counts.select("*", F.abs(F.col("median_offset") - middle).alias("_gap"), middle.alias("_mid"))
         .groupBy("_mid")
         .agg(
-            F.percentile("_gap", 0.5, "n").alias("mad_days"),
+            F.percentile("_gap", 0.5, F.col("n")).alias("mad_days"),
             F.max("m").alias("as_of_month"),
             F.sum("n").alias("entities"),
         )
