@@ -50,10 +50,10 @@ MARKET_PRIORITY = {"sii": 1, "otc": 2, "rotc": 3, "pub": 4}
 def choose(c, mapping: dict, default=None) -> Column:
     """Look a code up in a small literal mapping, as one CASE expression."""
     c = _col(c)
-    out = F.lit(default) if not isinstance(default, Column) else default
+    out = None
     for key, value in mapping.items():
-        out = F.when(c == key, F.lit(value)).otherwise(out)
-    return out
+        out = F.when(c == key, F.lit(value)) if out is None else out.when(c == key, F.lit(value))
+    return out if default is None else out.otherwise(default)
 
 
 def basis_priority(c) -> Column:

@@ -60,13 +60,8 @@ def parse_month(c) -> Column:
 
 def month_from_name(name, year) -> Column:
     """English month name (any case, padded) and a year to a month."""
-    names = F.array(*[F.lit(m) for m in MONTH_NAMES])
-    position = F.array_position(names, F.lower(F.trim(_col(name))))
-    year = _col(year).try_cast("int")
-    return F.when(
-        (position > 0) & year.between(1, 9999),
-        F.make_date(year, position.cast("int"), F.lit(1)),
-    )
+    text = F.concat_ws(" ", F.initcap(F.trim(_col(name))), _col(year).cast("string"))
+    return F.try_to_date(text, "MMMM yyyy")
 
 
 def add_month(c, n) -> Column:
@@ -131,11 +126,8 @@ def gregorian_year(year) -> Column:
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
-    text = F.format_string("%04d-%02d-%02d", year, month, day)
-    return F.when(
-        year.isNotNull() & month.isNotNull() & day.isNotNull(),
-        F.try_to_date(text, "yyyy-MM-dd"),
-    )
+    # A null part prints as "null" and so fails to parse, as an impossible date does.
+    return F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
 
 
 def roc_month(c) -> Column:
@@ -166,13 +158,19 @@ def feed_date(c, default) -> Column:
     return F.when(c.rlike(pattern), parsed).otherwise(_col(default))
 
 
+# What padding an empty time leaves, so that it can become null again.
+_NO_TIME = ":00:00:0"
+
+
+def _full_time(c: Column) -> Column:
+    """``HH:mm`` or ``HH:mm:ss`` to the latter; empty text to null."""
+    return F.nullif(F.rpad(c, 8, ":00"), F.lit(_NO_TIME))
+
+
 def clock_text(c) -> Column:
     """First clock time in a text as ``HH:mm:ss``; seconds default to 00."""
-    c = _col(c)
-    pattern = r"(\d{1,2}):(\d{2})(?::(\d{2}))?"
-    part = lambda i: F.regexp_extract(c, pattern, i)
-    seconds = F.when(part(3) == "", F.lit("00")).otherwise(part(3))
-    return F.when(c.rlike(pattern), F.concat_ws(":", F.lpad(part(1), 2, "0"), part(2), seconds))
+    found = F.regexp_extract(_col(c), r"\d{1,2}:\d{2}(?::\d{2})?", 0)
+    return _full_time(F.regexp_replace(found, r"^(\d):", "0$1:"))
 
 
 def time_to_minute(c) -> Column:
@@ -194,18 +192,14 @@ def minute_to_time(c) -> Column:
 
 def iso_date(c) -> Column:
     """Leading ``y-m-d`` or ``y/m/d`` of a text, re-checked as a real date."""
-    c = F.trim(_col(c))
-    pattern = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
-    part = lambda i: F.regexp_extract(c, pattern, i).try_cast("int")
-    return _date(part(1), part(2), part(3))
+    found = F.regexp_extract(F.trim(_col(c)), r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}", 0)
+    return F.try_to_date(F.translate(found, "/", "-"), "yyyy-M-d")
 
 
 def us_date(c) -> Column:
     """Leading ``m/d/yyyy`` of a text, re-checked as a real date."""
-    c = F.trim(_col(c))
-    pattern = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
-    part = lambda i: F.regexp_extract(c, pattern, i).try_cast("int")
-    return _date(part(3), part(1), part(2))
+    found = F.regexp_extract(F.trim(_col(c)), r"^\d{1,2}/\d{1,2}/\d{4}", 0)
+    return F.try_to_date(found, "M/d/yyyy")
 
 
 def compact_date(c) -> Column:
@@ -216,11 +210,7 @@ def compact_date(c) -> Column:
 
 def suffix_time(c) -> Column:
     """Clock part behind a ``T`` or a space, as ``HH:mm:ss``."""
-    c = _col(c)
-    pattern = r"[T\s](\d{2}):(\d{2})(?::(\d{2}))?"
-    part = lambda i: F.regexp_extract(c, pattern, i)
-    seconds = F.when(part(3) == "", F.lit("00")).otherwise(part(3))
-    return F.when(c.rlike(pattern), F.concat_ws(":", part(1), part(2), seconds))
+    return _full_time(F.regexp_extract(_col(c), r"[T\s](\d{2}:\d{2}(?::\d{2})?)", 1))
 
 
 def plausible_month(year, month) -> Column:

@@ -90,28 +90,26 @@ def bad_percent(c) -> Column:
 
 
 def _scale(unit: Column, default) -> Column:
-    scale = F.lit(default).cast("double")
-    for name, value in AMOUNT_UNITS.items():
-        scale = F.when(unit == name, F.lit(float(value))).otherwise(scale)
-    return scale
+    known = F.create_map(*[F.lit(x) for name, value in AMOUNT_UNITS.items() for x in (name, float(value))])
+    scale = F.try_element_at(known, unit)
+    return scale if default is None else F.coalesce(scale, F.lit(float(default)))
 
 
-def unit_amount(text, unit, default_scale=None) -> Column:
-    """Amount text with a unit word to ``struct(value, tolerance)``.
+def unit_amount(text, unit, default_scale=None) -> dict[str, Column]:
+    """Amount text with a unit word to ``value`` and ``tolerance``.
 
-    The tolerance is half a unit in the last printed place, plus one.
+    The tolerance is half a unit in the last printed place, plus one. Both are
+    null for a bad number, an unknown unit or an amount that is too large.
     """
     digits = F.regexp_replace(_col(text), ",", "")
     scale = _scale(_col(unit), default_scale)
     places = F.length(F.regexp_extract(digits, r"\.(.*)$", 1))
-    value = js_round(digits.try_cast("double") * scale)
-    tolerance = F.greatest(
-        F.lit(1.0), F.ceil(0.5 * scale * F.pow(F.lit(10.0), -places)) + 1
-    )
-    safe = F.abs(value) <= MAX_SAFE_INTEGER
-    return F.when(
-        safe, F.struct(value.cast("long").alias("value"), tolerance.cast("long").alias("tolerance"))
-    )
+    value = F.floor(digits.try_cast("double") * scale + 0.5)
+    half = F.ceil(0.5 * scale * F.pow(F.lit(10.0), -places)) + 1
+    return {
+        "value": F.when(F.abs(value) <= MAX_SAFE_INTEGER, value).cast("long"),
+        "tolerance": F.greatest(F.lit(1), half).cast("long"),
+    }
 
 
 def millions(c) -> Column:

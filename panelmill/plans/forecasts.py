@@ -406,7 +406,7 @@ def schedule_histogram(s):
     return freshness.schedule_histogram(fresh(s))
 
 
-@query("freshness_screen", "SELECT ticker, release_status FROM fresh WHERE unusual AND lower(classification) LIKE '%nation_1%'")
+@query("freshness_screen", "SELECT ticker, release_status FROM fresh WHERE unusual AND contains(lower(classification), 'nation_1')")
 def freshness_screen(s):
     rows = screens.screen_status(fresh(s), "unusual").where(screens.matches("Nation_1", "ticker", ["name", "classification"]))
     return rows.select("ticker", "release_status")

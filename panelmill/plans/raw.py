@@ -1 +1,349 @@
-"""Queries."""
+"""Queries: raw texts made from whole tables, read back by the source parsers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..sources import archive, feeds, pages, reference
+from ..operators.quality import split_rejects
+from .registry import query
+from .star import CTES, day, jr, sql_day, sql_stamp, sql_ym, stamp, ym
+
+_NAV = r'<li><a href="([^"]*)">([^<]*)</a></li>'
+
+
+def _roc(c, sep="/"):
+    return F.concat((F.year(c) - 1911).cast("string"), F.lit(sep), F.month(c).cast("string"))
+
+
+# --- archive ---------------------------------------------------------------
+
+
+def raw_archive(s):
+    """Panel facts as archive cells: years from 1911, thousands, null tokens."""
+    f = s.facts
+    money = lambda c: F.format_number(F.col(c), 0)
+    token = F.when(F.col("entity") % 2 == 0, "-").otherwise("--")
+    percent = lambda c: F.coalesce(F.col(c).cast("decimal(20,4)").cast("string"), token)
+    cells = {
+        "report_date": F.concat(_roc(F.col("month")), F.lit("/01")),
+        "month": _roc(F.col("month")),
+        "ticker": F.col("entity").cast("string"),
+        "company_name": F.lit("n"),
+        "industry": F.lit("i"),
+        "revenue": F.when(F.col("entity") % 10 == 9, "n/a").otherwise(money("revenue")),
+        "previous_revenue": token,
+        "prior_year_revenue": F.lit(""),
+        "mom": percent("mom"),
+        "yoy": F.concat(percent("yoy"), F.when(F.col("yoy").isNotNull(), "%").otherwise("")),
+        "ytd": money("ytd"),
+        "prior_year_ytd": F.lit("-"),
+        "ytd_yoy": percent("ytd_yoy"),
+        "note": F.when(F.col("entity") % 4 == 0, "更正").when(F.col("entity") % 4 == 1, "-").otherwise("ok"),
+    }
+    return f.select(*[v.alias(k) for k, v in cells.items()])
+
+
+@query(
+    "archive_rows",
+    f"""SELECT CAST(entity AS VARCHAR) AS ticker, {sql_ym('month')} AS month, {sql_day('month')} AS source_report_date,
+      revenue * 1000 AS revenue, ytd * 1000 AS ytd, mom, yoy, ytd_yoy,
+      CASE entity % 4 WHEN 0 THEN '更正' WHEN 1 THEN NULL ELSE 'ok' END AS note, entity % 4 = 0 AS corrected FROM facts WHERE entity % 10 <> 9""",
+)
+def archive_rows(s):
+    good, _ = split_rejects(archive.type_archive(raw_archive(s), "sii"), archive.unreadable("rejects"))
+    return good.select(
+        "ticker", ym("month"), day("source_report_date"), "revenue", "ytd", "mom", "yoy", "ytd_yoy", "note", "corrected"
+    )
+
+
+@query(
+    "archive_rejects",
+    f"SELECT CAST(entity AS VARCHAR) AS ticker, {sql_ym('month')} AS month, 'revenue' AS rejects FROM facts WHERE entity % 10 = 9",
+)
+def archive_rejects(s):
+    _, bad = split_rejects(archive.type_archive(raw_archive(s), "sii"), archive.unreadable("rejects"))
+    return bad.select("ticker", ym("month"), F.array_join("rejects", ",").alias("rejects"))
+
+
+# --- feeds -----------------------------------------------------------------
+
+
+def raw_feed(s):
+    """One feed payload per local day of events; kinds give the subject line."""
+    r = s.records
+    day_text = F.concat(_roc(F.col("published_date")), F.lit("/"), F.dayofmonth("published_date").cast("string"))
+    subject = (
+        F.when(F.col("kind") == "view", F.lit("公告本公司112年12月營收"))
+        .when(F.col("kind") == "click", F.lit("Monthly revenue notice"))
+        .when(F.col("kind") == "purchase", F.lit("更正本公司112年12月營收"))
+        .otherwise(F.lit("112年第2季財務報告"))
+    )
+    item = F.struct(
+        F.col("entity").cast("string").alias("companyId"),
+        F.concat(day_text, F.lit(" "), "published_time").alias("time"),
+        subject.alias("subject"),
+        F.when(F.col("kind") == "view", F.lit("/v")).alias("url"),
+    )
+    # Pages of one user's day keep a payload small.
+    return r.groupBy("published_date", "entity").agg(F.collect_list(item).alias("data")).select(
+        F.lit(200).alias("code"),
+        F.concat(_roc(F.col("published_date")), F.lit("/"), F.dayofmonth("published_date").cast("string"), F.lit(" 23:59:59")).alias("datetime"),
+        F.struct("data").alias("result"),
+    )
+
+
+@query(
+    "current_feed",
+    f"""SELECT CAST(entity AS VARCHAR) AS ticker, CASE kind WHEN 'view' THEN '2023-12' ELSE '2024-01' END AS month,
+      {sql_stamp('min(published_at)')} AS reported_at FROM records WHERE kind IN ('view', 'click') GROUP BY 1, 2""",
+)
+def current_feed(s):
+    payload = "code int, datetime string, result struct<data: array<struct<companyId: string, time: string, subject: string, url: string>>>"
+    parsed = raw_feed(s).select(F.from_json(F.to_json(F.struct("*")), payload).alias("p")).select("p.*")
+    return feeds.feed_records(parsed, "2024-01-01", "2024-02-01 00:00:00").select("ticker", ym("month"), stamp("reported_at"))
+
+
+CTES["art"] = """
+    SELECT f.entity, f.month, f.revenue, f.mom, f.yoy FROM facts f WHERE mom IS NOT NULL"""
+
+
+def raw_articles(s):
+    """Each fact with a MoM as an escaped article text with rounded figures."""
+    f = s.facts.where("mom IS NOT NULL")
+    code = F.lpad(F.col("entity").cast("string"), 4, "0")
+    amount = F.format_number((F.col("revenue") / 10000).cast("decimal(20,4)"), 4)
+    percent = lambda c: F.format_string("%.2f", F.col(c))
+    text = F.concat(
+        F.lit("&lt;p&gt;某公司("), code, F.lit("-TW)今天"),
+        F.when(F.col("entity") % 9 == 8, "更正").otherwise(""),
+        F.lit("公告"), F.year("month").cast("string"), F.lit("年"), F.month("month").cast("string"),
+        F.lit("月營收為新台幣"), amount, F.lit("萬元，"),
+        F.when(F.col("yoy").isNull(), "").otherwise(F.concat(F.lit("年增率"), percent("yoy"), F.lit("%，"))),
+        F.lit("月增率高達"), percent("mom"), F.lit("%。&lt;/p&gt;"),
+    )
+    return f.select(
+        (F.col("entity") * 100000 + F.col("idx")).alias("newsId"),
+        F.unix_seconds(F.col("month").cast("timestamp")).alias("publishAt"),
+        F.lit("<mark>a</mark> &amp; b").alias("title"),
+        text.alias("content"),
+        F.array(F.struct(code.alias("code"), F.lit("x").alias("name"))).alias("market"),
+    )
+
+
+@query(
+    "article_records",
+    f"""SELECT lpad(CAST(entity AS VARCHAR), 4, '0') AS ticker, CAST(entity * 100000 + year(month)*12+month(month)-1 AS VARCHAR) AS record_id, {sql_ym('month')} AS month,
+      revenue, 2 AS tolerance, 'a & b' AS source_title,
+      {sql_stamp('month')} AS published_at, '08:00:00' AS published_time,
+      abs(mom) >= 0 AS has_mom, yoy IS NOT NULL AS has_yoy FROM art WHERE entity % 9 <> 8 AND year(month) >= 2000""",
+)
+def article_records(s):
+    rows = feeds.article_records(raw_articles(s))
+    return rows.select(
+        "ticker", "record_id", ym("month"), "revenue", "tolerance", "source_title",
+        stamp("published_at"), "published_time", F.col("mom").isNotNull().alias("has_mom"),
+        F.col("yoy").isNotNull().alias("has_yoy"),
+    )
+
+
+def raw_releases(s):
+    """Orders as press releases with increase or decrease wording."""
+    d = F.col("o_orderdate").cast("date")
+    name = F.date_format(d, "MMMM")
+    up = F.col("o_orderstatus") != "F"
+    word, article = F.when(up, "increase").otherwise("decrease"), F.when(up, "an").otherwise("a")
+    pct = (F.col("o_orderkey") % 100).cast("string")
+    million = F.format_number("o_totalprice", 3)
+    body = F.concat(
+        F.lit("<p>X (TWSE: 5274) today&nbsp;announced. The revenue for "), name, F.lit(" was NT$ "), million,
+        F.lit(" million, "), article, F.lit(" "), word, F.lit(" of "), pct, F.lit("% from then and "), article,
+        F.lit(" "), word, F.lit(" of "), pct, F.lit(".5% compared to then.<br/>The total revenue for "),
+        F.date_format(d, "yyyy"), F.when(F.col("o_orderkey") % 2 == 0, " year-to-date").otherwise(""),
+        F.lit(" reached NT$"), million, F.lit(" million, marking a "), pct, F.lit("% "), word, F.lit(" now.</p>"),
+    )
+    return s.table("orders").select(
+        F.lit(True).alias("success"),
+        F.struct(
+            F.col("o_orderkey").cast("string").alias("_id"),
+            F.concat(F.lit("ASPEED Reports "), name, F.lit(" "), F.date_format(d, "yyyy"), F.lit(" Revenue")).alias("name"),
+            F.when(F.col("o_orderpriority") == "5-LOW", 2).otherwise(3).alias("type"),
+            F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T05:25:22.368Z")).alias("postTime"),
+            body.alias("content"),
+        ).alias("data"),
+    )
+
+
+@query(
+    "release_records",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS record_id, {sql_ym('o_orderdate')} AS month,
+      CAST(round(o_totalprice*100) AS BIGINT) * 10000 AS revenue, CAST(round(o_totalprice*100) AS BIGINT) * 10000 AS ytd,
+      CASE WHEN o_orderstatus = 'F' THEN -1.0 ELSE 1.0 END * (o_orderkey % 100) AS mom,
+      CASE WHEN o_orderstatus = 'F' THEN -1.0 ELSE 1.0 END * (o_orderkey % 100 + 0.5) AS yoy,
+      strftime(o_orderdate, '%Y-%m-%d') || ' 13:25:22' AS published_local,
+      CASE WHEN o_orderpriority = '5-LOW' THEN 'type' ELSE '' END AS rejects FROM orders""",
+)
+def release_records(s):
+    rows = feeds.release_records(raw_releases(s))
+    return rows.select(
+        "record_id", ym("month"), "revenue", "ytd", F.col("mom") + 0.0, F.col("yoy"),
+        F.concat_ws(" ", F.date_format("published_date", "yyyy-MM-dd"), "published_time").alias("published_local"),
+        F.array_join("rejects", ",").alias("rejects"),
+    ).withColumnRenamed("(mom + 0.0)", "mom")
+
+
+@query(
+    "daily_rates",
+    f"""SELECT {sql_day('date')} AS date, rate FROM (SELECT CAST(o_orderdate AS DATE) AS date,
+        arg_max(o_orderkey, o_orderkey) AS k, {jr("arg_max(o_totalprice, o_orderkey) / 5000")} AS rate FROM orders
+        WHERE {jr("o_totalprice / 5000")} BETWEEN 10 AND 100 GROUP BY 1)""",
+)
+def daily_rates(s):
+    """Orders as a rate series with repeated dates, bad dates and wild rates."""
+    d = F.col("o_orderdate").cast("date")
+    rate = F.format_string("%.2f", F.floor(F.col("o_totalprice") / 5000 * 100 + 0.5) / 100)
+    entry = F.struct("o_orderkey", F.array(F.date_format(d, "yyyyMMdd"), rate).alias("r"))
+    # One payload per day keeps every payload small.
+    daily = s.table("orders").groupBy(d.alias("d")).agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    bad = F.array(F.array(F.lit("invalid"), F.lit("32")), F.array(F.lit("20260231"), F.lit("32")), F.array(F.lit("20260703"), F.lit("-")))
+    payloads = daily.select(
+        F.struct(F.lit("2026-08-01").alias("last_updated")).alias("meta"),
+        F.struct(F.concat(F.transform("e", lambda x: x["r"]), bad).alias("dataSets")).alias("data"),
+    )
+    return feeds.daily_rates(payloads).select(day("date"), "rate")
+
+
+# --- pages -----------------------------------------------------------------
+
+
+@query(
+    "page_links",
+    rf"""SELECT page_id, CAST(pos - 1 AS INTEGER) AS pos, hrefs[pos] AS href, titles[pos] AS title FROM (
+      SELECT page_id, regexp_extract_all(html, '{_NAV}', 1) AS hrefs, regexp_extract_all(html, '{_NAV}', 2) AS titles,
+        unnest(generate_series(1, len(regexp_extract_all(html, '{_NAV}', 0)))) AS pos FROM pages)""",
+)
+def page_links(s):
+    rows = pages.extract_all(s.table("pages").select("page_id", "html"), "html", _NAV, {"href": 1, "title": 2})
+    return rows.select("page_id", "pos", "href", "title")
+
+
+def raw_listing(s):
+    """Facts as rows of result pages, one page per supplier's year."""
+    f = s.facts
+    at = F.add_months("month", 1)
+    amount = F.format_string("%.2f", F.col("revenue") / 100000000)
+    percent = F.format_string("%.2f", F.abs("yoy"))
+    title = F.concat(
+        F.lit("公司"), F.col("entity").cast("string"), F.lit(" "), (F.year("month") - 1911).cast("string"), F.lit("年"),
+        F.month("month").cast("string"), F.lit("月營收"), amount, F.lit("億"),
+        F.when(F.col("yoy").isNull(), "").otherwise(
+            F.concat(F.when(F.col("yoy") < 0, "、年減").otherwise("、年增"), percent, F.lit("%"))
+        ),
+    )
+    row = F.concat(
+        F.lit('<tr bgcolor="White"><td><a href="../news/newsviewer.aspx?a='),
+        F.lower(F.hex("entity")), F.lit("-"), F.col("idx").cast("string"), F.lit('">'), title,
+        F.lit('</a></td><td align="center">'), F.date_format(at, "yyyy-MM-dd"), F.lit("   15:39:04</td></tr>"),
+    )
+    return (
+        f.groupBy("entity", F.year("month").alias("y"))
+        .agg(F.array_join(F.collect_list(row), "\n").alias("rows"))
+        .select("entity", "y", F.concat("rows", F.lit('<a href="?index1='), F.col("y").cast("string"), F.lit('&amp;x=1">2</a>')).alias("html"))
+    )
+
+
+@query(
+    "listing_records",
+    f"""SELECT '公司' || CAST(entity AS VARCHAR) AS company_name, {sql_ym('month')} AS month,
+      {sql_stamp("month + INTERVAL 1 MONTH + INTERVAL 459 MINUTE + INTERVAL 4 SECOND")} AS published_at,
+      lower(to_hex(entity)) || '-' || CAST(idx AS VARCHAR) AS record_id, 500001 AS tolerance, yoy IS NOT NULL AS has_yoy, yoy < 0 AS fell FROM facts WHERE year(month) >= 2000""",
+)
+def listing_records(s):
+    rows = pages.listing_records(raw_listing(s))
+    return rows.select(
+        "company_name", ym("month"), stamp("published_at"), "record_id", "tolerance",
+        F.col("yoy").isNotNull().alias("has_yoy"), (F.col("yoy") < 0).alias("fell"),
+    )
+
+
+@query("listing_last_page", "SELECT DISTINCT entity, CAST(year(month) AS INTEGER) AS y, CAST(year(month) AS INTEGER) AS last_page FROM facts")
+def listing_last_page(s):
+    return pages.last_page(raw_listing(s))
+
+
+def raw_calendars(s):
+    """One calendar page per supplier and year, in one of the four layouts."""
+    f = s.facts.where("month IS NOT NULL")
+    name, year = F.date_format("month", "MMMM"), F.date_format("month", "yyyy")
+    date = F.date_add(F.last_day("month"), (F.col("entity") % 40).cast("int"))
+    us = F.concat_ws("/", F.month(date).cast("string"), F.dayofmonth(date).cast("string"), F.year(date).cast("string"))
+    quoted = lambda *c: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in c])
+    texts = {
+        0: quoted('<var class="atc_date_start">', F.date_format(date, "yyyy-MM-dd"), ' 13:30:00</var>\n<var class="atc_title">TSMC Monthly Sales - ', name, " ", year, "</var>"),
+        1: quoted('<div class="x events_calendar_item" data-title="Monthly Sales - ', name, " ", year, '" data-start-date="', F.date_format(date, "yyyy-MM-dd"), 'T17:00:00"></div>'),
+        2: quoted("<strong>", name, " ", year, ', Monthly Sales Announcement</strong> <div class="date">', us, "*</div>"),
+        3: quoted('"Hon Hai&#8217;s Unaudited Consolidated ', name, " ", year, ' Revenue","', F.date_format(date, "yyyy/MM/dd"), '"'),
+    }
+    kind = F.col("entity") % 4
+    entry = F.lit(None).cast("string")
+    for k, v in texts.items():
+        entry = F.when(kind == k, v).otherwise(entry)
+    parser = F.element_at(F.array(*[F.lit(x) for x in ("tsmc", "mediatek", "umc", "honhai")]), (kind + 1).cast("int"))
+    return f.groupBy("entity", F.year("month").alias("y"), parser.alias("parser_name")).agg(
+        F.array_join(F.collect_list(entry), "\n").alias("html")
+    )
+
+
+@query(
+    "calendar_events",
+    f"""SELECT entity, {sql_ym('month')} AS month, {sql_day('CAST(last_day(month) AS DATE) + CAST(entity % 40 AS INTEGER)')} AS announced_date,
+      CASE entity % 4 WHEN 0 THEN '13:30:00' WHEN 1 THEN '17:00:00' END AS announced_time,
+      CASE entity % 4 WHEN 0 THEN 'TSMC Monthly Sales - ' || strftime(month, '%B %Y') WHEN 1 THEN 'Monthly Sales - ' || strftime(month, '%B %Y')
+        WHEN 2 THEN strftime(month, '%B %Y') || ', Monthly Sales Announcement'
+        ELSE 'Hon Hai''s Unaudited Consolidated ' || strftime(month, '%B %Y') || ' Revenue' END AS title
+    FROM facts WHERE entity % 40 <= 31""",
+)
+def calendar_events(s):
+    rows = pages.calendar_records(raw_calendars(s))
+    return rows.select("entity", ym("month"), day("announced_date"), "announced_time", "title")
+
+
+@query("empty_calendars", "SELECT DISTINCT entity, CAST(year(month) AS INTEGER) AS y FROM facts WHERE entity % 40 > 31")
+def empty_calendars(s):
+    raw = raw_calendars(s)
+    return pages.empty_calendars(raw, pages.calendar_records(raw), ["entity", "y"]).select("entity", "y")
+
+
+# --- reference inputs ------------------------------------------------------
+
+
+@query(
+    "holiday_rows",
+    f"SELECT DISTINCT {sql_day('o_orderdate')} AS holiday FROM orders WHERE o_orderstatus <> 'P'",
+)
+def holiday_rows(s):
+    d = F.col("o_orderdate").cast("date")
+    compact = F.concat(F.lpad((F.year(d) - 1911).cast("string"), 3, "0"), F.date_format(d, "MMdd"))
+    rows = s.table("orders").select(
+        F.when(F.col("o_orderstatus") == "F", "放假").otherwise("x").alias("Name"),
+        F.when(F.col("o_orderkey") < 0, "bad").otherwise(compact).alias("Date"),
+        F.when(F.col("o_orderstatus") == "O", "10月9日補假。").alias("Description"),
+    )
+    return reference.holidays(rows).select(day("holiday"))
+
+
+@query(
+    "source_registry_rows",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS ticker, CASE WHEN s_suppkey % 2 = 0 THEN 'u' || CAST(s_suppkey AS VARCHAR) || '|f'
+      ELSE 'u' || CAST(s_suppkey AS VARCHAR) END AS urls, s_suppkey % 2 = 0 AS fallback_on_denied FROM supplier WHERE s_acctbal > 0""",
+)
+def source_registry_rows(s):
+    url = F.concat(F.lit("u"), F.col("s_suppkey").cast("string"))
+    even = F.col("s_suppkey") % 2 == 0
+    rows = s.table("supplier").select(
+        F.col("s_suppkey").cast("string").alias("ticker"), F.lit("calendar").alias("sourceType"), url.alias("sourceUrl"),
+        F.when(even, F.array(F.lit("f"), url)).alias("fallbackUrls"),
+        F.when(even, True).alias("historicalFallbackOnAccessDenied"), F.lit("umc").alias("parserName"),
+        F.lit(1).alias("priority"), (F.col("s_acctbal") > 0).alias("enabled"),
+    )
+    return reference.registry_rows(rows).select("ticker", F.array_join("urls", "|").alias("urls"), "fallback_on_denied")

@@ -1 +1,172 @@
-"""Queries."""
+"""Queries: incremental reads and streaming jobs over the events table."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions.text import row_hash
+from ..operators import maintain, pick
+from ..operators.pick import ensure_checkpoint_dir
+from ..streaming import jobs
+from .registry import query
+from .star import CTES, day, sql_day, sql_stamp, stamp
+
+# Stored: the records before this instant; now is a few days later.
+STORED_UNTIL = "2024-01-25 00:00:00"
+POLL_NOW = "2024-01-29 00:00:00"
+
+
+def job_folder(s) -> str:
+    """New folder for one run, inside the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(s.spark)}/panelmill/{uuid.uuid4()}"
+
+
+def event_stream(s):
+    return jobs.read_stream(s.spark, s.path("events"))
+
+
+@query(
+    "high_water_mark",
+    f"""SELECT {sql_stamp(f"greatest(max(published_at) - INTERVAL 2 MINUTE, TIMESTAMP '{POLL_NOW}' - INTERVAL 7 DAY)")} AS start FROM records
+    WHERE kind = 'view' AND published_at < TIMESTAMP '{STORED_UNTIL}'""",
+)
+def high_water_mark(s):
+    stored = s.records.where(F.col("published_at") < STORED_UNTIL).withColumn("basis", F.col("kind"))
+    start = jobs.high_water(stored, POLL_NOW, basis="view")
+    return s.records.agg(F.count("*")).select(start.alias("start")).withColumn("start", stamp("start"))
+
+
+@query(
+    "incremental_slice",
+    f"""SELECT record_id FROM records WHERE published_at >= (SELECT greatest(max(published_at) - INTERVAL 2 MINUTE,
+      TIMESTAMP '{POLL_NOW}' - INTERVAL 7 DAY) FROM records WHERE published_at < TIMESTAMP '{STORED_UNTIL}')""",
+)
+def incremental_slice(s):
+    stored = s.records.where(F.col("published_at") < STORED_UNTIL)
+    return jobs.incremental_slice(s.records, stored, POLL_NOW).select("record_id")
+
+
+@query("deduped_records", "SELECT event_id, count(*) AS copies FROM events GROUP BY 1")
+def deduped_records(s):
+    """Each record delivered three times, kept once."""
+    again = s.records.select("record_id", "published_at", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("n"))
+    late = again.withColumn("published_at", F.col("published_at") + F.make_dt_interval(hours=F.col("n")))
+    kept = jobs.dedupe(late, ["record_id"], "published_at", "n")
+    return kept.groupBy(F.col("record_id").alias("event_id")).agg(F.count("*").alias("copies"))
+
+
+@query("deduped_stream", "SELECT event_id, user_id, event_type FROM events")
+def deduped_stream(s):
+    """The stream with every record delivered three times, de-duplicated."""
+    stream = event_stream(s).withColumn("ts", F.col("ts").cast("timestamp"))
+    again = stream.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("copy")
+    return jobs.dedupe_job(again, ["event_id"], "ts", job_folder(s)).select("event_id", "user_id", "event_type")
+
+
+@query("first_seen", f"SELECT user_id, event_type, {sql_stamp('min(ts)')} AS first_seen FROM events GROUP BY 1, 2")
+def first_seen(s):
+    rows = s.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return jobs.first_seen_state(rows, ["user_id", "event_type"], "ts").withColumn("first_seen", stamp("first_seen"))
+
+
+@query("first_seen_stream", f"SELECT user_id, event_type, {sql_stamp('min(ts)')} AS first_seen FROM events GROUP BY 1, 2")
+def first_seen_stream(s):
+    stream = event_stream(s).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = jobs.first_seen_job(stream, ["user_id", "event_type"], "ts", job_folder(s))
+    return rows.withColumn("first_seen", stamp("first_seen"))
+
+
+@query(
+    "versioned_stream",
+    """SELECT user_id, event_type, 1 AS version, arg_max(CAST(round(value*100) AS BIGINT), event_id) AS revenue, TRUE AS is_current
+    FROM events GROUP BY 1, 2""",
+)
+def versioned_stream(s):
+    """Versioned facts fed by the event stream; the folder comes in one batch."""
+    keys = ["user_id", "event_type"]
+
+    def prepare(batch):
+        money = F.round(F.col("value") * 100).cast("long")
+        last = pick.last_wins(batch, keys, "event_id").withColumn("revenue", money)
+        return last.select(*keys, "revenue", row_hash("event_id", "revenue").alias("row_hash"))
+
+    empty = s.spark.createDataFrame(
+        [], "user_id bigint, event_type string, version int, revenue bigint, row_hash string, is_current boolean"
+    )
+    table = jobs.stream_apply(event_stream(s), empty, prepare, keys, "row_hash", ["revenue"], job_folder(s))
+    return table.drop("row_hash")
+
+
+@query(
+    "late_months",
+    f"""SELECT entity, {sql_day('day')} AS day, count(*) AS on_time, count(*) FILTER (WHERE kind = 'error') AS late FROM records GROUP BY 1, 2""",
+)
+def late_months(s):
+    """Records that arrive days after their own day still count under that day."""
+    arrival = F.when(F.col("kind") == "error", F.date_add("day", 3)).otherwise(F.col("day"))
+    rows = s.records.withColumn("arrived", arrival)
+    return rows.groupBy("entity", day("day")).agg(
+        F.count("*").alias("on_time"), F.count_if(F.col("arrived") > F.col("day")).alias("late")
+    )
+
+
+CTES["fetches"] = """
+    SELECT user_id AS source, event_type = 'view' AS ok,
+      CASE event_type WHEN 'error' THEN 403 WHEN 'click' THEN 401 WHEN 'view' THEN 200 ELSE 503 END AS status,
+      event_type IN ('purchase', 'signup') AS transient, user_id % 2 = 0 AS fallback_on_denied,
+      CAST(date_trunc('hour', ts) AS VARCHAR) AS poll FROM events"""
+
+
+def fetches(s):
+    """Every event as a fetch attempt of its user within an hour's poll."""
+    kind = F.col("event_type")
+    status = F.when(kind == "error", 403).when(kind == "click", 401).when(kind == "view", 200).otherwise(503)
+    hour = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH")
+    return s.table("events").select(
+        F.concat_ws("@", F.col("user_id").cast("string"), hour).alias("source"),
+        (kind == "view").alias("ok"),
+        status.alias("status"),
+        kind.isin("purchase", "signup").alias("transient"),
+        (F.col("user_id") % 2 == 0).alias("fallback_on_denied"),
+    )
+
+
+@query(
+    "poll_outcomes",
+    """SELECT CAST(source AS VARCHAR) || '@' || substr(poll, 1, 13) AS source, count(*) AS attempts,
+      CASE WHEN bool_or(ok) THEN 'ok' WHEN bool_and(status IN (401, 403) AND fallback_on_denied) THEN 'unavailable'
+        WHEN bool_and(transient) THEN 'deferred' ELSE 'error' END AS outcome FROM fetches GROUP BY 1""",
+)
+def poll_outcomes(s):
+    return jobs.poll_outcome(fetches(s))
+
+
+@query(
+    "poll_gate",
+    """SELECT count(DISTINCT (source, poll)) AS sources, CASE WHEN bool_or(ok) THEN 'ok' ELSE 'other' END AS decision FROM fetches""",
+)
+def poll_gate(s):
+    return jobs.gate_outcome(jobs.poll_outcome(fetches(s)))
+
+
+@query(
+    "source_health",
+    f"""SELECT user_id AS source, {sql_stamp('max(ts)')} AS last_attempt_at, {sql_stamp("max(ts) FILTER (WHERE event_type = 'view')")} AS last_success_at,
+      CASE WHEN arg_max(event_type, (ts, event_id)) <> 'view' THEN arg_max(event_type, (ts, event_id)) END AS standing_error FROM events GROUP BY 1""",
+)
+def source_health(s):
+    attempts = s.table("events").select(
+        F.col("user_id").alias("source"), F.col("ts").alias("at"), (F.col("event_type") == "view").alias("ok"),
+        F.col("event_type").alias("message"), F.col("event_id").alias("attempt_id"),
+    )
+    rows = jobs.source_health(attempts)
+    return rows.withColumns({"last_attempt_at": stamp("last_attempt_at"), "last_success_at": stamp("last_success_at")})
+
+
+@query("source_files_first_seen", f"SELECT entity, {sql_stamp('min(published_at)')} AS first_seen FROM records GROUP BY 1")
+def source_files_first_seen(s):
+    seen = jobs.first_seen_state(s.records, ["entity"], "published_at")
+    dates = maintain.first_seen_dates(seen.withColumn("month", F.lit("2024-01-01").cast("date")), POLL_NOW)
+    return dates.select("entity", stamp("reported_at")).withColumnRenamed("reported_at", "first_seen")

@@ -146,6 +146,7 @@ def article_records(articles: DataFrame) -> DataFrame:
         ~is_correction("_text", CORRECTION_ARTICLE) & F.col("_text").rlike(DISCLOSURE)
     )
     part = lambda i: F.regexp_extract("_text", DISCLOSURE, i)
+    amount = unit_amount(part(3), part(4))
     codes = F.transform(F.coalesce("market", F.array().cast("array<struct<code:string,name:string>>")), lambda m: m["code"])
     at = F.timestamp_seconds("publishAt")
     rows = text.select(
@@ -157,17 +158,18 @@ def article_records(articles: DataFrame) -> DataFrame:
         F.col("newsId").cast("string").alias("record_id"),
         F.concat(F.lit(ARTICLE_PAGE), F.col("newsId").cast("string")).alias("source_url"),
         decode_title("title").alias("source_title"),
-        unit_amount(part(3), part(4)).alias("_amount"),
+        amount["value"].alias("revenue"),
+        amount["tolerance"].alias("tolerance"),
         percent_after("_text", "月增率").alias("mom"),
         percent_after("_text", "年增率").alias("yoy"),
-    ).withColumns({"revenue": F.col("_amount.value"), "tolerance": F.col("_amount.tolerance")})
+    )
     good = rows.where(
         F.col("ticker").isNotNull()
         & F.col("month").isNotNull()
         & F.col("revenue").isNotNull()
         & F.col("published_at").isNotNull()
         & F.col("record_id").isNotNull()
-    ).drop("_amount")
+    )
     return earliest(good, ["record_id"], "published_at", "ticker")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.labels import choose
 from ..functions.months import (
     in_window,
     iso_date,
@@ -51,6 +52,7 @@ OVERVIEW_EVENT = (
     r"(?i)<strong>\s*([A-Za-z]+)\s+(\d{4}),\s*Monthly Sales Announcement\s*</strong>[\s\S]{0,600}?"
     r"<div\s+class=[\"']date[\"']>\s*(\d{1,2}/\d{1,2}/\d{4})\*?"
 )
+OVERVIEW_HEAD = r"(?i)<strong>\s*([A-Za-z]+\s+\d{4}),"
 ANNUAL_SECTION = (
     r"(?i)Monthly Sales Announcement\s*-\s*(\d{4})([\s\S]{0,5000}?)"
     r"(?=Quarterly Earnings Release|Monthly Sales Announcement\s*-\s*\d{4}|\z)"
@@ -65,6 +67,18 @@ QUOTED_EVENT = (
 )
 
 
+# What to cut from the matched text of each layout: pattern and group of the
+# title, pattern and group of the date, and the pattern that finds month name
+# and year in the title (with the section's year behind it).
+LAYOUT_RULES = {
+    "atc": (ATC_EVENT, 2, ATC_EVENT, 1, ATC_TITLE),
+    "item": (ITEM_TITLE, 1, ITEM_START, 1, ITEM_MONTH),
+    "overview": (OVERVIEW_HEAD, 1, OVERVIEW_EVENT, 3, r"^([A-Za-z]+) (\d{4})$"),
+    "annual": (ANNUAL_MONTH, 1, ANNUAL_MONTH, 2, r"^([A-Za-z]+) (\d{4})$"),
+    "quoted": (QUOTED_EVENT, 1, QUOTED_EVENT, 4, r"(?i)Unaudited Consolidated\s+([A-Za-z]+)\s+(\d{4})\s+Revenue"),
+}
+
+
 def extract_all(df: DataFrame, text: str, pattern: str, groups: dict[str, int]) -> DataFrame:
     """One row per match of ``pattern``, with its groups and position.
 
@@ -91,6 +105,7 @@ def listing_records(pages: DataFrame, html: str = "html") -> DataFrame:
         ~is_correction("source_title", CORRECTION_ARTICLE) & F.col("source_title").rlike(LISTING_TITLE)
     )
     part = lambda i: F.regexp_extract("source_title", LISTING_TITLE, i)
+    amount = unit_amount(part(4), part(5), default_scale=1)
     date = F.try_to_date("_date", "yyyy-MM-dd")
     typed = rows.select(
         F.trim(part(1)).alias("company_name"),
@@ -101,13 +116,11 @@ def listing_records(pages: DataFrame, html: str = "html") -> DataFrame:
         F.lower("_id").alias("record_id"),
         F.concat(F.lit(LISTING_ARTICLE), F.lower("_id")).alias("source_url"),
         "source_title",
-        unit_amount(part(4), part(5), default_scale=1).alias("_amount"),
+        amount["value"].alias("revenue"),
+        amount["tolerance"].alias("tolerance"),
         F.lit(None).cast("double").alias("mom"),
         signed_percent(part(6), F.nullif(part(7), F.lit(""))).alias("yoy"),
     )
-    typed = typed.withColumns(
-        {"revenue": F.col("_amount.value"), "tolerance": F.col("_amount.tolerance")}
-    ).drop("_amount")
     return typed.where(F.col("month").isNotNull() & F.col("revenue").isNotNull())
 
 
@@ -160,59 +173,27 @@ def calendar_records(pages: DataFrame, html: str = "html", parser: str = "parser
         matches = F.when(F.col(parser) == name, found).otherwise(matches)
     carried = [c for c in pages.columns if c != html]
     rows = pages.select(*carried, F.posexplode(matches).alias("_pos", "_e")).select(*carried, "_pos", "_e.*")
-    part = lambda pattern, i: F.regexp_extract("text", pattern, i)
-    named = lambda pattern: decode_calendar(part(pattern, 1))
-    layouts = {
-        # layout: (title, month name, year, date, time text)
-        "atc": lambda: (
-            decode_calendar(part(ATC_EVENT, 2)),
-            F.regexp_extract(decode_calendar(part(ATC_EVENT, 2)), ATC_TITLE, 1),
-            F.regexp_extract(decode_calendar(part(ATC_EVENT, 2)), ATC_TITLE, 2),
-            iso_date(part(ATC_EVENT, 1)),
-            part(ATC_EVENT, 1),
-        ),
-        "item": lambda: (
-            named(ITEM_TITLE),
-            F.regexp_extract(named(ITEM_TITLE), ITEM_MONTH, 1),
-            F.regexp_extract(named(ITEM_TITLE), ITEM_MONTH, 2),
-            iso_date(part(ITEM_START, 1)),
-            part(ITEM_START, 1),
-        ),
-        "overview": lambda: (
-            F.concat(part(OVERVIEW_EVENT, 1), F.lit(" "), part(OVERVIEW_EVENT, 2), F.lit(", Monthly Sales Announcement")),
-            part(OVERVIEW_EVENT, 1),
-            part(OVERVIEW_EVENT, 2),
-            us_date(part(OVERVIEW_EVENT, 3)),
-            F.lit(None).cast("string"),
-        ),
-        "annual": lambda: (
-            F.concat(part(ANNUAL_MONTH, 1), F.lit(" "), F.col("year"), F.lit(", Monthly Sales Announcement")),
-            part(ANNUAL_MONTH, 1),
-            F.col("year"),
-            us_date(part(ANNUAL_MONTH, 2)),
-            F.lit(None).cast("string"),
-        ),
-        "quoted": lambda: (
-            decode_calendar(part(QUOTED_EVENT, 1)),
-            part(QUOTED_EVENT, 2),
-            part(QUOTED_EVENT, 3),
-            iso_date(part(QUOTED_EVENT, 4)),
-            F.lit(None).cast("string"),
-        ),
-    }
-    names = ("title", "month_name", "month_year", "announced_date", "time_text")
-    event = None
-    for layout, build in layouts.items():
-        fields = F.struct(*[v.alias(n) for n, v in zip(names, build())])
-        event = F.when(F.col("layout") == layout, fields) if event is None else event.when(
-            F.col("layout") == layout, fields
+    rule = lambda n: choose("layout", {name: r[n] for name, r in LAYOUT_RULES.items()})
+    extract = lambda c, pattern, group: F.call_function("regexp_extract", F.col(c), pattern, group)
+    events = (
+        rows.withColumns(
+            {
+                "title": decode_calendar(extract("text", rule(0), rule(1))),
+                "date_text": extract("text", rule(2), rule(3)),
+            }
+        )
+        .withColumn("_named", F.concat_ws(" ", "title", F.nullif("year", F.lit(""))))
+        .withColumns(
+            {
+                "month": month_from_name(extract("_named", rule(4), F.lit(1)), extract("_named", rule(4), F.lit(2))),
+                "announced_date": F.coalesce(iso_date("date_text"), us_date("date_text")),
+                "announced_time": suffix_time("date_text"),
+                "title": F.when(
+                    F.col("layout").isin("overview", "annual"),
+                    F.concat("_named", F.lit(", Monthly Sales Announcement")),
+                ).otherwise(F.col("title")),
+            }
         )
-    events = rows.withColumn("_f", event).select(*carried, "_pos", "_f.*")
-    events = events.withColumns(
-        {
-            "month": month_from_name("month_name", "month_year"),
-            "announced_time": suffix_time("time_text"),
-        }
     )
     fitting = events.where(
         F.coalesce(in_window("announced_date", "month", *ANNOUNCEMENT_DAYS), F.lit(False))
