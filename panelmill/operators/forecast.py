@@ -36,16 +36,17 @@ def release_history(report_dates: DataFrame) -> DataFrame:
     )
 
 
-def release_profile(history: DataFrame, before=None, seq: str | None = None) -> DataFrame:
+def release_profile(history: DataFrame, before=None, seq: str | None = None, unique: bool = False) -> DataFrame:
     """Release profile of each entity over its latest twelve months.
 
     ``before`` keeps a profile free of the month it is to predict. One item
     per month survives, so an entity holds at most twelve rows when the medians
-    are taken.
+    are taken. ``unique`` says that the history already has one row per month.
     """
     if before is not None:
         history = history.where(F.col("month") < before)
-    recent = retain_latest(rank_history(history, seq), HISTORY_MONTHS).withColumn(
+    ranked = history if unique else rank_history(history, seq)
+    recent = retain_latest(ranked, HISTORY_MONTHS).withColumn(
         "offset_days", days_after_month_end("release_date", "month").cast("double")
     )
     first = recent.groupBy("entity").agg(
@@ -124,11 +125,9 @@ def blend(profiles: DataFrame, fallback: DataFrame) -> DataFrame:
     Three or more months stand alone; fewer are weighted n/3 against the
     fallback; none takes the fallback as it is.
     """
-    # The fallback has at most one row: read it as scalar subqueries.
-    offset = fallback.select("median_offset").scalar()
-    mad = fallback.select("mad_days").scalar()
-    as_of = fallback.select("as_of_month").scalar()
-    p = profiles.withColumns({"_fo": offset, "_fm": mad, "_fa": as_of})
+    # The fallback has at most one row: read it as one scalar subquery.
+    row = fallback.select(F.struct("median_offset", "mad_days", "as_of_month")).scalar()
+    p = profiles.withColumns({"_fo": row["median_offset"], "_fm": row["mad_days"], "_fa": row["as_of_month"]})
     have = F.col("_fo").isNotNull()
     replaced = have & F.col("median_offset").isNull()
     mixed = have & F.col("median_offset").isNotNull() & (F.col("samples") < FULL_HISTORY)
@@ -311,8 +310,8 @@ def release_schedule(
     """
     target = F.lit(target).cast("date") if not isinstance(target, Column) else target
     history = release_history(report_dates)
-    earlier = complete_profiles(dim, release_profile(history, before=target))
-    full = complete_profiles(dim, release_profile(history))
+    earlier = complete_profiles(dim, release_profile(history, before=target, unique=True))
+    full = complete_profiles(dim, release_profile(history, unique=True))
     fallback = fallback_profile(earlier)
     ahead = F.explode(F.sequence(add_month(target, 1), add_month(target, months - 1), F.expr("interval 1 month")))
     grid = blend(earlier, fallback).withColumn("month", target)
@@ -329,5 +328,6 @@ def release_schedule(
             "left",
         )
     )
-    rows = actual_reports(rows, report_dates, first_seen, existing).join(deadlines, "month")
+    # At most one deadline per scheduled month, which bounds the broadcast.
+    rows = actual_reports(rows, report_dates, first_seen, existing).join(F.broadcast(deadlines), "month")
     return schedule_rows(rows, now)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import js_round
 from ..functions.text import trim_all
-from .panel import MIX, analysis_spine, latest_per_entity
-from .pick import global_rank
+from .panel import MIX, key_grid, keyed_facts
+from .pick import global_rank, top_per_key
 
 
 def build_bridge(universe: DataFrame, labels: str = "labels", separator: str = ";") -> DataFrame:
@@ -68,16 +68,10 @@ def snapshot_members(dim: DataFrame, facts: DataFrame, bridge: DataFrame, recent
 
     Members without a row for the key's month stay, with null figures.
     """
-    columns = ["month", "revenue", "yoy"]
-    spine = analysis_spine(dim, facts, recent)
-    fixed = spine.where(F.col("key") != MIX).join(
-        facts.select("entity", *columns).withColumn("analysis_month", F.col("month")),
-        ["entity", "analysis_month"],
-        "left",
-    )
-    mix = spine.where(F.col("key") == MIX).join(latest_per_entity(facts, columns), "entity", "left")
-    observed = fixed.unionByName(mix).withColumnRenamed("month", "reporting_month")
-    return observed.join(bridge.select("entity", "classification"), "entity")
+    observed = keyed_facts(facts.select("entity", "month", "revenue", "yoy"), recent).drop("_back")
+    labelled = dim.join(bridge.select("entity", "classification"), "entity")
+    grid = key_grid(labelled, facts, recent).drop("_fixed")
+    return grid.join(observed, ["entity", "key"], "left").withColumnRenamed("month", "reporting_month")
 
 
 def group_snapshot(members: DataFrame) -> DataFrame:
@@ -131,8 +125,6 @@ def leaders(snapshot: DataFrame) -> DataFrame:
             F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
         ).alias("_m"),
     ).select("key", "classification", "_m.metric", "_m.value")
-    from .pick import top_per_key
-
     return top_per_key(long, ["key", "metric"], [F.desc_nulls_last("value"), F.asc("classification")])
 
 

@@ -66,14 +66,14 @@ def tolerance_match(
     high = F.expr(f"shiftright({value} + {tolerance}, _level)")
     banded = distinct.withColumn("_band", F.explode(F.sequence(low, high)))
 
-    best = F.min_by(
-        F.struct("obs_id", "is_current"), F.struct((~F.col("is_current")).alias("c"), F.col("obs_id"))
+    unique = observations.groupBy(*keys, *figures).agg(
+        F.coalesce(F.min(F.when(F.col("is_current"), F.col("obs_id"))), F.min("obs_id")).alias("obs_id"),
+        F.bool_or("is_current").alias("is_current"),
     )
-    unique = observations.groupBy(*keys, *figures).agg(best.alias("_o"))
     levels = distinct.select(*keys, "_level").distinct()
     seen = unique.join(levels, keys).withColumn("_band", F.expr(f"shiftright({value}, _level)"))
     seen = seen.select(
-        *keys, "_level", "_band", "_o.obs_id", "_o.is_current", *[F.col(c).alias(f"matched_{c}") for c in figures]
+        *keys, "_level", "_band", "obs_id", "is_current", *[F.col(c).alias(f"matched_{c}") for c in figures]
     )
     pairs = banded.join(seen, [*keys, "_level", "_band"])
     near = F.abs(F.col(value) - F.col(f"matched_{value}")) <= F.col(tolerance)

@@ -42,9 +42,17 @@ def lagged(value, months: int, entity: str = "entity") -> Column:
     return F.max(value).over(_calendar(entity).rangeBetween(-months, -months))
 
 
+def by_entity(df: DataFrame, entity: str = "entity") -> DataFrame:
+    """Partition a panel by entity once, for all windows and joins that follow.
+
+    A panel holds at most one row per month and entity, so no entity is large.
+    """
+    return df.repartition(entity)
+
+
 def reported_facts(panel: DataFrame) -> DataFrame:
     """Derive the reported metrics of each month from (entity, month, revenue)."""
-    p = with_index(panel)
+    p = with_index(by_entity(panel))
     year = W.partitionBy("entity", F.year("month")).orderBy("idx").rowsBetween(W.unboundedPreceding, 0)
     p = p.withColumn("ytd", F.sum("revenue").over(year))
     return p.select(
@@ -59,23 +67,25 @@ def reported_facts(panel: DataFrame) -> DataFrame:
     )
 
 
-def dense_spine(panel: DataFrame, start=None, end=None, entity: str = "entity") -> DataFrame:
-    """Every entity x every month from ``start`` to ``end``.
+def densify(panel: DataFrame, values: Sequence[str] = ("revenue",), start=None, end=None) -> DataFrame:
+    """A row for every entity and month from ``start`` to ``end``.
 
-    Bounds default to the months of the panel; each entity expands its own
-    month sequence, so there is no join behind the spine.
+    Bounds default to the months of the panel. Each row expands over the gap
+    behind it, the first row also over the months before it, so no join and no
+    second shuffle are needed. Values of added months are null.
     """
-    bounds = panel.agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
-    lo = F.lit(start).cast("date") if start is not None else bounds.select("lo").scalar()
-    hi = F.lit(end).cast("date") if end is not None else bounds.select("hi").scalar()
-    months = F.explode(F.sequence(lo, hi, F.expr("interval 1 month")))
-    return panel.select(entity).distinct().select(entity, months.alias("month"))
-
-
-def on_spine(panel: DataFrame, spine: DataFrame | None = None) -> DataFrame:
-    """Panel with a row for every spine month; values of absent months are null."""
-    spine = dense_spine(panel) if spine is None else spine
-    return with_index(spine.join(panel.drop("idx"), ["entity", "month"], "left"))
+    if start is None or end is None:
+        bounds = panel.agg(F.struct(F.min("month").alias("lo"), F.max("month").alias("hi")).alias("b")).scalar()
+    lo = bounds["lo"] if start is None else F.lit(start).cast("date")
+    hi = bounds["hi"] if end is None else F.lit(end).cast("date")
+    p = with_index(by_entity(panel))
+    first = F.when(F.lag("idx").over(_calendar()).isNull(), month_index(lo)).otherwise(F.col("idx"))
+    last = F.coalesce(F.lead("idx").over(_calendar()) - 1, month_index(hi))
+    spread = p.withColumns({"_first": first, "_last": last}).withColumn(
+        "_i", F.explode(F.sequence("_first", "_last"))
+    )
+    kept = [F.when(F.col("_i") == F.col("idx"), F.col(v)).alias(v) for v in values]
+    return spread.select("entity", month_of_index("_i").alias("month"), F.col("_i").alias("idx"), *kept)
 
 
 def period_sum(value, months: int, lag: int = 0, entity: str = "entity") -> Column:
@@ -89,7 +99,7 @@ def period_sum(value, months: int, lag: int = 0, entity: str = "entity") -> Colu
 
 def window_momentum(panel: DataFrame, periods=PERIODS) -> DataFrame:
     """Momentum of every entity, month and period (long form)."""
-    dense = on_spine(panel.select("entity", "month", "revenue"))
+    dense = densify(panel)
     sums = {}
     for period, months, *_ in periods:
         for role, (length, lag) in _windows(period, months).items():
@@ -134,6 +144,13 @@ def latest_month(facts: DataFrame) -> Column:
     return facts.agg(F.max("month")).scalar()
 
 
+def _recent(facts: DataFrame, recent: int) -> list[tuple[Column, Column]]:
+    """(key, month) of the latest month of a panel and the ones before it."""
+    last = latest_month(facts)
+    months = [add_month(last, -back) for back in range(recent)]
+    return [(F.date_format(m, "yyyy-MM"), m) for m in months]
+
+
 def analysis_spine(dim: DataFrame, facts: DataFrame, recent: int = RECENT_MONTHS) -> DataFrame:
     """Entity x analysis key: each entity's own latest month, and recent months.
 
@@ -141,19 +158,40 @@ def analysis_spine(dim: DataFrame, facts: DataFrame, recent: int = RECENT_MONTHS
     entity without facts under the mix key).
     """
     own = facts.groupBy("entity").agg(F.max("month").alias("_own"))
-    last = latest_month(facts)
     keys = [F.struct(F.lit(MIX).alias("key"), F.col("_own").alias("analysis_month"))]
-    for back in range(recent):
-        month = add_month(last, -back)
-        keys.append(F.struct(F.date_format(month, "yyyy-MM").alias("key"), month.alias("analysis_month")))
+    keys += [F.struct(k.alias("key"), m.alias("analysis_month")) for k, m in _recent(facts, recent)]
     spread = dim.join(own, "entity", "left").withColumn("_k", F.explode(F.array(*keys)))
     return spread.select(*dim.columns, "_k.key", "_k.analysis_month")
 
 
+def key_grid(dim: DataFrame, facts: DataFrame, recent: int = RECENT_MONTHS) -> DataFrame:
+    """Dim x analysis key with the fixed months; the mix month is left null."""
+    none = F.lit(None).cast("date")
+    keys = [F.struct(F.lit(MIX).alias("key"), none.alias("_fixed"))]
+    keys += [F.struct(k.alias("key"), m.alias("_fixed")) for k, m in _recent(facts, recent)]
+    return dim.withColumn("_k", F.explode(F.array(*keys))).select(*dim.columns, "_k.key", "_k._fixed")
+
+
+def keyed_facts(facts: DataFrame, recent: int = RECENT_MONTHS, reach: int = 0) -> DataFrame:
+    """Facts under every analysis key they are within ``reach`` months of.
+
+    Adds ``key`` and ``_back``, the months from the fact to the key's month.
+    The facts are read once: an entity's own latest month comes from a window
+    in the partitioning that the facts already have.
+    """
+    dated = with_index(facts).withColumn("_own", F.max("idx").over(W.partitionBy("entity")))
+    ends = [F.struct(F.lit(MIX).alias("key"), F.col("_own").alias("_end"))]
+    ends += [F.struct(k.alias("key"), month_index(m).alias("_end")) for k, m in _recent(facts, recent)]
+    last = month_index(latest_month(facts))
+    close = (F.col("idx") >= F.col("_own") - reach) | (F.col("idx") > last - recent - reach)
+    spread = dated.where(close).withColumn("_k", F.explode(F.array(*ends)))
+    back = (F.col("_k._end") - F.col("idx")).alias("_back")
+    return spread.select(*facts.columns, "_k.key", back).where(F.col("_back").between(0, reach))
+
+
 def latest_per_entity(facts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns of each entity's latest month, even when some are null."""
-    row = F.max_by(F.struct(*columns), "month")
-    return facts.groupBy("entity").agg(row.alias("_r")).select("entity", "_r.*")
+    return facts.groupBy("entity").agg(*[F.max_by(c, "month").alias(c) for c in columns])
 
 
 def momentum(dim: DataFrame, facts: DataFrame, recent: int = RECENT_MONTHS, periods=PERIODS) -> DataFrame:
@@ -161,20 +199,11 @@ def momentum(dim: DataFrame, facts: DataFrame, recent: int = RECENT_MONTHS, peri
 
     ``dim`` has (entity, classification, ...); ``facts`` has (entity, month,
     revenue, mom, yoy, ytd_yoy). Every fact within reach of an analysis month
-    adds to that key's window sums: one join and one aggregation give all
-    fourteen windows, with no dense spine.
+    adds to that key's window sums: one aggregation gives all fourteen windows,
+    with no dense spine and no join of facts with facts.
     """
-    spine = analysis_spine(dim, facts, recent)
-    reach = 1 + max(lag + n for p, m, *_ in periods for n, lag in _windows(p, m).values())
-    ends = spine.select("entity", "key", month_index("analysis_month").alias("_end")).where(
-        F.col("_end").isNotNull()
-    )
-    near = (
-        with_index(facts)
-        .join(ends, "entity")
-        .withColumn("_back", F.col("_end") - F.col("idx"))
-        .where(F.col("_back").between(0, reach))
-    )
+    reach = max(lag + n - 1 for p, m, *_ in periods for n, lag in _windows(p, m).values())
+    near = keyed_facts(facts, recent, reach)
     sums = []
     done: dict[tuple[int, int], str] = {}
     for period, months, *_ in periods:
@@ -185,29 +214,23 @@ def momentum(dim: DataFrame, facts: DataFrame, recent: int = RECENT_MONTHS, peri
             value = F.when(F.col("_back").between(lag, lag + length - 1), F.col("revenue"))
             sums.append(F.when(F.count(value) == length, F.sum(value)).alias(name))
     at = lambda c, back=0: F.max(F.when(F.col("_back") == back, F.col(c)))
-    wide = near.groupBy("entity", "key").agg(
-        *sums,
-        at("month").alias("latest_month"),
-        at("revenue").alias("latest_revenue"),
-        at("mom").alias("mom_percent"),
-        at("yoy").alias("yoy_percent"),
-        at("yoy", 1).alias("previous_yoy_percent"),
-        at("ytd_yoy").alias("ytd_yoy_percent"),
-    )
-    attributes = [
-        "latest_month",
-        "latest_revenue",
-        "mom_percent",
-        "yoy_percent",
-        "previous_yoy_percent",
-        "ytd_yoy_percent",
-    ]
-    joined = spine.join(wide, ["entity", "key"], "left")
+    attributes = {
+        "latest_month": at("month"),
+        "latest_revenue": at("revenue"),
+        "mom_percent": at("mom"),
+        "yoy_percent": at("yoy"),
+        "previous_yoy_percent": at("yoy", 1),
+        "ytd_yoy_percent": at("ytd_yoy"),
+    }
+    wide = near.groupBy("entity", "key").agg(*sums, *[v.alias(k) for k, v in attributes.items()])
+    joined = key_grid(dim, facts, recent).join(wide, ["entity", "key"], "left")
     named = {
         f"{period}_{role}": F.col(done[window])
         for period, months, *_ in periods
         for role, window in _windows(period, months).items()
     }
+    # Under the mix key the analysis month is the latest month itself.
+    joined = joined.withColumn("analysis_month", F.coalesce("_fixed", "latest_month"))
     keys = [*dim.columns, "key", "analysis_month", *attributes]
     return _long_momentum(joined.withColumns(named), keys, periods)
 
@@ -226,7 +249,8 @@ def translate(facts: DataFrame, rates: DataFrame) -> DataFrame:
         F.col("observations").alias("fx_observations"),
         F.col("last_date").alias("fx_last_date"),
     )
-    joined = facts.join(fx, "month", "left")
+    # One row per calendar month, which bounds the broadcast.
+    joined = facts.join(F.broadcast(fx), "month", "left")
     usd = F.col("revenue") / F.col("average_rate")
     running = F.sum("_usd").over(
         W.partitionBy("entity", F.year("month")).orderBy("month").rowsBetween(W.unboundedPreceding, 0)

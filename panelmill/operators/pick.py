@@ -69,6 +69,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Frame written once to the shared checkpoint folder, for several readers."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """Exact 1..N rank over all rows without one global window.
 
@@ -76,10 +82,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
     both passes below see the same partitions. Row numbers inside a partition
     plus the sizes of the partitions before it give the rank.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
-    )
+    ordered = stored(df.repartitionByRange(*order).sortWithinPartitions(*order))
     # The id holds the partition in its high bits and the row in the low 33.
     placed = ordered.withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftrightunsigned("_id", 33).alias("_part")

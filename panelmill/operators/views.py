@@ -8,24 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import EXACT_BASES, PUBLICATION_BASIS, choose, exact_flag
+from ..functions.numbers import js_round
+from .panel import latest_per_entity
 from .pick import best_by_priority
 
 
 def current_rows(observations: DataFrame, keys: Sequence[str] = ("entity", "month")) -> DataFrame:
     """Current version of each key with ``versions`` and ``restated``.
 
-    One aggregation finds the current row and counts the versions, so no key's
-    versions have to meet in a window.
+    Versions are counted by a partial aggregation over the keys alone, so a key
+    with very many versions is never gathered; only current rows are joined.
     """
-    rest = [c for c in observations.columns if c not in keys]
-    current = F.max_by(F.struct(*rest), F.when(F.col("is_current"), F.col("obs_id")))
-    grouped = observations.groupBy(*keys).agg(
-        F.count("*").alias("versions"),
-        F.bool_or("is_current").alias("_has"),
-        current.alias("_r"),
-    )
-    flat = grouped.where("_has").select(*keys, "versions", "_r.*")
-    return flat.withColumn("restated", (F.col("versions") > 1) | F.col("corrected"))
+    counts = observations.groupBy(*keys).agg(F.count("*").alias("versions"))
+    current = observations.where(F.col("is_current")).join(counts, list(keys))
+    return current.withColumn("restated", (F.col("versions") > 1) | F.col("corrected"))
 
 
 def never_restated(observations: DataFrame, keys: Sequence[str] = ("entity", "month")) -> DataFrame:
@@ -106,40 +102,37 @@ def exact_promotions(observations: DataFrame, report_dates: DataFrame, keys: Seq
 
 def manifest(dim: DataFrame, bridge: DataFrame, facts: DataFrame, rates: DataFrame) -> DataFrame:
     """One row of totals: entities, classes, facts, months and FX coverage."""
-    facts_row = facts.agg(
+    span = facts.agg(F.struct(F.min("month").alias("lo"), F.max("month").alias("hi")).alias("s")).scalar()
+    seen = bridge.join(facts.select("entity").distinct(), "entity", "left_semi")
+    fx = rates.where(F.col("month").between(span["lo"], span["hi"])).agg(
+        F.struct(
+            F.count("*").alias("rate_count"),
+            F.min("month").alias("rate_start"),
+            F.max("month").alias("rate_end"),
+            F.max_by("average_rate", "month").alias("latest_rate"),
+        ).alias("f")
+    ).scalar()
+    totals = facts.agg(
         F.min("month").alias("first_month"),
         F.max("month").alias("latest_month"),
         F.count("*").alias("observations"),
     )
-    first = facts_row.select("first_month").scalar()
-    last = facts_row.select("latest_month").scalar()
-    seen = bridge.join(facts.select("entity").distinct(), "entity", "left_semi")
-    fx = rates.where(F.col("month").between(first, last)).agg(
-        F.count("*").alias("rate_count"),
-        F.min("month").alias("rate_start"),
-        F.max("month").alias("rate_end"),
-        F.max_by("average_rate", "month").alias("latest_rate"),
+    return totals.withColumns(
+        {
+            "entity_count": dim.agg(F.count("*")).scalar(),
+            "class_count": seen.agg(F.count_distinct("classification")).scalar(),
+            **{c: fx[c] for c in ("rate_count", "rate_start", "rate_end", "latest_rate")},
+        }
     )
-    scalars = {
-        "entity_count": dim.agg(F.count("*")).scalar(),
-        "class_count": seen.agg(F.count_distinct("classification")).scalar(),
-    }
-    for name in ("rate_count", "rate_start", "rate_end", "latest_rate"):
-        scalars[name] = fx.select(name).scalar()
-    return facts_row.withColumns(scalars)
 
 
 def latest_summary(dim: DataFrame, facts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every entity with the figures of its latest month."""
-    row = F.max_by(F.struct(*columns), "month")
-    latest = facts.groupBy("entity").agg(row.alias("_r")).select("entity", "_r.*")
-    return dim.join(latest, "entity", "left")
+    return dim.join(latest_per_entity(facts, columns), "entity", "left")
 
 
 def monthly_rates(daily: DataFrame) -> DataFrame:
     """Average, count, first and last date of the daily rates of each month."""
-    from ..functions.numbers import js_round
-
     return daily.groupBy(F.trunc("date", "MM").alias("month")).agg(
         js_round(F.avg("rate"), 6).alias("average_rate"),
         F.count("*").alias("observations"),

@@ -146,7 +146,7 @@ def complete_window_sums(s):
         "twelve": panel.period_sum("revenue", 12),
         "six_last_year": panel.period_sum("revenue", 6, 12),
     }
-    return panel.on_spine(s.sparse).withColumns(sums).drop("idx", "revenue").withColumn("month", ym("month"))
+    return panel.densify(s.sparse).withColumns(sums).drop("idx", "revenue").withColumn("month", ym("month"))
 
 
 def _momentum_out(rows):
@@ -243,7 +243,7 @@ def group_snapshot(s):
     f"SELECT * REPLACE ({sql_ym('reporting_month')} AS reporting_month) FROM parts",
 )
 def constituents(s):
-    rows = groups.constituents(members(s)).drop("analysis_month")
+    rows = groups.constituents(members(s))
     return rows.withColumn("reporting_month", ym("reporting_month"))
 
 

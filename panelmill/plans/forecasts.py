@@ -126,8 +126,9 @@ def announcements(s):
 
 
 def schedule(s):
+    """The schedule reads the report dates several times, so they are stored first."""
     return forecast.release_schedule(
-        everyone(s), s.report_dates, s.facts, announcements(s), s.holidays, TARGET, NOW
+        everyone(s), pick.stored(s.report_dates), s.panel, announcements(s), s.holidays, TARGET, NOW
     )
 
 
@@ -346,7 +347,7 @@ CTES["fresh"] = """
 
 
 def own_schedule(s):
-    return schedule(s).where(F.col("entity") >= 0)
+    return pick.stored(schedule(s).where(F.col("entity") >= 0))
 
 
 def target_month(s, planned):

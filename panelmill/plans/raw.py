@@ -70,7 +70,7 @@ def archive_rejects(s):
 
 
 def raw_feed(s):
-    """One feed payload per local day of events; kinds give the subject line."""
+    """One feed payload per event; kinds give the subject line."""
     r = s.records
     day_text = F.concat(_roc(F.col("published_date")), F.lit("/"), F.dayofmonth("published_date").cast("string"))
     subject = (
@@ -85,8 +85,7 @@ def raw_feed(s):
         subject.alias("subject"),
         F.when(F.col("kind") == "view", F.lit("/v")).alias("url"),
     )
-    # Pages of one user's day keep a payload small.
-    return r.groupBy("published_date", "entity").agg(F.collect_list(item).alias("data")).select(
+    return r.withColumn("data", F.array(item)).select(
         F.lit(200).alias("code"),
         F.concat(_roc(F.col("published_date")), F.lit("/"), F.dayofmonth("published_date").cast("string"), F.lit(" 23:59:59")).alias("datetime"),
         F.struct("data").alias("result"),
@@ -202,13 +201,12 @@ def daily_rates(s):
     """Orders as a rate series with repeated dates, bad dates and wild rates."""
     d = F.col("o_orderdate").cast("date")
     rate = F.format_string("%.2f", F.floor(F.col("o_totalprice") / 5000 * 100 + 0.5) / 100)
-    entry = F.struct("o_orderkey", F.array(F.date_format(d, "yyyyMMdd"), rate).alias("r"))
-    # One payload per day keeps every payload small.
-    daily = s.table("orders").groupBy(d.alias("d")).agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    entry = F.array(F.date_format(d, "yyyyMMdd"), rate)
     bad = F.array(F.array(F.lit("invalid"), F.lit("32")), F.array(F.lit("20260231"), F.lit("32")), F.array(F.lit("20260703"), F.lit("-")))
-    payloads = daily.select(
+    payloads = s.table("orders").select(
+        F.col("o_orderkey").alias("payload_no"),
         F.struct(F.lit("2026-08-01").alias("last_updated")).alias("meta"),
-        F.struct(F.concat(F.transform("e", lambda x: x["r"]), bad).alias("dataSets")).alias("data"),
+        F.struct(F.concat(F.array(entry), bad).alias("dataSets")).alias("data"),
     )
     return feeds.daily_rates(payloads).select(day("date"), "rate")
 

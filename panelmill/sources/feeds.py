@@ -261,14 +261,18 @@ def release_records(payloads: DataFrame, company: str = "ASPEED", ticker: str =
 def daily_rates(payloads: DataFrame) -> DataFrame:
     """Valid daily rates; the last entry of a date wins.
 
-    Impossible dates, non-numbers and rates outside the plausible range drop out.
+    Impossible dates, non-numbers and rates outside the plausible range drop
+    out. Payloads may carry a ``payload_no`` that says which one is later.
     """
     updated = iso_date(F.substring("meta.last_updated", 1, 10))
-    rows = payloads.select(updated.alias("source_updated"), F.posexplode("data.dataSets").alias("pos", "_r"))
+    number = F.col("payload_no") if "payload_no" in payloads.columns else F.lit(0)
+    rows = payloads.select(
+        updated.alias("source_updated"), number.alias("_no"), F.posexplode("data.dataSets").alias("_pos", "_r")
+    )
     typed = rows.select(
         compact_date(F.try_element_at("_r", F.lit(1))).alias("date"),
         F.try_element_at("_r", F.lit(2)).try_cast("double").alias("rate"),
-        "pos",
+        F.struct("_no", "_pos").alias("pos"),
         "source_updated",
     )
     valid = typed.where(F.col("date").isNotNull() & F.col("rate").between(*RATE_RANGE))
