@@ -25,6 +25,9 @@ RELEASE_WINDOWS = ((1, 4), (5, 7), (8, 10), (11, 15), (16, None))
 
 DEADLINE_DAY = 10
 
+# The white space that source texts may hold, as a character class.
+SPACES = "\\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -52,16 +55,26 @@ def month_label(c) -> Column:
     return F.date_format(_col(c), "yyyy-MM")
 
 
+def _cast_date(text: Column, shape: str) -> Column:
+    """Text of a known shape to a date; other shapes and impossible dates are null.
+
+    The cast's own parser is far cheaper than a formatter pattern, but lenient
+    about shapes, hence the check.
+    """
+    return F.regexp_extract(text, shape, 0).try_cast("date")
+
+
 def parse_month(c) -> Column:
     """``yyyy-MM-01`` text to a month; anything else is null."""
-    c = _col(c)
-    return F.when(c.rlike(r"^\d{4}-\d{2}-01$"), F.try_to_date(c, "yyyy-MM-dd"))
+    return _cast_date(_col(c), r"^\d{4}-\d{2}-01$")
 
 
 def month_from_name(name, year) -> Column:
     """English month name (any case, padded) and a year to a month."""
-    text = F.concat_ws(" ", F.initcap(F.trim(_col(name))), _col(year).cast("string"))
-    return F.try_to_date(text, "MMMM yyyy")
+    names = F.array(*[F.lit(m) for m in MONTH_NAMES])
+    number = F.array_position(names, F.lower(F.trim(_col(name))))
+    text = F.concat(_col(year).cast("string"), F.lit("-"), number.cast("string"), F.lit("-01"))
+    return _cast_date(text, r"^\d{4}-\d{1,2}-01$")
 
 
 def add_month(c, n) -> Column:
@@ -79,11 +92,8 @@ def days_after_month_end(date, month) -> Column:
 
 def local_to_utc(date, time) -> Column:
     """Local date and ``HH:mm:ss`` text to an instant; a null time gives null."""
-    text = F.concat_ws(" ", F.date_format(_col(date), "yyyy-MM-dd"), _col(time))
-    local = F.when(
-        _col(time).isNotNull() & _col(date).isNotNull(), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
-    )
-    return F.to_utc_timestamp(local, LOCAL_ZONE)
+    text = F.concat(_col(date).cast("string"), F.lit(" "), _col(time))
+    return F.to_utc_timestamp(text.try_cast("timestamp"), LOCAL_ZONE)
 
 
 def local_timestamp(instant) -> Column:
@@ -96,7 +106,7 @@ def local_date(instant) -> Column:
 
 
 def local_time(instant) -> Column:
-    return F.date_format(local_timestamp(instant), "HH:mm:ss")
+    return F.substring(local_timestamp(instant).cast("string"), 12, 8)
 
 
 def month_bounds_utc(month) -> tuple[Column, Column]:
@@ -125,37 +135,35 @@ def gregorian_year(year) -> Column:
     return F.when(y < ROC_OFFSET, y + ROC_OFFSET).otherwise(y)
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    # A null part prints as "null" and so fails to parse, as an impossible date does.
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
+def _shifted_date(c: Column, shape: str, year) -> Column:
+    """Date from ``y/m/d`` text whose year part ``year`` turns into a full year.
+
+    ``shape`` has two groups: the year, and the month and day behind it.
+    """
+    rest = F.translate(F.regexp_extract(c, shape, 2), "/", "-")
+    return F.concat(year(F.regexp_extract(c, shape, 1)).cast("string"), F.lit("-"), rest).try_cast("date")
+
+
+def _from_1911(text: Column) -> Column:
+    return text.try_cast("int") + ROC_OFFSET
 
 
 def roc_month(c) -> Column:
     """``115/7`` to 2026-07-01."""
-    c = F.trim(_col(c))
-    pattern = r"^(\d{2,3})/(\d{1,2})$"
-    part = lambda i: F.regexp_extract(c, pattern, i).try_cast("int")
-    return _date(part(1) + ROC_OFFSET, part(2), F.lit(1))
+    return _shifted_date(F.concat(F.trim(_col(c)), F.lit("/01")), r"^(\d{2,3})/(\d{1,2}/01)$", _from_1911)
 
 
 def roc_date(c) -> Column:
     """``115/08/01`` or ``1150801`` to 2026-08-01."""
-    c = F.trim(_col(c))
-    slashed, compact = r"^(\d{2,3})/(\d{1,2})/(\d{1,2})$", r"^(\d{3})(\d{2})(\d{2})$"
-    part = lambda i: F.coalesce(
-        F.regexp_extract(c, slashed, i).try_cast("int"),
-        F.regexp_extract(c, compact, i).try_cast("int"),
-    )
-    return _date(part(1) + ROC_OFFSET, part(2), part(3))
+    slashed = F.regexp_replace(F.trim(_col(c)), r"^(\d{3})(\d{2})(\d{2})$", "$1/$2/$3")
+    return _shifted_date(slashed, r"^(\d{2,3})/(\d{1,2}/\d{1,2})$", _from_1911)
 
 
 def feed_date(c, default) -> Column:
     """Leading ``y/m/d`` or ``y-m-d`` date of a feed field, else ``default``."""
     c = F.trim(_col(c))
-    pattern = r"^(\d{2,4})[/-](\d{1,2})[/-](\d{1,2})"
-    part = lambda i: F.regexp_extract(c, pattern, i)
-    parsed = _date(gregorian_year(part(1)), part(2).try_cast("int"), part(3).try_cast("int"))
-    return F.when(c.rlike(pattern), parsed).otherwise(_col(default))
+    shape = r"^(\d{2,4})[/-](\d{1,2}[/-]\d{1,2})"
+    return F.when(c.rlike(shape), _shifted_date(c, shape, gregorian_year)).otherwise(_col(default))
 
 
 # What padding an empty time leaves, so that it can become null again.
@@ -184,28 +192,26 @@ def time_to_minute(c) -> Column:
 def minute_to_time(c) -> Column:
     """Minute of day, rounded half up and clamped to the day, as ``HH:mm:00``."""
     minute = F.least(F.greatest(F.floor(_col(c) + 0.5), F.lit(0)), F.lit(1439)).cast("int")
-    return F.when(
-        _col(c).isNotNull(),
-        F.format_string("%02d:%02d:00", F.floor(minute / 60).cast("int"), minute % 60),
-    )
+    two = lambda n: F.lpad(n.cast("int").cast("string"), 2, "0")
+    text = F.concat(two(F.floor(minute / 60)), F.lit(":"), two(minute % 60), F.lit(":00"))
+    return F.when(_col(c).isNotNull(), text)
 
 
 def iso_date(c) -> Column:
     """Leading ``y-m-d`` or ``y/m/d`` of a text, re-checked as a real date."""
-    found = F.regexp_extract(F.trim(_col(c)), r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}", 0)
-    return F.try_to_date(F.translate(found, "/", "-"), "yyyy-M-d")
+    return _cast_date(F.translate(F.trim(_col(c)), "/", "-"), r"^\d{4}-\d{1,2}-\d{1,2}")
 
 
 def us_date(c) -> Column:
     """Leading ``m/d/yyyy`` of a text, re-checked as a real date."""
-    found = F.regexp_extract(F.trim(_col(c)), r"^\d{1,2}/\d{1,2}/\d{4}", 0)
-    return F.try_to_date(found, "M/d/yyyy")
+    turned = F.regexp_replace(F.trim(_col(c)), r"^(\d{1,2})/(\d{1,2})/(\d{4}).*$", "$3-$1-$2")
+    return _cast_date(turned, r"^\d{4}-\d{1,2}-\d{1,2}$")
 
 
 def compact_date(c) -> Column:
     """``yyyymmdd`` to a date; impossible dates are null."""
-    c = _col(c)
-    return F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "yyyyMMdd"))
+    turned = F.regexp_replace(_col(c), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return _cast_date(turned, r"^\d{4}-\d{2}-\d{2}$")
 
 
 def suffix_time(c) -> Column:

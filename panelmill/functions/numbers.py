@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .months import _col
+from .months import SPACES, _col
 
 MAX_DOUBLE = 1.7976931348623157e308
 MAX_SAFE_INTEGER = 2**53 - 1
@@ -22,7 +22,8 @@ AMOUNT_UNITS = {
     "萬": 10_000,
 }
 
-NULL_TOKENS = ("", "-", "--")
+# Cells that stand for no value, once cleaned.
+NULL_TOKEN = "^-{0,2}$"
 
 
 def js_round(c, digits: int = 0) -> Column:
@@ -52,41 +53,38 @@ def direction(acceleration) -> Column:
     )
 
 
-def number_text(c, trim_percent: bool = False) -> Column:
-    """Numeric text without grouping commas; null tokens become null."""
-    c = F.regexp_replace(_col(c), ",", "")
-    if trim_percent:
-        c = F.regexp_replace(c, "%$", "")
-    c = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    return F.when(~c.isin(*NULL_TOKENS), c)
+def _clean(c, percent: bool = False) -> Column:
+    """Cell without grouping commas, outer whitespace and, if asked, its % sign."""
+    sign = rf"|[{SPACES},]*%,*$" if percent else ""
+    return F.regexp_replace(F.coalesce(_col(c), F.lit("")), rf",|^[{SPACES},]+{sign}|[{SPACES},]+$", "")
+
+
+def no_value(c, percent: bool = False) -> Column:
+    """True for a cell that stands for no value."""
+    return _clean(c, percent).rlike(NULL_TOKEN)
 
 
 def parse_thousands(c) -> Column:
     """Text in thousands to whole units; null for null tokens and bad text.
 
-    ``bad_thousands`` tells the two apart.
+    Up to three decimals stay whole after scaling; larger amounts than a
+    double holds exactly are refused.
     """
-    text = number_text(c)
-    shaped = F.when(text.rlike(r"^-?\d+(?:\.\d+)?$"), text)
-    value = shaped.try_cast("decimal(30,6)") * 1000
-    whole = F.when(value == F.floor(value), value)
-    return F.when(F.abs(whole) <= MAX_SAFE_INTEGER, whole).cast("long")
+    shaped = F.regexp_extract(_clean(c), r"^-?\d{1,13}(?:\.\d{1,3}0*)?$", 0)
+    value = (shaped.try_cast("decimal(19,3)") * 1000).cast("long")
+    return F.when(F.abs(value) <= MAX_SAFE_INTEGER, value)
 
 
-def bad_thousands(c, required: bool = False) -> Column:
-    """True when a thousands cell is malformed, too large, or required and empty."""
-    empty = number_text(c).isNull()
-    return F.when(empty, F.lit(required)).otherwise(parse_thousands(c).isNull())
+def bad_cell(raw, typed, required: bool = False, percent: bool = False) -> Column:
+    """True when a cell has a value but no typed form, or lacks a required one."""
+    missing = F.lit(False) if required else no_value(raw, percent)
+    return _col(typed).isNull() & ~missing
 
 
 def parse_percent(c) -> Column:
     """Percent text (commas, trailing %) to double; null tokens to null."""
-    value = number_text(c, trim_percent=True).try_cast("double")
-    return F.when(F.abs(value) <= MAX_DOUBLE, value)
-
-
-def bad_percent(c) -> Column:
-    return number_text(c, trim_percent=True).isNotNull() & parse_percent(c).isNull()
+    number = r"^[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d{1,2})?$"
+    return F.regexp_extract(_clean(c, percent=True), number, 0).try_cast("double")
 
 
 def _scale(unit: Column, default) -> Column:
@@ -114,13 +112,13 @@ def unit_amount(text, unit, default_scale=None) -> dict[str, Column]:
 
 def millions(c) -> Column:
     """Amount text in millions to whole units."""
-    return js_round(F.regexp_replace(_col(c), ",", "").try_cast("double") * 1_000_000).cast("long")
+    return F.floor(F.regexp_replace(_col(c), ",", "").try_cast("double") * 1_000_000 + 0.5).cast("long")
 
 
 def signed_percent(word, value, negative=("decrease", "減")) -> Column:
     """Percent with the sign told by a direction word."""
-    v = _col(value).try_cast("double")
-    return F.when(F.lower(_col(word)).isin(*negative), -v).otherwise(v)
+    sign = F.when(F.lower(_col(word)).isin(*negative), -1.0).otherwise(1.0)
+    return _col(value).try_cast("double") * sign
 
 
 def percent_after(text, label: str) -> Column:

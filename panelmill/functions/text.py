@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .months import _col, gregorian_year, plausible_month
+from .months import SPACES, _col, gregorian_year, plausible_month
 
 # Patterns over source text, one group per concept.
 CORRECTION_ARCHIVE = r"(?iu)更正|重新公告|修正|重編|correct|restat|revis"
@@ -54,12 +54,12 @@ RELEASE_ENTITIES = (
 
 def squeeze(c) -> Column:
     """Collapse every run of Unicode whitespace to one space, and trim."""
-    return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(_col(c), f"[{SPACES}]+", " "))
 
 
 def trim_all(c) -> Column:
     """Trim Unicode whitespace."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), f"^[{SPACES}]+|[{SPACES}]+$", "")
 
 
 def _replace_all(c: Column, pairs) -> Column:
@@ -125,22 +125,40 @@ def month_of(year, number) -> Column:
     return F.when(plausible_month(year, number), F.make_date(year, number, F.lit(1)))
 
 
-def resolve_ticker(text, market_tickers) -> Column:
-    """Ticker of an article.
+def printed_ticker(text) -> Column:
+    """First ticker mark in a text, or empty text."""
+    return F.regexp_extract(_col(text), r"(?i)(\d{4,5})-TW", 1)
 
-    The ticker printed in the text wins if the market list has it; else a
-    single listed ticker; else the printed one. The text must carry it as
-    ``(ticker-TW)``.
+
+def listed_tickers(codes) -> Column:
+    """Market codes that look like tickers."""
+    return F.filter(F.transform(_col(codes), lambda t: F.trim(t)), lambda t: t.rlike(r"^\d{4,5}$"))
+
+
+def resolve_ticker(printed, listed) -> Column:
+    """Ticker of an article, from its text and its market list.
+
+    The printed ticker wins if the list has it; else a single listed ticker;
+    else the printed one. ``carries_ticker`` then checks the text.
     """
-    text, listed = _col(text), _col(market_tickers)
-    listed = F.filter(F.transform(listed, lambda t: F.trim(t)), lambda t: t.rlike(r"^\d{4,5}$"))
-    printed = F.nullif(F.regexp_extract(text, r"(?i)(\d{4,5})-TW", 1), F.lit(""))
-    ticker = (
+    printed, listed = _col(printed), _col(listed)
+    return (
         F.when(F.array_contains(listed, printed), printed)
         .when(F.size(listed) == 1, F.try_element_at(listed, F.lit(1)))
         .otherwise(printed)
     )
-    return F.when(F.contains(text, F.concat(F.lit("("), ticker, F.lit("-TW)"))), ticker)
+
+
+def carries_ticker(text, ticker) -> Column:
+    """True when the text has the ticker as ``(ticker-TW)``."""
+    ticker = _col(ticker)
+    return (ticker != "") & F.contains(_col(text), F.concat(F.lit("("), ticker, F.lit("-TW)")))
+
+
+def match_groups(c, pattern: str, groups: int) -> Column:
+    """Groups of a pattern that matches the whole text, in one pass, as an array."""
+    joined = "\u0001".join(f"${i}" for i in range(1, groups + 1))
+    return F.split(F.regexp_replace(_col(c), pattern, joined), "\u0001")
 
 
 @F.pandas_udf(T.StringType())
@@ -161,7 +179,7 @@ def name_key(c, fold: bool = True) -> Column:
     ``fold=False`` skips the compatibility step, for text known to be in it.
     """
     c = F.coalesce(_col(c), F.lit(""))
-    return F.lower(F.regexp_replace(nfkc(c) if fold else c, r"(?U)\s+", ""))
+    return F.lower(F.regexp_replace(nfkc(c) if fold else c, f"[{SPACES}]+", ""))
 
 
 def expand_roc_years(c) -> Column:

@@ -189,6 +189,8 @@ def growth_and_direction(s):
 )
 def money_text(s):
     grouped = F.format_number("l_partkey", 0)
+    empty = F.when(F.col("l_returnflag") == "A", "--").otherwise("")
+    wrong = F.concat(grouped, F.lit("x"))
     word = F.when(F.col("l_returnflag") == "A", "Decrease").otherwise("increase")
     return s.table("lineitem").select(
         F.col("l_orderkey").alias("k"),
@@ -196,9 +198,9 @@ def money_text(s):
         F.col("l_partkey").alias("p"),
         F.col("l_suppkey").alias("u"),
         numbers.parse_thousands(grouped).alias("thousands"),
-        numbers.bad_thousands(grouped, required=True).alias("bad"),
-        numbers.bad_thousands(F.concat(grouped, F.lit("x"))).alias("bad_text"),
-        numbers.bad_thousands(F.when(F.col("l_returnflag") == "A", "--").otherwise(""), required=True).alias("bad_empty"),
+        numbers.bad_cell(grouped, numbers.parse_thousands(grouped), required=True).alias("bad"),
+        numbers.bad_cell(wrong, numbers.parse_thousands(wrong)).alias("bad_text"),
+        numbers.bad_cell(empty, numbers.parse_thousands(empty), required=True).alias("bad_empty"),
         numbers.parse_thousands(F.lit("-")).alias("dash"),
         numbers.parse_percent(F.concat(F.lit("-"), F.col("l_discount").cast("string"), F.lit("%"))).alias("percent"),
         numbers.millions(F.format_number("l_extendedprice", 2)).alias("in_millions"),
@@ -299,7 +301,9 @@ def resolved_tickers(s):
     line = F.concat(F.lit("("), code, F.lit("-TW)今天公告"))
     # Listed with others; not listed among several; a single listed one the text does not carry.
     listed = F.when(kind == 0, F.array(other, code)).when(kind == 1, F.array(other, F.lit("99999"))).otherwise(F.array(other))
-    return s.table("customer").select(F.col("c_custkey").alias("id"), text.resolve_ticker(line, listed).alias("ticker"))
+    rows = s.table("customer").select(F.col("c_custkey").alias("id"), line.alias("line"), text.listed_tickers(listed).alias("listed"))
+    rows = rows.withColumn("ticker", text.resolve_ticker(text.printed_ticker("line"), "listed"))
+    return rows.select("id", F.when(text.carries_ticker("line", "ticker"), F.col("ticker")).alias("ticker"))
 
 
 @query(

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import MARKET_PRIORITY
 from ..functions.months import roc_date, roc_month
-from ..functions.numbers import bad_percent, bad_thousands, parse_percent, parse_thousands
+from ..functions.numbers import bad_cell, parse_percent, parse_thousands
 from ..functions.text import is_correction, row_hash, text_hash, trim_all
+from .steps import computed
 
 # Header text of every archive column.
 HEADERS = {
@@ -87,31 +88,44 @@ def type_archive(raw: DataFrame, market) -> DataFrame:
     """Typed rows; ``rejects`` lists the cells that cannot be typed."""
     market = F.lit(market) if isinstance(market, str) else market
     note = F.col("note")
-    bad = {
-        "month": roc_month("month").isNull(),
-        "report_date": (F.col("report_date") != "") & roc_date("report_date").isNull(),
-        **{c: bad_thousands(c, required=c in REQUIRED) for c in MONEY},
-        **{c: bad_percent(c) for c in PERCENTS},
-    }
-    rejects = F.filter(
-        F.array(*[F.when(test, F.lit(c)) for c, test in bad.items()]), lambda x: x.isNotNull()
-    )
     kept_note = F.when(~F.coalesce(note, F.lit("")).isin("", "-", "--"), note)
     carried = [c for c in ("source_file", "row_no", "file_id") if c in raw.columns]
-    return raw.select(
-        market.alias("market"),
+    checked = [*MONEY, *PERCENTS, "month", "report_date"]
+    # Typed columns first; rejects then compare them with the raw cells.
+    typed = computed(
+        raw.select(*HEADERS, *carried, *[F.col(c).alias(f"_raw_{c}") for c in checked]),
+        {
+            "market": market,
+            "month": roc_month("month"),
+            "source_report_date": roc_date("report_date"),
+            **{c: parse_thousands(c) for c in MONEY},
+            **{c: parse_percent(c) for c in PERCENTS},
+            "note": kept_note,
+            "corrected": is_correction(note),
+            "row_hash": row_hash(*IDENTITY),
+        },
+    )
+    bad = {
+        "month": F.col("month").isNull(),
+        "report_date": F.col("source_report_date").isNull() & (F.col("_raw_report_date") != ""),
+        **{c: bad_cell(f"_raw_{c}", c, required=c in REQUIRED) for c in MONEY},
+        **{c: bad_cell(f"_raw_{c}", c, percent=True) for c in PERCENTS},
+    }
+    rejects = F.array_compact(F.array(*[F.when(test, F.lit(c)) for c, test in bad.items()]))
+    return computed(typed, {"rejects": rejects, "note_hash": text_hash("note")}).select(
+        "market",
         "ticker",
-        roc_month("month").alias("month"),
-        roc_date("report_date").alias("source_report_date"),
+        "month",
+        "source_report_date",
         F.col("company_name").alias("source_company_name"),
         F.col("industry").alias("source_industry"),
-        *[parse_thousands(c).alias(c) for c in MONEY],
-        *[parse_percent(c).alias(c) for c in PERCENTS],
-        kept_note.alias("note"),
-        text_hash(kept_note).alias("note_hash"),
-        is_correction(note).alias("corrected"),
-        row_hash(*IDENTITY).alias("row_hash"),
-        rejects.alias("rejects"),
+        *MONEY,
+        *PERCENTS,
+        "note",
+        "note_hash",
+        "corrected",
+        "row_hash",
+        "rejects",
         *carried,
     )
 

@@ -21,14 +21,19 @@ from ..functions.text import (
     CORRECTION_ARTICLE,
     decode_release,
     decode_text,
+    carries_ticker,
     decode_title,
     is_correction,
     is_revenue_subject,
+    listed_tickers,
+    match_groups,
     month_from_subject,
     month_of,
+    printed_ticker,
     resolve_ticker,
 )
 from ..operators.pick import earliest, last_wins
+from .steps import computed
 
 FEED_SCHEMA = (
     "code int, message string, datetime string, "
@@ -107,23 +112,29 @@ def feed_records(payloads: DataFrame, expected_month, observed_at) -> DataFrame:
     rows = payloads.where(F.col("code") == 200).select(
         day.alias("_day"), F.posexplode("result.data").alias("_pos", "_r")
     )
-    subject = F.trim(F.coalesce("_r.subject", F.lit("")))
     rows = rows.select(
         F.trim("_r.companyId").alias("ticker"),
-        month_from_subject(subject, to_col(expected_month, "date")).alias("month"),
-        feed_date(F.coalesce("_r.time", F.lit("")), "_day").alias("reported_date"),
-        clock_text("_r.time").alias("reported_time"),
+        F.trim(F.coalesce("_r.subject", F.lit(""))).alias("source_subject"),
+        F.col("_r.time").alias("_time"),
         _absolute(F.col("_r.url")).alias("source_url"),
-        subject.alias("source_subject"),
+        "_day",
         "_pos",
     )
-    kept = rows.where(
+    rows = rows.where(
         (F.coalesce("ticker", F.lit("")) != "")
         & is_revenue_subject("source_subject")
         & ~is_correction("source_subject")
-        & F.col("month").isNotNull()
-    ).withColumn("reported_at", local_to_utc("reported_date", "reported_time"))
-    kept = kept.where(F.col("reported_at").isNotNull())
+    )
+    rows = computed(
+        rows,
+        {
+            "month": month_from_subject("source_subject", to_col(expected_month, "date")),
+            "reported_date": feed_date(F.coalesce("_time", F.lit("")), "_day"),
+            "reported_time": clock_text("_time"),
+        },
+    )
+    rows = computed(rows, {"reported_at": local_to_utc("reported_date", "reported_time")})
+    kept = rows.where(F.col("month").isNotNull() & F.col("reported_at").isNotNull()).drop("_time", "_day")
     return earliest(kept, ["ticker", "month"], "reported_at", "_pos").drop("_pos")
 
 
@@ -142,21 +153,34 @@ def article_records(articles: DataFrame) -> DataFrame:
     Corrections, texts without a disclosure and texts without the ticker mark
     drop out. The earliest copy of each article id stays.
     """
-    text = articles.withColumn("_text", decode_text("content")).where(
+    text = computed(articles, {"_text": decode_text("content")}).where(
         ~is_correction("_text", CORRECTION_ARTICLE) & F.col("_text").rlike(DISCLOSURE)
     )
-    part = lambda i: F.regexp_extract("_text", DISCLOSURE, i)
-    amount = unit_amount(part(3), part(4))
-    codes = F.transform(F.coalesce("market", F.array().cast("array<struct<code:string,name:string>>")), lambda m: m["code"])
+    codes = F.transform(
+        F.coalesce("market", F.array().cast("array<struct<code:string,name:string>>")), lambda m: m["code"]
+    )
     at = F.timestamp_seconds("publishAt")
-    rows = text.select(
-        resolve_ticker("_text", codes).alias("ticker"),
-        month_of(part(1), part(2)).alias("month"),
-        at.alias("published_at"),
-        local_date(at).alias("published_date"),
-        local_time(at).alias("published_time"),
-        F.col("newsId").cast("string").alias("record_id"),
-        F.concat(F.lit(ARTICLE_PAGE), F.col("newsId").cast("string")).alias("source_url"),
+    parts = computed(
+        text,
+        {
+            "_d": match_groups(F.regexp_extract("_text", DISCLOSURE, 0), DISCLOSURE, 4),
+            "_printed": printed_ticker("_text"),
+            "_listed": listed_tickers(codes),
+            "published_at": at,
+            "record_id": F.col("newsId").cast("string"),
+        },
+    )
+    parts = computed(parts, {"ticker": resolve_ticker("_printed", "_listed")})
+    group = lambda i: F.col("_d")[i]
+    amount = unit_amount(group(2), group(3))
+    rows = parts.where(carries_ticker("_text", "ticker")).select(
+        "ticker",
+        month_of(group(0), group(1)).alias("month"),
+        "published_at",
+        local_date("published_at").alias("published_date"),
+        local_time("published_at").alias("published_time"),
+        "record_id",
+        F.concat(F.lit(ARTICLE_PAGE), "record_id").alias("source_url"),
         decode_title("title").alias("source_title"),
         amount["value"].alias("revenue"),
         amount["tolerance"].alias("tolerance"),
@@ -164,8 +188,7 @@ def article_records(articles: DataFrame) -> DataFrame:
         percent_after("_text", "年增率").alias("yoy"),
     )
     good = rows.where(
-        F.col("ticker").isNotNull()
-        & F.col("month").isNotNull()
+        F.col("month").isNotNull()
         & F.col("revenue").isNotNull()
         & F.col("published_at").isNotNull()
         & F.col("record_id").isNotNull()
@@ -214,12 +237,12 @@ def release_records(payloads: DataFrame, company: str = "ASPEED", ticker: str =
     """Five metrics of each press release; ``rejects`` names what is missing."""
     rows = payloads.select("success", "data.*")
     rows = rows.withColumn("_text", decode_release("content"))
-    part = lambda pattern, i: F.nullif(F.regexp_extract("_text", pattern, i), F.lit(""))
+    part = lambda pattern, i: F.regexp_extract("_text", pattern, i)
     at = F.try_to_timestamp("postTime")
     typed = rows.withColumns(_release_head(rows, "name", company)).withColumns(
         {
             "ticker": F.lit(ticker),
-            "record_id": F.nullif(F.trim("_id"), F.lit("")),
+            "record_id": F.when(F.trim("_id") != "", F.trim("_id")),
             "published_at": at,
             "published_date": local_date(at),
             "published_time": local_time(at),
@@ -237,9 +260,7 @@ def release_records(payloads: DataFrame, company: str = "ASPEED", ticker: str =
         "ticker": ~F.col("_text").rlike(rf"(?i)(?:TWSE|TPEX)\s*:\s*{ticker}\b"),
         **{c: F.col(c).isNull() for c in ("month", "record_id", "published_at", "revenue", "mom", "yoy", "ytd", "ytd_yoy")},
     }
-    rejects = F.filter(
-        F.array(*[F.when(t, F.lit(c)) for c, t in wrong.items()]), lambda x: x.isNotNull()
-    )
+    rejects = F.array_compact(F.array(*[F.when(t, F.lit(c)) for c, t in wrong.items()]))
     return typed.select(
         "ticker",
         "month",

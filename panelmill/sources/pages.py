@@ -22,9 +22,11 @@ from ..functions.text import (
     decode_calendar,
     decode_text,
     is_correction,
+    match_groups,
     month_of,
 )
 from ..operators.pick import last_wins
+from .steps import computed
 
 ANNOUNCEMENT_DAYS = (0, 31)
 
@@ -88,8 +90,8 @@ def extract_all(df: DataFrame, text: str, pattern: str, groups: dict[str, int])
     rows = found.select(
         *[c for c in found.columns if c != "_all"], F.posexplode("_all").alias("pos", "_match")
     )
-    parts = {name: F.regexp_extract("_match", pattern, i) for name, i in groups.items()}
-    return rows.withColumns(parts).drop("_match")
+    rows = rows.withColumn("_g", match_groups("_match", pattern, max(groups.values())))
+    return rows.withColumns({name: F.col("_g")[i - 1] for name, i in groups.items()}).drop("_match", "_g")
 
 
 def listing_records(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -98,15 +100,14 @@ def listing_records(pages: DataFrame, html: str = "html") -> DataFrame:
     The headline gives company name, month, amount and year-over-year percent;
     corrections and other headlines drop out. The ticker comes from a name map.
     """
-    rows = extract_all(
-        pages, html, LISTING_ROW, {"_id": 1, "_title": 2, "_date": 3, "_time": 4}
-    ).withColumn("source_title", decode_text("_title"))
-    rows = rows.where(
+    rows = extract_all(pages, html, LISTING_ROW, {"_id": 1, "_title": 2, "_date": 3, "_time": 4})
+    rows = computed(rows, {"source_title": decode_text("_title")}).where(
         ~is_correction("source_title", CORRECTION_ARTICLE) & F.col("source_title").rlike(LISTING_TITLE)
     )
-    part = lambda i: F.regexp_extract("source_title", LISTING_TITLE, i)
+    rows = computed(rows, {"_g": match_groups("source_title", LISTING_TITLE, 7)})
+    part = lambda i: F.col("_g")[i - 1]
     amount = unit_amount(part(4), part(5), default_scale=1)
-    date = F.try_to_date("_date", "yyyy-MM-dd")
+    date = iso_date("_date")
     typed = rows.select(
         F.trim(part(1)).alias("company_name"),
         month_of(part(2).try_cast("int") + 1911, part(3)).alias("month"),
@@ -119,7 +120,7 @@ def listing_records(pages: DataFrame, html: str = "html") -> DataFrame:
         amount["value"].alias("revenue"),
         amount["tolerance"].alias("tolerance"),
         F.lit(None).cast("double").alias("mom"),
-        signed_percent(part(6), F.nullif(part(7), F.lit(""))).alias("yoy"),
+        signed_percent(part(6), part(7)).alias("yoy"),
     )
     return typed.where(F.col("month").isNotNull() & F.col("revenue").isNotNull())
 
@@ -175,25 +176,24 @@ def calendar_records(pages: DataFrame, html: str = "html", parser: str = "parser
     rows = pages.select(*carried, F.posexplode(matches).alias("_pos", "_e")).select(*carried, "_pos", "_e.*")
     rule = lambda n: choose("layout", {name: r[n] for name, r in LAYOUT_RULES.items()})
     extract = lambda c, pattern, group: F.call_function("regexp_extract", F.col(c), pattern, group)
-    events = (
-        rows.withColumns(
-            {
-                "title": decode_calendar(extract("text", rule(0), rule(1))),
-                "date_text": extract("text", rule(2), rule(3)),
-            }
-        )
-        .withColumn("_named", F.concat_ws(" ", "title", F.nullif("year", F.lit(""))))
-        .withColumns(
-            {
-                "month": month_from_name(extract("_named", rule(4), F.lit(1)), extract("_named", rule(4), F.lit(2))),
-                "announced_date": F.coalesce(iso_date("date_text"), us_date("date_text")),
-                "announced_time": suffix_time("date_text"),
-                "title": F.when(
-                    F.col("layout").isin("overview", "annual"),
-                    F.concat("_named", F.lit(", Monthly Sales Announcement")),
-                ).otherwise(F.col("title")),
-            }
-        )
+    cut = computed(
+        rows,
+        {
+            "title": decode_calendar(extract("text", rule(0), rule(1))),
+            "date_text": extract("text", rule(2), rule(3)),
+        },
+    )
+    named = cut.withColumn("_named", F.concat_ws(" ", "title", F.nullif("year", F.lit(""))))
+    name_part = lambda group: extract("_named", rule(4), F.lit(group))
+    suffixed = F.concat("_named", F.lit(", Monthly Sales Announcement"))
+    events = computed(
+        named,
+        {
+            "month": month_from_name(name_part(1), name_part(2)),
+            "announced_date": F.coalesce(iso_date("date_text"), us_date("date_text")),
+            "announced_time": suffix_time("date_text"),
+            "title": F.when(F.col("layout").isin("overview", "annual"), suffixed).otherwise(F.col("title")),
+        },
     )
     fitting = events.where(
         F.coalesce(in_window("announced_date", "month", *ANNOUNCEMENT_DAYS), F.lit(False))
