@@ -26,7 +26,7 @@ RELEASE_WINDOWS = ((1, 4), (5, 7), (8, 10), (11, 15), (16, None))
 DEADLINE_DAY = 10
 
 # The white space that source texts may hold, as a character class.
-SPACES = "\\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+SPACES = "\\s\\p{Z}\ufeff"
 
 
 def _col(c) -> Column:

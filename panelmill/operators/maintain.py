@@ -102,16 +102,23 @@ def apply_versions(
     """
     keys = list(keys)
     on_insert, on_reactivate = on_insert or {}, on_reactivate or {}
-    head = F.max_by(F.struct(hash_col, *compare), F.when(F.col("is_current"), F.col("version")))
-    heads = cur.groupBy(*keys).agg(F.max("version").alias("_top"), head.alias("_head"))
+    # Per incoming key: highest version, and whether the hash is known already.
+    offered = inc.select(*keys, F.col(hash_col).alias("_offered"))
+    known = cur.join(offered, keys).groupBy(*keys).agg(
+        F.max("version").alias("_top"), F.bool_or(F.col(hash_col) == F.col("_offered")).alias("_known")
+    )
+    heads = cur.where(F.col("is_current")).select(
+        *keys, F.col(hash_col).alias("_head"), *[F.col(x).alias(f"_head_{x}") for x in compare]
+    )
     had = F.col("_head").isNotNull()
-    equal = _all([F.col(f"_head.{x}").eqNullSafe(F.col(x)) for x in compare]) if compare else F.lit(False)
-    same = had & ((F.col(f"_head.{hash_col}") == F.col(hash_col)) | equal)
+    equal = _all([F.col(f"_head_{x}").eqNullSafe(F.col(x)) for x in compare]) if compare else F.lit(False)
+    same = had & ((F.col("_head") == F.col(hash_col)) | equal)
     changed = (
-        inc.join(heads, keys, "left")
+        inc.join(known, keys, "left")
+        .join(heads, keys, "left")
         .where(~F.coalesce(same, F.lit(False)))
         .withColumn("restated", had)
-        .drop("_head")
+        .drop("_head", *[f"_head_{x}" for x in compare])
     )
 
     news = changed.select(
@@ -138,7 +145,7 @@ def apply_versions(
         *cur.columns, "action", F.when(reactivated, F.col("_restated")).otherwise(F.lit(False)).alias("restated")
     )
 
-    fresh = changed.join(cur.select(*keys, hash_col), [*keys, hash_col], "left_anti").withColumns(
+    fresh = changed.where(~F.coalesce("_known", F.lit(False))).withColumns(
         {
             "version": F.coalesce(F.col("_top"), F.lit(0)) + 1,
             "is_current": F.lit(True),

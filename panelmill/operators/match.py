@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import REPORT_DATE_PRIORITY
 from ..functions.months import in_window
 from ..functions.numbers import percent_close
-from .pick import earliest, top_per_key
+from .pick import earliest, stored, top_per_key
 
 PUBLICATION_DAYS = (0, 45)
 RELEASE_TOLERANCE = 1000
@@ -61,7 +61,8 @@ def tolerance_match(
     extra = [c for c, _ in also]
     figures = [value, *extra, *percents]
     distinct = claims.select(*keys, *figures, tolerance).distinct()
-    distinct = distinct.withColumn("_level", F.length(F.bin(F.col(tolerance) * 2 + 1)))
+    # Read twice below; claims may be costly to derive.
+    distinct = stored(distinct.withColumn("_level", F.length(F.bin(F.col(tolerance) * 2 + 1))))
     low = F.expr(f"shiftright({value} - {tolerance}, _level)")
     high = F.expr(f"shiftright({value} + {tolerance}, _level)")
     banded = distinct.withColumn("_band", F.explode(F.sequence(low, high)))

@@ -104,7 +104,7 @@ def sparse_momentum(s):
 
 
 def members(s):
-    return groups.snapshot_members(s.dim.drop("labels"), s.facts, s.bridge)
+    return groups.snapshot_members(s.dim.drop("labels"), s.kept_facts, s.bridge)
 
 
 # --- panel windows ---------------------------------------------------------
@@ -270,7 +270,7 @@ _RANKED = """
 
 def _latest_snapshot(s):
     rows = members(s)
-    latest = F.date_format(panel.latest_month(s.facts), "yyyy-MM")
+    latest = F.date_format(panel.latest_month(s.kept_facts), "yyyy-MM")
     return groups.group_snapshot(rows.where(F.col("key") == latest))
 
 
@@ -302,7 +302,7 @@ def group_leaders(s):
     SELECT classification, key, aggregate_revenue, reporting, simple_yoy, weighted_yoy FROM grouped WHERE key = '2001-10'""",
 )
 def group_chart_series(s):
-    series = groups.group_growth(s.facts, s.bridge)
+    series = groups.group_growth(s.kept_facts, s.bridge)
     rows = groups.chart_series(series, groups.group_snapshot(members(s)), "2001-10")
     return rows.withColumn("month", ym("month"))
 
@@ -480,7 +480,7 @@ def company_export(s):
     FROM facts""",
 )
 def manifest(s):
-    row = views.manifest(s.dim, s.bridge, s.facts, s.rates)
+    row = views.manifest(s.dim, s.bridge, s.kept_months, s.rates)
     return row.withColumns({c: ym(c) for c in ("first_month", "latest_month", "rate_start", "rate_end")})
 
 
@@ -519,9 +519,9 @@ def reconcile_groups(s):
 def reconcile_series(s):
     """Snapshot rows that differ from the series; mix is held against the latest month."""
     snapshot = groups.group_snapshot(members(s))
-    latest = F.date_format(panel.latest_month(s.facts), "yyyy-MM")
+    latest = F.date_format(panel.latest_month(s.kept_facts), "yyyy-MM")
     held = snapshot.withColumn("key", F.when(F.col("key") == "mix", latest).otherwise(F.col("key")))
-    series = groups.group_growth(s.facts, s.bridge)
+    series = groups.group_growth(s.kept_facts, s.bridge)
     return quality.snapshot_series_mismatch(held, series).select("classification", "key")
 
 

@@ -128,7 +128,7 @@ def announcements(s):
 def schedule(s):
     """The schedule reads the report dates several times, so they are stored first."""
     return forecast.release_schedule(
-        everyone(s), pick.stored(s.report_dates), s.panel, announcements(s), s.holidays, TARGET, NOW
+        everyone(s), pick.stored(s.report_dates), s.kept_months, announcements(s), s.holidays, TARGET, NOW
     )
 
 
@@ -351,17 +351,17 @@ def own_schedule(s):
 
 
 def target_month(s, planned):
-    return freshness.target_period(planned, s.facts, s.classed).scalar()
+    return freshness.target_period(planned, s.kept_months, s.classed).scalar()
 
 
 def fresh(s):
     planned = own_schedule(s)
-    return freshness.freshness(s.classed, planned, s.facts, target_month(s, planned))
+    return freshness.freshness(s.classed, planned, s.kept_months, target_month(s, planned))
 
 
 @query("target_period", f"SELECT {sql_ym('target_month')} AS target_month FROM fresh_target")
 def target_period(s):
-    return freshness.target_period(own_schedule(s), s.facts, s.classed).select(ym("target_month"))
+    return freshness.target_period(own_schedule(s), s.kept_months, s.classed).select(ym("target_month"))
 
 
 @query(
@@ -426,7 +426,7 @@ def freshness_screen(s):
 def freshness_export(s):
     planned = own_schedule(s)
     target = target_month(s, planned)
-    return screens.freshness_export(freshness.freshness(s.classed, planned, s.facts, target), target)
+    return screens.freshness_export(freshness.freshness(s.classed, planned, s.kept_months, target), target)
 
 
 @query("schedule_deadlines", f"SELECT {sql_ym('month')} AS month, {sql_day('deadline')} AS deadline FROM deadlines")

@@ -84,8 +84,9 @@ def incoming_facts(s):
 
 
 def applied_facts(s):
+    """Both sides are stored tables in use, and read several times."""
     return maintain.apply_facts(
-        stored_facts(s), incoming_facts(s), ["entity"], ["revenue", "quantity", "note"], NOW
+        pick.stored(stored_facts(s)), pick.stored(incoming_facts(s)), ["entity"], ["revenue", "quantity", "note"], NOW
     )
 
 

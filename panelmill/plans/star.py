@@ -17,6 +17,7 @@ from ..functions.labels import basis_priority
 from ..functions.months import minute_to_time, month_index
 from ..operators.groups import build_bridge, primary_class
 from ..operators.panel import reported_facts
+from ..operators.pick import stored
 from ..operators.views import monthly_rates
 
 NOW = "2002-01-20 04:00:00"
@@ -83,6 +84,16 @@ class Star:
     def facts(self) -> DataFrame:
         return reported_facts(self.panel)
 
+    @cached_property
+    def kept_facts(self) -> DataFrame:
+        """Facts as a stored table, for queries that read them several times."""
+        return stored(self.facts)
+
+    @cached_property
+    def kept_months(self) -> DataFrame:
+        """(entity, month) of the facts as a stored table."""
+        return stored(self.panel.select("entity", "month"))
+
     @cached_property
     def sparse_facts(self) -> DataFrame:
         return reported_facts(self.sparse)
