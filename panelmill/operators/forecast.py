@@ -17,7 +17,7 @@ from ..functions.months import (
     time_to_minute,
 )
 from ..functions.labels import history_kind
-from .pick import rank_history, retain_latest
+from .pick import rank_history, retain_latest, stored
 
 HISTORY_MONTHS = 12
 FULL_HISTORY = 3
@@ -310,14 +310,17 @@ def release_schedule(
     """
     target = F.lit(target).cast("date") if not isinstance(target, Column) else target
     history = release_history(report_dates)
-    earlier = complete_profiles(dim, release_profile(history, before=target, unique=True))
+    # One row per entity; the blend and the fallback both read it.
+    earlier = stored(complete_profiles(dim, release_profile(history, before=target, unique=True)))
     full = complete_profiles(dim, release_profile(history, unique=True))
     fallback = fallback_profile(earlier)
-    ahead = F.explode(F.sequence(add_month(target, 1), add_month(target, months - 1), F.expr("interval 1 month")))
+    month_step = F.expr("interval 1 month")
+    ahead = F.explode(F.sequence(add_month(target, 1), add_month(target, months - 1), month_step))
     grid = blend(earlier, fallback).withColumn("month", target)
     if months > 1:
         grid = grid.unionByName(blend(full, fallback).withColumn("month", ahead))
-    deadlines = release_deadlines(grid, holidays)
+    horizon = F.explode(F.sequence(target, add_month(target, months - 1), month_step))
+    deadlines = release_deadlines(dim.sparkSession.range(1).select(horizon.alias("month")), holidays)
     revenue = facts.select("entity", "month", F.lit(True).alias("has_revenue"))
     rows = (
         grid.join(revenue, ["entity", "month"], "left")

@@ -6,6 +6,7 @@ shuffle, so a hot key sends at most n rows per input task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,10 +70,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """Path of a new folder inside the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/panelmill/{uuid.uuid4()}"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Frame written once to the shared checkpoint folder, for several readers."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Frame written once as a table in the shared checkpoint folder.
+
+    It cuts the lineage for several readers; being columnar, each reads only
+    the columns it needs, and the planner knows its size. Losing an executor
+    later costs nothing that was written.
+    """
+    folder = new_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
@@ -82,7 +94,9 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
     both passes below see the same partitions. Row numbers inside a partition
     plus the sizes of the partitions before it give the rank.
     """
-    ordered = stored(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    ensure_checkpoint_dir(df.sparkSession)
+    # A checkpoint, not a table: files read back could be split or merged.
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
     # The id holds the partition in its high bits and the row in the low 33.
     placed = ordered.withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftrightunsigned("_id", 33).alias("_part")

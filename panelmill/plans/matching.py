@@ -131,12 +131,17 @@ CTES["confirmed"] = """
     f"SELECT record_id, part, entity, {sql_ym('month')} AS month, {sql_stamp('published_at')} AS published_at, revenue FROM confirmed",
 )
 def corroborated_articles(s):
-    found = match.corroborate(articles(s), panel_observations(s))
+    found = _corroborated(s)
     return found.select("record_id", "part", "entity", ym("month"), stamp("published_at"), "revenue")
 
 
+def _corroborated(s):
+    """Articles and observations are stored tables in use, and read several times."""
+    return match.corroborate(pick.stored(articles(s)), panel_observations(s))
+
+
 def _described(s):
-    found = match.corroborate(articles(s), panel_observations(s))
+    found = _corroborated(s)
     return found.withColumns(
         {
             "published_time": F.date_format(F.col("published_at") + F.expr("interval 8 hours"), "HH:mm:ss"),

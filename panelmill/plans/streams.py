@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.text import row_hash
 from ..operators import maintain, pick
-from ..operators.pick import ensure_checkpoint_dir
+from ..operators.pick import new_folder
 from ..streaming import jobs
 from .registry import query
 from .star import CTES, day, sql_day, sql_stamp, stamp
@@ -20,7 +18,7 @@ POLL_NOW = "2024-01-29 00:00:00"
 
 def job_folder(s) -> str:
     """New folder for one run, inside the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(s.spark)}/panelmill/{uuid.uuid4()}"
+    return new_folder(s.spark)
 
 
 def event_stream(s):
