@@ -211,11 +211,11 @@ def money_text(s):
 @query(
     "unit_amounts",
     """SELECT o_orderkey AS id, CAST(round(o_totalprice*100) AS BIGINT)*CAST(scale AS BIGINT) // 100 AS value,
-      greatest(1, CAST(ceil(0.5 * scale * 0.01) AS BIGINT) + 1) AS tolerance, scale
+      greatest(1, CAST(ceil(0.5 * scale * 0.01) AS BIGINT) + 1) AS tolerance, CAST(scale AS DOUBLE) AS scale
     FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 100000000.0 WHEN 1 THEN 10000.0 ELSE 100.0 END AS scale FROM orders)
     WHERE scale > 100
     UNION ALL
-    SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT), 2, 100.0 FROM orders WHERE o_orderkey % 3 = 2""",
+    SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT), 2, CAST(100 AS DOUBLE) FROM orders WHERE o_orderkey % 3 = 2""",
 )
 def unit_amounts(s):
     unit = F.when(F.col("o_orderkey") % 3 == 0, "億元").when(F.col("o_orderkey") % 3 == 1, "萬元").otherwise("元")

@@ -133,7 +133,7 @@ def raw_articles(s):
 @query(
     "article_records",
     f"""SELECT lpad(CAST(entity AS VARCHAR), 4, '0') AS ticker, CAST(entity * 100000 + year(month)*12+month(month)-1 AS VARCHAR) AS record_id, {sql_ym('month')} AS month,
-      revenue, 2 AS tolerance, 'a & b' AS source_title,
+      revenue, CAST(2 AS BIGINT) AS tolerance, 'a & b' AS source_title,
       {sql_stamp('month')} AS published_at, '08:00:00' AS published_time,
       abs(mom) >= 0 AS has_mom, yoy IS NOT NULL AS has_yoy FROM art WHERE entity % 9 <> 8 AND year(month) >= 2000""",
 )
@@ -177,8 +177,8 @@ def raw_releases(s):
     "release_records",
     f"""SELECT CAST(o_orderkey AS VARCHAR) AS record_id, {sql_ym('o_orderdate')} AS month,
       CAST(round(o_totalprice*100) AS BIGINT) * 10000 AS revenue, CAST(round(o_totalprice*100) AS BIGINT) * 10000 AS ytd,
-      CASE WHEN o_orderstatus = 'F' THEN -1.0 ELSE 1.0 END * (o_orderkey % 100) AS mom,
-      CASE WHEN o_orderstatus = 'F' THEN -1.0 ELSE 1.0 END * (o_orderkey % 100 + 0.5) AS yoy,
+      CAST(CASE WHEN o_orderstatus = 'F' THEN -1.0 ELSE 1.0 END * (o_orderkey % 100) AS DOUBLE) AS mom,
+      CAST(CASE WHEN o_orderstatus = 'F' THEN -1.0 ELSE 1.0 END * (o_orderkey % 100 + 0.5) AS DOUBLE) AS yoy,
       strftime(o_orderdate, '%Y-%m-%d') || ' 13:25:22' AS published_local,
       CASE WHEN o_orderpriority = '5-LOW' THEN 'type' ELSE '' END AS rejects FROM orders""",
 )
@@ -254,7 +254,7 @@ def raw_listing(s):
     "listing_records",
     f"""SELECT '公司' || CAST(entity AS VARCHAR) AS company_name, {sql_ym('month')} AS month,
       {sql_stamp("month + INTERVAL 1 MONTH + INTERVAL 459 MINUTE + INTERVAL 4 SECOND")} AS published_at,
-      lower(to_hex(entity)) || '-' || CAST(idx AS VARCHAR) AS record_id, 500001 AS tolerance, yoy IS NOT NULL AS has_yoy, yoy < 0 AS fell FROM facts WHERE year(month) >= 2000""",
+      lower(to_hex(entity)) || '-' || CAST(idx AS VARCHAR) AS record_id, CAST(500001 AS BIGINT) AS tolerance, yoy IS NOT NULL AS has_yoy, yoy < 0 AS fell FROM facts WHERE year(month) >= 2000""",
 )
 def listing_records(s):
     rows = pages.listing_records(raw_listing(s))
