@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, quality
+from . import chat, mixing, quality, secret, sharding, toxicity
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
+        "op2_secrets": secret.op2_secrets,
         "op4_chat": chat.op4_chat,
+        "op7_sharding": sharding.op7_sharding,
+        "op8_mixing": mixing.op8_mixing,
         "op10_quality": quality.op10_quality,
     }
 
@@ -17,5 +21,6 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_chat": chat.OP4_SQL,
+        "op8_mixing": mixing.OP8_SQL,
         "op10_quality": quality.OP10_SQL,
     }
