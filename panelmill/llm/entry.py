@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, mixing, quality, secret, sharding, toxicity
+from . import chat, imatch, mixing, quality, secret, sharding, shingle_join, toxicity
 
 
 def queries() -> dict[str, Callable]:
@@ -12,8 +12,10 @@ def queries() -> dict[str, Callable]:
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_secrets": secret.op2_secrets,
         "op4_chat": chat.op4_chat,
+        "op5_imatch": imatch.op5_imatch,
         "op7_sharding": sharding.op7_sharding,
         "op8_mixing": mixing.op8_mixing,
+        "op9_jaccard": shingle_join.op9_jaccard,
         "op10_quality": quality.op10_quality,
     }
 
@@ -21,6 +23,8 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_chat": chat.OP4_SQL,
+        "op5_imatch": imatch.OP5_SQL,
         "op8_mixing": mixing.OP8_SQL,
+        "op9_jaccard": shingle_join.OP9_SQL,
         "op10_quality": quality.OP10_SQL,
     }

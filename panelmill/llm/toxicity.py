@@ -122,7 +122,8 @@ def train(
     known = known.where(~is_held_out(F.col("doc_id")))
     total = known.count()
     known = known.where(unit(F.col("doc_id"), F.lit("labelled")) < max_labelled / max(total, 1))
-    bags = _bags(docs.select("doc_id", "text").join(known, "doc_id"), partitions)
+    # About ``max_labelled`` rows of two numbers, so small enough for every executor.
+    bags = _bags(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"), partitions)
     model = Model(np.zeros(SLOTS), -5.0)
 
     def summed(step, *more) -> np.ndarray:
@@ -175,15 +176,42 @@ def train(
     return Model(model.weights * scale, model.bias)
 
 
-def located(text: str, model: Model, least: float = 0.5) -> list[tuple[int, int, float]]:
-    """(start, end, chance) of the sentences that are toxic with a chance of ``least`` or more."""
-    found = []
-    for m in _SENTENCE.finditer(text):
-        slots, lengths, _ = _features([m[0]])
-        p = 1 / (1 + np.exp(-model.logits(slots, lengths)[0])) if len(slots) else 0.0
-        if p >= least:
-            found.append((m.start(), m.end(), float(p)))
-    return found
+class WordLogits(dict):
+    """What each word adds to a sentence's logit, worked out once for each word in sight."""
+
+    def __init__(self, model: Model, most: int = 200_000):
+        super().__init__()
+        self.model, self.most = model, most
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= self.most:
+            self.clear()
+        slots = [crc32(word), *(crc32(word[:n], n) for n in PREFIXES)]
+        self[word] = value = float(sum(self.model.weights[s & (SLOTS - 1)] for s in slots))
+        return value
+
+    def chances(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Chance of each text, and the logit of its worst sentence."""
+        values, lengths, counts = [], [], []
+        for text in texts:
+            bags = sentences(text) if isinstance(text, str) else []
+            for bag in bags:
+                values.extend(map(self.__getitem__, bag))
+            lengths.extend(map(len, bags) if bags else [0])
+            counts.append(max(len(bags), 1))
+        lengths, counts = np.array(lengths, np.int64), np.array(counts, np.int64)
+        logits = self.model.bias + _sums(np.array(values), lengths)
+        return self.model.chances(logits, counts), np.maximum.reduceat(logits, np.cumsum(counts) - counts)
+
+    def located(self, text: str, least: float = 0.5) -> list[tuple[int, int, float]]:
+        """(start, end, chance) of the sentences that are toxic with a chance of ``least`` or more."""
+        found = []
+        for m in _SENTENCE.finditer(text):
+            if any(sentences(m[0])):
+                chance = float(self.chances([m[0]])[0][0])
+                if chance >= least:
+                    found.append((m.start(), m.end(), chance))
+        return found
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -194,18 +222,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = sent.value
+        known = WordLogits(sent.value)
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at : at + 512]
-                slots, lengths, counts = _features(part["text"])
-                logits = model.logits(slots, lengths)
-                chance = model.chances(logits, counts)
-                ends = np.cumsum(counts)
-                flagged = np.maximum.reduceat(logits, ends - counts) >= 0
+                chance, worst = known.chances(part["text"])
                 spans = [
-                    ",".join(f"{s}:{e}" for s, e, _ in located(t, model)) if f and isinstance(t, str) else ""
-                    for f, t in zip(flagged, part["text"], strict=True)
+                    ",".join(f"{s}:{e}" for s, e, _ in known.located(t)) if w >= 0 and isinstance(t, str) else ""
+                    for w, t in zip(worst, part["text"], strict=True)
                 ]
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "score": chance.clip(0, 1), "sentences": spans})
 
