@@ -41,6 +41,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -71,27 +72,51 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of the words in sight."""
+#: Random 64-bit values of the bytes, and powers of an odd number and of its inverse.
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _M)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_INVERSE = np.uint64(pow(int(_M), -1, 2**64))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
 
+class Powers:
+    """Powers of a number modulo 2**64, as many as the longest text needed."""
 
-def shingles(text: str | None, known: WordHashes) -> np.ndarray:
-    """Sorted hashes of a text's distinct shingles."""
-    found = text.encode("utf-8", "replace").lower().split() if isinstance(text, str) else []
-    if not found:
+    def __init__(self, base: np.uint64):
+        self.base, self.made = base, np.ones(1, np.uint64)
+
+    def __getitem__(self, n: int) -> np.ndarray:
+        if len(self.made) < n:
+            self.made = np.full(2 * n, self.base)
+            self.made[0] = 1
+            self.made = np.multiply.accumulate(self.made)
+        return self.made[:n]
+
+
+_UP, _DOWN = Powers(_M), Powers(_INVERSE)
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted hashes of a text's distinct shingles.
+
+    A word's hash is a polynomial in its bytes, taken from the running sum over
+    the text, which makes it the same wherever the word stands.
+    """
+    raw = np.frombuffer(text.encode("utf-8", "replace").lower() if isinstance(text, str) else b"", np.uint8)
+    space = _SPACE[raw]
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    if not len(edges):
         return np.empty(0, np.uint64)
-    w = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    starts, ends = edges[::2], edges[1::2]
+    upto = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTES[raw] * _UP[len(raw)], out=upto[1:])
+    w = (upto[ends] - upto[starts]) * _DOWN[len(raw)][starts]
     width = min(len(w), SHINGLE)
     h = np.full(len(w) - width + 1, width, np.uint64)
     for j in range(width):
         h = h * _M + w[j : len(w) - width + 1 + j]
-    return np.unique(_mix(h))
+    h = _mix(h)
+    h.sort()
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def class_of(found: np.ndarray) -> int:
@@ -141,27 +166,20 @@ def signatures(found: np.ndarray, common: np.ndarray, seed: int) -> np.ndarray:
         groups = int(0.18 * top + 0.4 * top**0.5) + 1
         need, filled = k // 2 + 1, 0
         if top >= SMALL:
-            part = (rare >> np.uint64(16)) % np.uint64(2 * groups)
-            part = part.astype(np.int64)
+            part = ((rare >> np.uint64(16)) % np.uint64(2 * groups)).astype(np.int64)
             count = np.bincount(part, minlength=2 * groups)
             both = np.cumsum((count.reshape(groups, 2) > 0).all(axis=1))
             filled = int(both[-1])
-        if filled >= need:
-            last = 2 * (int(np.searchsorted(both, need)) + 1)
-            inside = np.argsort(part, kind="stable")
-            inside = inside[: int(count[:last].sum())]
-            starts = np.flatnonzero(np.diff(part[inside], prepend=-1))
-            sums = np.add.reduceat(_mix(rare[inside] + tag), starts)
-            out.append(_mix(sums + _mix(part[inside][starts].astype(np.uint64) * _M + tag)))
-        else:
-            if order is None:
-                order = np.lexsort((spread, high))
+        if top >= SMALL:
+            sums = np.zeros(2 * groups, np.uint64)
+            np.add.at(sums, part, rare)
+            signed = np.flatnonzero(count)
+            if filled >= need:
+                signed = signed[signed < 2 * (int(np.searchsorted(both, need)) + 1)]
+            out.append(_mix(sums[signed] + signed.astype(np.uint64) * _M + tag))
+        if filled < need:
+            order = np.lexsort((spread, high)) if order is None else order
             out.append(_mix(spread[order[: k + 1]] + np.uint64(1) + tag))
-            if top >= SMALL:  # partners with enough groups sign those
-                sums = np.zeros(2 * groups, np.uint64)
-                np.add.at(sums, part, _mix(rare + tag))
-                used = np.flatnonzero(count)
-                out.append(_mix(sums[used] + _mix(used.astype(np.uint64) * _M + tag)))
     return np.concatenate(out)
 
 
@@ -174,12 +192,11 @@ def _scan(docs: DataFrame) -> DataFrame:
     schema = "doc_id long, class long, n long, sketch binary, chunk int, counts binary"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, counts = WordHashes(), np.zeros(SLOTS, np.uint32)
+        counts = np.zeros(SLOTS, np.uint32)
         for batch in batches:
-            sets = [shingles(t, known) for t in batch["text"]]
-            for at in range(0, len(sets), 512):
-                some = np.concatenate(sets[at : at + 512] or [np.empty(0, np.uint64)])
-                counts += np.bincount(((some >> np.uint64(8)) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS).astype(np.uint32)
+            sets = [shingles(t) for t in batch["text"]]
+            slots = ((np.concatenate([np.empty(0, np.uint64), *sets]) >> np.uint64(8)) & np.uint64(SLOTS - 1)).astype(np.int64)
+            counts += np.bincount(slots, minlength=SLOTS).astype(np.uint32)
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
@@ -230,47 +247,61 @@ def _common(scanned: DataFrame) -> np.ndarray:
 
 
 def _each_class(docs: DataFrame, schema: str, made: Callable, wanted: np.ndarray | None = None) -> DataFrame:
-    """``made(class, set)`` of each class that a task sees, once; ``wanted`` is a bit set of hashed classes."""
-    spark = docs.sparkSession.sparkContext
-    sent = spark.broadcast(wanted)
+    """``made(class, set)`` of each class that a task sees, once.
+
+    ``wanted`` is a bit set of hashed ids; other rows are passed over unread.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(wanted)
     names = [c.split()[0] for c in schema.split(", ")]
 
+    def frame(out: list) -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate(v) for c, v in zip(names, zip(*out, strict=True), strict=True)})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, seen, bits = WordHashes(), set(), sent.value
+        seen, bits = set(), sent.value
         for batch in batches:
+            texts = batch["text"]
+            if bits is not None:
+                at = _spread_ids(batch["id"])
+                texts = texts[((bits[at >> 3] >> (at & 7)) & 1).astype(bool)]
             out = []
-            for text in batch["text"]:
-                found = shingles(text, known)
+            for text in texts:
+                found = shingles(text)
                 key = class_of(found)
                 if not len(found) or key in seen:
                     continue
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(key)
-                at = key & (BLOOM - 1)
-                if bits is None or bits[at >> 3] >> (at & 7) & 1:
-                    out.append(made(key, found))
+                out.append(made(key, found))
                 if len(out) >= 256:
-                    yield pd.DataFrame({c: np.concatenate(v) for c, v in zip(names, zip(*out, strict=True), strict=True)})
+                    yield frame(out)
                     out = []
             if out:
-                yield pd.DataFrame({c: np.concatenate(v) for c, v in zip(names, zip(*out, strict=True), strict=True)})
+                yield frame(out)
+
+    return docs.select(_id(), F.col("text").cast("string").alias("text")).mapInPandas(run, schema)
+
+
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id")
 
-    return _read(docs).select("text").mapInPandas(run, schema)
 
+def _spread_ids(ids: pd.Series) -> np.ndarray:
+    return (_mix(ids.to_numpy(np.int64).view(np.uint64)) & np.uint64(BLOOM - 1)).astype(np.int64)
 
-def _bits_of(classes: DataFrame) -> np.ndarray:
-    """Bit set of hashed classes, of a fixed size."""
+
+def _bits_of(ids: DataFrame) -> np.ndarray:
+    """Bit set of hashed ids, of a fixed size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(BLOOM // 8, np.uint8)
+        bits = np.zeros(BLOOM, bool)
         for batch in batches:
-            at = batch["class"].to_numpy(np.int64) & (BLOOM - 1)
-            np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-        yield pd.DataFrame({"bits": [zlib.compress(bits.tobytes(), 1)]})
+            bits[_spread_ids(batch["id"])] = True
+        yield pd.DataFrame({"bits": [zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]})
 
     out = np.zeros(BLOOM // 8, np.uint8)
-    for row in classes.select("class").coalesce(4).mapInPandas(run, "bits binary").collect():
+    for row in ids.select("id").coalesce(4).mapInPandas(run, "bits binary").collect():
         out |= np.frombuffer(zlib.decompress(row[0]), np.uint8)
     return out
 
@@ -314,12 +345,12 @@ def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     near = near.where(F.col("na") * 75 <= F.col("nb") * 100).where(F.col("nb") * 75 <= F.col("na") * 100)
     near = stored(near.where(possible("na", "sa", "nb", "sb")).select("a", "b"))
-    wanted = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = stored(near.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "id"), "class"))
     bits = _bits_of(wanted)
     if not bits.any():
         return near.limit(0)
     made = lambda key, found: (np.array([key], np.int64), np.array([found.tobytes()], object))
-    sets = _each_class(docs, "class long, elements binary", made, bits).join(wanted, "class", "left_semi")
+    sets = _each_class(docs, "class long, elements binary", made, bits).join(wanted.select("class"), "class", "left_semi")
     sets = stored(sets.dropDuplicates(["class"]))
     side = lambda s: sets.select(F.col("class").alias(s), F.col("elements").alias(f"e{s}"))
     return stored(near.join(side("a"), "a").join(side("b"), "b").where(alike("ea", "eb")).select("a", "b"))
@@ -361,25 +392,32 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of buckets that hold several components: signature, class, component, members."""
+    """Rows of buckets that hold several components: signature, class, component, few.
+
+    ``few``: the bucket has at most FULL pairs across components for each member.
+    """
     whole = W.partitionBy("signature")
     got = shared.select("signature", "class").join(labels, "class", "left")
     got = got.withColumn("component", F.coalesce("component", "class"))
-    got = got.withColumn("_lo", F.min("component").over(whole)).withColumn("_hi", F.max("component").over(whole))
-    got = got.withColumn("members", F.count("*").over(whole)).where("_lo < _hi")
-    return stored(got.select("signature", "class", "component", "members"))
+    got = got.withColumn("_same", F.count("*").over(W.partitionBy("signature", "component")))
+    got = got.withColumn("_all", F.count("*").over(whole)).where("_same < _all")
+    across = F.col("_all") * F.col("_all") - F.sum("_same").over(whole)
+    return stored(got.select("signature", "class", "component", (across <= 2 * FULL * F.col("_all")).alias("few")))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
-def _around(rows: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each class with a centre of its bucket from another component."""
+def _around(rows: DataFrame, turn: int, centres: int = 3) -> DataFrame:
+    """Pairs of each class with random members of its bucket that are in another component."""
     whole = W.partitionBy("signature")
-    centre = F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), F.col("class").alias("k"), F.col("component").alias("c")))
-    got = rows.withColumn("_centre", centre.over(whole))
-    return _ordered(got.where("_centre.c <> component").select(F.col("_centre.k").alias("a"), F.col("class").alias("b")))
+    pairs = []
+    for c in range(centres):
+        centre = F.min(F.struct(F.xxhash64("class", F.lit(turn * centres + c)), F.col("class").alias("k"), F.col("component").alias("c")))
+        got = rows.withColumn("_centre", centre.over(whole)).where("_centre.c <> component")
+        pairs.append(got.select(F.col("_centre.k").alias("a"), F.col("class").alias("b")))
+    return _ordered(reduce(DataFrame.union, pairs))
 
 
 def _across(rows: DataFrame) -> DataFrame:
@@ -388,10 +426,12 @@ def _across(rows: DataFrame) -> DataFrame:
     return _ordered(one("a").join(one("b"), "signature").where("a < b AND ca <> cb").select("a", "b"))
 
 
-def class_components(docs: DataFrame, scanned: DataFrame, turns: int = 1, deepest: int = 3) -> DataFrame:
+def class_components(docs: DataFrame, scanned: DataFrame, turns: int = 3, deepest: int = 2) -> DataFrame:
     """(class, component) of all classes that have a link."""
     common = _common(scanned)
-    classes = stored(scanned.where("n > 0").select("class", "n", "sketch").dropDuplicates(["class"]))
+    filled = scanned.where("n > 0").select("class", "n", "sketch", _id())
+    first = F.min(F.struct("id", "n", "sketch")).alias("_first")
+    classes = stored(filled.groupBy("class").agg(first).select("class", "_first.*"))
     shared = stored(_shared(_buckets(docs, common, 0)))
     pairs = stored(_ordered(shared.select(F.col("centre").alias("a"), F.col("class").alias("b"))))
     tested = pairs
@@ -404,17 +444,18 @@ def class_components(docs: DataFrame, scanned: DataFrame, turns: int = 1, deepes
             tested = tested.union(fresh)
             labels = _merged(labels, linked(docs, classes, fresh))
 
-    for turn in range(turns):
-        more(_around(_open(shared, labels), turn))
     rows = _open(shared, labels)
-    for depth in range(1, deepest + 1):
-        more(_across(rows.where(F.col("members") <= FULL)))
-        large = rows.where(F.col("members") > FULL)
-        if not large.limit(1).count():
-            return labels
+    for depth in range(deepest + 1):
+        for turn in range(turns):
+            crowded = rows.where(~F.col("few"))
+            open_ended = crowded.limit(1).count() > 0
+            more(_across(rows.where("few")).union(_around(crowded, turn)).distinct() if open_ended else _across(rows))
+            if not open_ended:
+                return labels
+            rows = _open(crowded, labels)
         # Partners share a signature of any other partition of the domain as well.
-        wanted = _bits_of(large.select("class").distinct())
-        split = large.select(F.col("signature").alias("_one"), "class").join(_buckets(docs, common, depth, wanted), "class")
+        wanted = _bits_of(rows.select("class").distinct().join(classes.select("class", "id"), "class"))
+        split = rows.select(F.col("signature").alias("_one"), "class").join(_buckets(docs, common, depth + 1, wanted), "class")
         split = split.select(F.xxhash64("_one", "signature").alias("signature"), "class").distinct()
         rows = _open(_shared(split), labels)
     more(_across(rows))
