@@ -24,9 +24,9 @@ Candidates are pairs with the bucket's centre, so a bucket gives as many pairs a
 it has members. A parity sketch, whose distance is never more than the sets'
 difference, rejects most; the others are compared in full. After links have been
 turned into components, only buckets that still hold several components are looked
-at again, with another centre; in the end all pairs of a bucket across components
-are compared, and a bucket too large for that is first split by signatures of
-another partition of the domain, which partners share as well.
+at again, for the pairs across components. Small buckets are joined with
+themselves; larger ones are cut into blocks, and each tile of two blocks compares
+longer sketches by bit counts, so that only pairs close to the limit become rows.
 
 Sets with equal elements are one class from the start. Hashes have 64 bits.
 
@@ -41,7 +41,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -59,8 +58,9 @@ BAND, SMALL = 1.8, 24
 #: twice the mean plus COMMON.
 SLOTS, CHUNKS, COMMON = 1 << 22, 32, 64
 BLOOM = 1 << 24
-#: Buckets of up to this many members are compared in full across components.
-FULL = 48
+#: Buckets with up to this many pairs across components for each member are joined
+#: in full; others are compared in tiles of two blocks of about this many members.
+FULL, BLOCK = 16, 1024
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -132,9 +132,9 @@ def most_different(a: int, b: int) -> int:
     return (a + b) // 7
 
 
-def sketch(found: np.ndarray) -> bytes:
-    """Parity of the number of elements in each of at least twice as many cells."""
-    bits = 1 << max(6, int(2 * len(found) - 1).bit_length())
+def sketch(found: np.ndarray, cells: int = 2) -> bytes:
+    """Parity of the number of elements in each of at least ``cells`` times as many cells."""
+    bits = 1 << max(6, int(cells * len(found) - 1).bit_length())
     odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -377,10 +377,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links."""
-    if labels is None:
-        return components(links)
     named = lambda s: labels.select(F.col("class").alias(s), F.col("component").alias(f"c{s}"))
     met = links.join(named("a"), "a", "left").join(named("b"), "b", "left")
     met = met.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct()
@@ -409,24 +407,70 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
-def _around(rows: DataFrame, turn: int, centres: int = 3) -> DataFrame:
-    """Pairs of each class with random members of its bucket that are in another component."""
-    whole = W.partitionBy("signature")
-    pairs = []
-    for c in range(centres):
-        centre = F.min(F.struct(F.xxhash64("class", F.lit(turn * centres + c)), F.col("class").alias("k"), F.col("component").alias("c")))
-        got = rows.withColumn("_centre", centre.over(whole)).where("_centre.c <> component")
-        pairs.append(got.select(F.col("_centre.k").alias("a"), F.col("class").alias("b")))
-    return _ordered(reduce(DataFrame.union, pairs))
-
-
 def _across(rows: DataFrame) -> DataFrame:
     """All pairs of a bucket from different components."""
     one = lambda s: rows.select("signature", F.col("class").alias(s), F.col("component").alias(f"c{s}"))
     return _ordered(one("a").join(one("b"), "signature").where("a < b AND ca <> cb").select("a", "b"))
 
 
-def class_components(docs: DataFrame, scanned: DataFrame, turns: int = 3, deepest: int = 2) -> DataFrame:
+def _tiled(docs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs of a bucket from different components that long sketches cannot tell apart enough.
+
+    A bucket's members are dealt to blocks; every two blocks, and each block with
+    itself, meet in a tile of their own.
+    """
+    wanted = rows.select("class").distinct().join(classes.select("class", "id", "n"), "class")
+    wanted = stored(wanted)
+    made = lambda key, found: (np.array([key], np.int64), np.array([sketch(found, 8)], object))
+    long = _each_class(docs, "class long, long binary", made, _bits_of(wanted)).dropDuplicates(["class"])
+    rows = rows.join(wanted.select("class", "n"), "class").join(long, "class")
+    blocks = F.ceil(F.count("*").over(W.partitionBy("signature")) / BLOCK).cast("int")
+    rows = rows.withColumn("_of", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("_of")).cast("int"))
+    rows = rows.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
+    tile = F.xxhash64("signature", F.least("block", "_with"), F.greatest("block", "_with"))
+    rows = rows.select(tile.alias("tile"), "block", "class", "component", "n", "long")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            held.append(batch)
+            every = pd.concat(held)
+            last = every["tile"].iloc[-1] if len(every) else None
+            for _, tile in every[every["tile"] != last].groupby("tile", sort=False):
+                yield _near(tile)
+            held = [every[every["tile"] == last]]
+        for tile in held:
+            if len(tile):
+                yield _near(tile)
+
+    got = rows.repartition("tile").sortWithinPartitions("tile", "class").mapInPandas(compare, "a long, b long")
+    return _ordered(got)
+
+
+def _near(tile: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of a tile that may be linked, by the bit counts of their sketches."""
+    size = tile["long"].map(len).min()
+
+    def fold(x: bytes) -> np.ndarray:
+        x = np.frombuffer(x, np.uint64)
+        while 8 * len(x) > size:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        return x
+
+    bits = np.stack([fold(x) for x in tile["long"]])
+    key, component, n, block = (tile[c].to_numpy(np.int64) for c in ("class", "component", "n", "block"))
+    a, b = [], []
+    for i in range(len(tile) - 1):
+        others = np.flatnonzero((component[i + 1 :] != component[i]) & ((block[i + 1 :] != block[i]) | (block.min() == block.max()))) + i + 1
+        apart = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        hits = others[apart <= (n[others] + n[i]) // 7]
+        a.append(np.full(len(hits), key[i]))
+        b.append(key[hits])
+    none = np.empty(0, np.int64)
+    return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+
+
+def class_components(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """(class, component) of all classes that have a link."""
     common = _common(scanned)
     filled = scanned.where("n > 0").select("class", "n", "sketch", _id())
@@ -434,32 +478,13 @@ def class_components(docs: DataFrame, scanned: DataFrame, turns: int = 3, deepes
     classes = stored(filled.groupBy("class").agg(first).select("class", "_first.*"))
     shared = stored(_shared(_buckets(docs, common, 0)))
     pairs = stored(_ordered(shared.select(F.col("centre").alias("a"), F.col("class").alias("b"))))
-    tested = pairs
-    labels = _merged(None, linked(docs, classes, pairs))
-
-    def more(candidates: DataFrame) -> None:
-        nonlocal labels, tested
-        fresh = stored(candidates.join(tested, ["a", "b"], "left_anti"))
-        if fresh.limit(1).count():
-            tested = tested.union(fresh)
-            labels = _merged(labels, linked(docs, classes, fresh))
-
+    labels = components(linked(docs, classes, pairs))
     rows = _open(shared, labels)
-    for depth in range(deepest + 1):
-        for turn in range(turns):
-            crowded = rows.where(~F.col("few"))
-            open_ended = crowded.limit(1).count() > 0
-            more(_across(rows.where("few")).union(_around(crowded, turn)).distinct() if open_ended else _across(rows))
-            if not open_ended:
-                return labels
-            rows = _open(crowded, labels)
-        # Partners share a signature of any other partition of the domain as well.
-        wanted = _bits_of(rows.select("class").distinct().join(classes.select("class", "id"), "class"))
-        split = rows.select(F.col("signature").alias("_one"), "class").join(_buckets(docs, common, depth + 1, wanted), "class")
-        split = split.select(F.xxhash64("_one", "signature").alias("signature"), "class").distinct()
-        rows = _open(_shared(split), labels)
-    more(_across(rows))
-    return labels
+    crowded = rows.where(~F.col("few"))
+    rest = _across(rows.where("few"))
+    if crowded.limit(1).count():
+        rest = rest.union(_tiled(docs, classes, crowded)).distinct()
+    return _merged(labels, linked(docs, classes, rest.join(pairs, ["a", "b"], "left_anti")))
 
 
 def join(docs: DataFrame) -> DataFrame:
