@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, imatch, mixing, quality, secret, sharding, shingle_join, toxicity
+from . import chat, imatch, mixing, mixlm, pieces, quality, secret, sharding, shingle_join, toxicity
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_secrets": secret.op2_secrets,
+        "op3_mixlm": mixlm.op3_mixlm,
         "op4_chat": chat.op4_chat,
         "op5_imatch": imatch.op5_imatch,
+        "op6_pieces": pieces.op6_pieces,
         "op7_sharding": sharding.op7_sharding,
         "op8_mixing": mixing.op8_mixing,
         "op9_jaccard": shingle_join.op9_jaccard,

@@ -50,6 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .common import stored
+from .hashing import ODD, SPACE, mix, spans
 
 SHINGLE = 5
 #: Ratio of sizes within a band; sets under SMALL elements sign single shingles.
@@ -62,59 +63,18 @@ BLOOM = 1 << 24
 #: in full; others are compared in tiles of two blocks of about this many members.
 FULL, BLOCK = 16, 1024
 
-_M = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values; the usual finalizer of xor-shifts and multiplications."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-#: Random 64-bit values of the bytes, and powers of an odd number and of its inverse.
-_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _M)
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_INVERSE = np.uint64(pow(int(_M), -1, 2**64))
-
-
-class Powers:
-    """Powers of a number modulo 2**64, as many as the longest text needed."""
-
-    def __init__(self, base: np.uint64):
-        self.base, self.made = base, np.ones(1, np.uint64)
-
-    def __getitem__(self, n: int) -> np.ndarray:
-        if len(self.made) < n:
-            self.made = np.full(2 * n, self.base)
-            self.made[0] = 1
-            self.made = np.multiply.accumulate(self.made)
-        return self.made[:n]
-
-
-_UP, _DOWN = Powers(_M), Powers(_INVERSE)
-
-
 def shingles(text: str | None) -> np.ndarray:
-    """Sorted hashes of a text's distinct shingles.
-
-    A word's hash is a polynomial in its bytes, taken from the running sum over
-    the text, which makes it the same wherever the word stands.
-    """
+    """Sorted hashes of a text's distinct shingles."""
     raw = np.frombuffer(text.encode("utf-8", "replace").lower() if isinstance(text, str) else b"", np.uint8)
-    space = _SPACE[raw]
-    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    edges = np.flatnonzero(np.diff(SPACE[raw], prepend=True, append=True))
     if not len(edges):
         return np.empty(0, np.uint64)
-    starts, ends = edges[::2], edges[1::2]
-    upto = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTES[raw] * _UP[len(raw)], out=upto[1:])
-    w = (upto[ends] - upto[starts]) * _DOWN[len(raw)][starts]
+    w = spans(raw, edges[::2], edges[1::2])
     width = min(len(w), SHINGLE)
     h = np.full(len(w) - width + 1, width, np.uint64)
     for j in range(width):
-        h = h * _M + w[j : len(w) - width + 1 + j]
-    h = _mix(h)
+        h = h * ODD + w[j : len(w) - width + 1 + j]
+    h = mix(h)
     h.sort()
     return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
@@ -154,7 +114,7 @@ def signatures(found: np.ndarray, common: np.ndarray, seed: int) -> np.ndarray:
     n = len(found)
     slot = (found >> np.uint64(8)) & np.uint64(SLOTS - 1)
     high = (common[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
-    spread = _mix(found ^ np.uint64((seed * 0xD1B54A32D192ED03) & (2**64 - 1)))
+    spread = mix(found ^ np.uint64((seed * 0xD1B54A32D192ED03) & (2**64 - 1)))
     rare = spread[high == 0]
     order = None
     out = []
@@ -176,10 +136,10 @@ def signatures(found: np.ndarray, common: np.ndarray, seed: int) -> np.ndarray:
             signed = np.flatnonzero(count)
             if filled >= need:
                 signed = signed[signed < 2 * (int(np.searchsorted(both, need)) + 1)]
-            out.append(_mix(sums[signed] + signed.astype(np.uint64) * _M + tag))
+            out.append(mix(sums[signed] + signed.astype(np.uint64) * ODD + tag))
         if filled < need:
             order = np.lexsort((spread, high)) if order is None else order
-            out.append(_mix(spread[order[: k + 1]] + np.uint64(1) + tag))
+            out.append(mix(spread[order[: k + 1]] + np.uint64(1) + tag))
     return np.concatenate(out)
 
 
@@ -288,7 +248,7 @@ def _id() -> Column:
 
 
 def _spread_ids(ids: pd.Series) -> np.ndarray:
-    return (_mix(ids.to_numpy(np.int64).view(np.uint64)) & np.uint64(BLOOM - 1)).astype(np.int64)
+    return (mix(ids.to_numpy(np.int64).view(np.uint64)) & np.uint64(BLOOM - 1)).astype(np.int64)
 
 
 def _bits_of(ids: DataFrame) -> np.ndarray:
