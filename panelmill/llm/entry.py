@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+
 from . import chat, imatch, mixing, mixlm, pieces, quality, secret, sharding, shingle_join, toxicity
 
 
@@ -19,6 +21,7 @@ def queries() -> dict[str, Callable]:
         "op8_mixing": mixing.op8_mixing,
         "op9_jaccard": shingle_join.op9_jaccard,
         "op10_quality": quality.op10_quality,
+        "pipeline": corpus_pipeline.run,
     }
 
 

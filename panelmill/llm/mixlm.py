@@ -48,7 +48,7 @@ END = b" "
 SEGMENT, TOKENS = 256, 20_000
 #: First say of each hashed context by how often it was seen (never, 1-2, 3-15,
 #: more) against 1 for the node alone: for bits of words, and of bytes.
-SAY = (((0.0, 0.1, 0.35, 1.0), (0.0, 0.25, 0.8, 1.6)), ((0.0, 0.1, 0.35, 1.0), (0.0, 0.25, 0.8, 1.6)))
+SAY = (((0.0, 0.1, 0.35, 1.0), (0.0, 0.25, 0.8, 1.6)), ((0.0, 0.2, 0.6, 1.5), (0.0, 0.5, 1.2, 2.0)))
 
 
 _LOGITS = ((np.arange(256) - 128) / 16).astype(np.float32)

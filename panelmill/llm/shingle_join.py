@@ -447,15 +447,21 @@ def class_components(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     return _merged(labels, linked(docs, classes, rest.join(pairs, ["a", "b"], "left_anti")))
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class and component_id of every document."""
+def labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n, class and component of documents with shingles; doc_id, n, class of the others."""
     scanned = _scan(docs)
     rows = scanned.where("chunk IS NULL").select("doc_id", "n", "class")
     labels = class_components(docs, scanned)
-    filled = rows.where("n > 0").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    filled = rows.where("n > 0").join(labels, "class", "left")
+    return filled.withColumn("component", F.coalesce("component", "class")), rows.where("n = 0")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, class and component_id of every document."""
+    filled, empty = labelled(docs)
     least = filled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     filled = filled.join(least, "component")
-    empty = rows.where("n = 0").withColumn("component_id", F.col("doc_id"))
+    empty = empty.withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", F.col("n").alias("n_shingles"), "class", "component_id"]
     return filled.select(*columns).union(empty.select(*columns))
 
@@ -463,18 +469,26 @@ def join(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of each group of linked documents, all columns as they were.
 
-    The one with the least id stays; of rows that share that id, the least text.
-    Rows without shingles stay all.
+    The one with the least id stays, a null id only if there is no other; of rows
+    with that id and set, the least text. Rows without shingles stay all.
     """
-    marks = join(docs).where("n_shingles > 0").groupBy("component_id").agg(F.count("*").alias("_rows"))
-    keep = marks.select(F.col("component_id").alias("doc_id"))
+    filled, _ = labelled(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")).alias("_first")
+    keep = filled.groupBy("component").agg(least).select("_first.doc_id", F.col("_first.class").alias("_class"))
+
+    @F.pandas_udf("long")
+    def class_of_text(texts: pd.Series) -> pd.Series:
+        sets = (shingles(t) for t in texts)
+        return pd.Series([class_of(s) if len(s) else None for s in sets], dtype="Int64")
+
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    worded = docs.where(has_words).select(F.struct(*columns).alias("_row"), "doc_id", F.xxhash64("text").alias("_tie"))
-    same = worded["doc_id"].eqNullSafe(keep["doc_id"])
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy("_tie"))
-    kept = worded.join(keep, same, "left_semi").withColumn("_at", first).where("_at = 1")
-    return kept.select("_row.*").union(docs.where(~has_words).select(*columns))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"), class_of_text(text).alias("_class"), F.xxhash64(text).alias("_tie"))
+    keep = keep.select(F.col("_class"), F.col("doc_id").alias("_keep"))
+    same = (rows["_class"] == keep["_class"]) & rows["_id"].eqNullSafe(keep["_keep"])
+    first = F.row_number().over(W.partitionBy("_class").orderBy("_tie"))
+    kept = rows.where("_class IS NOT NULL").join(keep, same, "left_semi").withColumn("_at", first).where("_at = 1")
+    return kept.select("_row.*").union(rows.where("_class IS NULL").select("_row.*"))
 
 
 def op9_jaccard(spark, sf_dir: str) -> DataFrame:
