@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.steps import computed
 from .common import let, stored, text_of, words
 
 WINDOW = 5
@@ -154,17 +155,18 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "t
     """
     ordered = [e.rule for e in estimate(docs.select(F.col(text).alias("text")))] if rules is None else rules
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_of(f"`{text}`").alias("_text"))
-    row = row.withColumn("_w", words(F.col("_text")))
-    m = measures(F.col("_text"), F.col("_w"))
-    return row.where(first_failure(m, ordered).isNull()).select("_row.*")
+    # A filter would otherwise be pushed down and split the text anew for every word it looks at.
+    row = computed(row, {"_w": words(F.col("_text"))})
+    row = computed(row, {"_why": first_failure(measures(F.col("_text"), F.col("_w")), ordered)})
+    return row.where("_why IS NULL").select("_row.*")
 
 
 def measure(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """One row for each document: its measures, the verdict and the rejecting rule."""
     ordered = [e.rule for e in estimate(docs)] if rules is None else rules
-    read = docs.select("doc_id", text_of().alias("_text")).withColumn("_w", words(F.col("_text")))
+    read = computed(docs.select("doc_id", text_of().alias("_text")), {"_w": words(F.col("_text"))})
     made = measures(F.col("_text"), F.col("_w"))
-    got = read.select("doc_id", *[v.alias(k) for k, v in made.items()])
+    got = computed(read, made).select("doc_id", *made)
     m = {k: F.col(k) for k in made}
     base_failed = F.lit(False)
     for rule in RULES:
