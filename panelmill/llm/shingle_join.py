@@ -377,18 +377,20 @@ def _tiled(docs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """Pairs of a bucket from different components that long sketches cannot tell apart enough.
 
     A bucket's members are dealt to blocks; every two blocks, and each block with
-    itself, meet in a tile of their own.
+    itself, meet in a tile of their own. A pair comes from the first of its common
+    buckets only.
     """
     wanted = rows.select("class").distinct().join(classes.select("class", "id", "n"), "class")
     wanted = stored(wanted)
     made = lambda key, found: (np.array([key], np.int64), np.array([sketch(found, 8)], object))
     long = _each_class(docs, "class long, long binary", made, _bits_of(wanted)).dropDuplicates(["class"])
-    rows = rows.join(wanted.select("class", "n"), "class").join(long, "class")
+    buckets = rows.groupBy("class").agg(F.array_sort(F.collect_list("signature")).alias("buckets"))
+    rows = rows.join(wanted.select("class", "n"), "class").join(long, "class").join(buckets, "class")
     blocks = F.ceil(F.count("*").over(W.partitionBy("signature")) / BLOCK).cast("int")
     rows = rows.withColumn("_of", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("_of")).cast("int"))
     rows = rows.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
     tile = F.xxhash64("signature", F.least("block", "_with"), F.greatest("block", "_with"))
-    rows = rows.select(tile.alias("tile"), "block", "class", "component", "n", "long")
+    rows = rows.select(tile.alias("tile"), "signature", "block", "class", "component", "n", "long", "buckets")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -419,11 +421,13 @@ def _near(tile: pd.DataFrame) -> pd.DataFrame:
 
     bits = np.stack([fold(x) for x in tile["long"]])
     key, component, n, block = (tile[c].to_numpy(np.int64) for c in ("class", "component", "n", "block"))
+    own, here = tile["buckets"].to_list(), tile["signature"].iloc[0]
     a, b = [], []
     for i in range(len(tile) - 1):
         others = np.flatnonzero((component[i + 1 :] != component[i]) & ((block[i + 1 :] != block[i]) | (block.min() == block.max()))) + i + 1
         apart = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
         hits = others[apart <= (n[others] + n[i]) // 7]
+        hits = hits[[np.intersect1d(own[i], own[j], assume_unique=True)[0] == here for j in hits]] if len(hits) else hits
         a.append(np.full(len(hits), key[i]))
         b.append(key[hits])
     none = np.empty(0, np.int64)
