@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.pick import stored
 
-__all__ = ["WORD", "SPACE", "let", "stored", "text_of", "unit", "words"]
+__all__ = ["WORD", "SPACE", "let", "most_frequent", "stored", "text_of", "unit", "words"]
 
 #: A word is a run of anything but these six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,3 +38,18 @@ def unit(*columns: Column | str) -> Column:
 def table(df: DataFrame, **columns: Column | str) -> DataFrame:
     """Only the named columns, so that others of any name cannot clash."""
     return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in columns.items()])
+
+
+def most_frequent(counted: DataFrame, count: str, most: int) -> DataFrame:
+    """Rows with the highest counts, at most ``most``; rows of equal counts come all or not at all.
+
+    Only the distinct counts and their numbers go through the driver.
+    """
+    sizes = counted.groupBy(count).agg(F.count("*").alias("rows")).orderBy(F.desc(count)).limit(most).collect()
+    least, taken = None, 0
+    for row in sizes:
+        taken += row["rows"]
+        if taken > most:
+            break
+        least = row[count]
+    return counted.where(F.col(count) >= least) if least is not None else counted.limit(0)

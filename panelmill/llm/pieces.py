@@ -37,7 +37,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import most_frequent, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -62,9 +62,10 @@ class Pieces:
             raise ValueError("pieces that reach across words are not supported")
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """(piece, score); the empty piece gives every word an edge."""
-        rows = [(t, float(s)) for t, s in self.scores.items()] + [("", 0.0)]
-        return spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "score"]))
+        """(piece, score, rank); rank 0 is the best score. The empty piece gives every word an edge."""
+        ranks = {s: r for r, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        rows = [(t, float(s), ranks[s]) for t, s in self.scores.items()] + [("", 0.0, 0)]
+        return spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "score", "rank"]))
 
     def of(self, word: str, mask: str) -> list[int]:
         """Ids of a word cut where the mask has a 1."""
@@ -110,8 +111,11 @@ def _counted(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int, shortest: int) -> DataFrame:
-    """word, n and edges (score, start, size) of each word; blanks count as their own sign."""
+def lattice(words: DataFrame, pieces: DataFrame, longest: int, edge: Column, shortest: int) -> DataFrame:
+    """word, n and the edges of each word as ``edge`` writes them; blanks count as their own sign.
+
+    ``edge`` may use the piece's ``score`` and ``rank``, its ``start`` and ``size``.
+    """
     at = F.explode(F.sequence(F.lit(0), F.length("word"))).alias("start")
     starts = words.select("word", "n", F.translate("word", " ", BLANK).alias("_w"), at)
     room = F.least(F.lit(longest), F.length("_w") - F.col("start"))
@@ -120,7 +124,12 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int, shortest: int) ->
     every = every.select("word", "n", "start", "size", F.substring(F.col("_w"), F.col("start") + 1, F.col("size")).alias("piece"))
     # The piece table's size is fixed by the model.
     edges = every.join(F.broadcast(pieces), "piece")
-    return edges.groupBy("word", "n").agg(F.collect_list(F.struct("score", "start", "size")).alias("edges"))
+    return edges.groupBy("word", "n").agg(F.collect_list(edge).alias("edges"))
+
+
+def merge_edge() -> Column:
+    """An edge of the merge fold in one number: rank, start and size, so numbers sort by priority."""
+    return F.shiftleft(F.col("rank").cast("long"), 36) + F.shiftleft(F.col("start").cast("long"), 8) + F.col("size")
 
 
 def merge_fold(edges: Column, length: Column) -> Column:
@@ -129,12 +138,13 @@ def merge_fold(edges: Column, length: Column) -> Column:
     Edges come by score and then from the left. One is taken if both its ends are
     cuts and exactly one cut lies between them, which then goes.
     """
-    ordered = F.array_sort(F.transform(F.filter(edges, lambda e: e["size"] > 1), lambda e: F.struct((-e["score"]).alias("rank"), e["start"].alias("a"), e["size"].alias("size"))))
+    ordered = F.array_sort(F.filter(edges, lambda e: e.bitwiseAND(255) > 1))
 
     def step(mask: Column, e: Column) -> Column:
-        seen = F.substring(mask, e["a"] + 1, e["size"] + 1)
+        start, size = F.shiftright(e, 8).bitwiseAND((1 << 28) - 1).cast("int"), e.bitwiseAND(255).cast("int")
+        seen = F.substring(mask, start + 1, size + 1)
         joins = (F.left(seen, F.lit(1)) == "1") & (F.right(seen, F.lit(1)) == "1") & (F.length(F.replace(seen, F.lit("0"), F.lit(""))) == 3)
-        merged = F.concat(F.left(mask, e["a"] + 1), F.repeat(F.lit("0"), e["size"] - 1), F.substring(mask, e["a"] + e["size"] + 1, F.length(mask)))
+        merged = F.concat(F.left(mask, start + 1), F.repeat(F.lit("0"), size - 1), F.substring(mask, start + size + 1, F.length(mask)))
         return F.when(joins, merged).otherwise(mask)
 
     return F.aggregate(ordered, F.repeat(F.lit("1"), length + 1), step)
@@ -167,7 +177,8 @@ def encode_words(words: DataFrame, pieces: Pieces, kind: str = "bpe") -> DataFra
     spark = words.sparkSession
     sent = spark.sparkContext.broadcast(pieces)
     lowest = min(pieces.scores.values()) - 10.0
-    grown = lattice(words, pieces.table(spark), pieces.longest, 2 if kind == "bpe" else 1)
+    edge, shortest = (merge_edge(), 2) if kind == "bpe" else (F.struct("score", "start", "size"), 1)
+    grown = lattice(words, pieces.table(spark), pieces.longest, edge, shortest)
     mask = merge_fold(F.col("edges"), F.length("word")) if kind == "bpe" else viterbi_fold(F.col("edges"), F.length("word"), lowest)
 
     @F.pandas_udf("struct<ids:array<int>,lossless:boolean>")
@@ -230,7 +241,7 @@ def digest(docs: DataFrame, pieces: Pieces | None = None, hot: int = HOT) -> Dat
 
     words = stored(words.select("word", "n", packed("ids", "lossless").alias("value")))
     # At most ``hot`` words go to the driver and on to the tasks.
-    top = words.orderBy(F.desc("n"), "word").limit(hot).select("word", "value").toPandas()
+    top = most_frequent(words, "n", hot).select("word", "value").toPandas()
     sent = spark.sparkContext.broadcast(dict(zip(top["word"], top["value"].astype(int).tolist(), strict=True)))
     schema = "row long, doc_id long, n_chars long, n_words long, n_pieces long, ids_check long, losses long, words array<string>, factors array<int>"
 
