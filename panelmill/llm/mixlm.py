@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import most_frequent, stored
 from .hashing import ODD, mix, spans
 
 WORDS, BITS, CHUNKS = 1 << 18, 22, 32
@@ -288,7 +288,8 @@ class Model:
             logit = sum(weights[k][gate] * x[k] for k in range(3))
             sign = (2 * bit - 1).astype(np.float32)
             chance = 1 / (1 + np.exp(-sign * np.clip(logit, -40, 40)))
-            total -= np.bincount(whose, np.log(chance), len(texts))
+            there = np.flatnonzero(np.diff(whose, prepend=-1))
+            total[whose[there]] -= np.add.reduceat(np.log(chance), there, dtype=np.float64)
             error = sign * (1 - chance)
             seen += np.bincount(gate, minlength=len(seen))
             for k in range(3):
@@ -303,7 +304,7 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
     found = counted.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = (found["n"] or 0) + ends, found["v"] + (ends > 0)
     # Words seen once are spelled out, which teaches the byte nodes what new words look like.
-    top = counted.where("c > 1").orderBy(F.desc("c"), "word").limit(WORDS).toPandas()
+    top = most_frequent(counted.where("c > 1"), "c", WORDS).toPandas().sort_values(["c", "word"], ascending=[False, True])
     words, counts = [w.encode() for w in top["word"]], top["c"].to_numpy(np.int64)
     code = make_code(words, counts, ends, n - ends - int(counts.sum()))
     code.log_base = np.log10((np.concatenate([counts, [ends]]) + 0.5) / (n + 0.5 * (v + 1)))
