@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.pick import stored
+from ..operators import pick
 
 __all__ = ["WORD", "SPACE", "let", "most_frequent", "stored", "text_of", "unit", "words"]
 
@@ -16,6 +16,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Rows of text that a Python task holds at once; long texts then stay within its memory.
+BATCH = "1000"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Frame written once as a table in the shared folder, its texts in small batches."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, BATCH)
+    try:
+        return pick.stored(df)
+    finally:
+        conf.set(key, before)
+
+
 def text_of(c: Column | str = "text") -> Column:
     """The text, with null as empty."""
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))

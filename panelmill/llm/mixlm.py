@@ -224,7 +224,7 @@ def _tables(docs: DataFrame, code: Code, size: int) -> list[np.ndarray]:
                 _, node, bit, one, two = bits_of(code, *got[:4], size)
                 byte = node >= base
                 for total, slot, b in ((sums[0], node[byte] - base, bit[byte]), (sums[1], one, bit), (sums[2], two, bit)):
-                    total += np.bincount(2 * slot + b, minlength=len(total)).astype(np.uint32)
+                    np.add.at(total, 2 * slot + b, np.uint32(1))
         for t, total in enumerate(sums):
             for k, part in enumerate(np.split(total, CHUNKS)):
                 yield pd.DataFrame({"part": [t * CHUNKS + k], "counts": [_pack(part)]})

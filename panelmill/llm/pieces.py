@@ -41,7 +41,7 @@ from .common import most_frequent, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-HOT = 1 << 18
+HOT = 1 << 17
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -102,7 +102,7 @@ def _counted(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 seen.update(chunks(text))
-                if len(seen) > 200_000:
+                if len(seen) > 100_000:
                     yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
                     seen.clear()
         yield pd.DataFrame({"word": pd.Series(list(seen), dtype=object), "n": np.array(list(seen.values()), np.int64)})

@@ -156,7 +156,7 @@ def _scan(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sets = [shingles(t) for t in batch["text"]]
             slots = ((np.concatenate([np.empty(0, np.uint64), *sets]) >> np.uint64(8)) & np.uint64(SLOTS - 1)).astype(np.int64)
-            counts += np.bincount(slots, minlength=SLOTS).astype(np.uint32)
+            np.add.at(counts, slots, np.uint32(1))
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
