@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOCAL_ZONE = "Asia/Taipei"
+#: The zone has one offset, all year.
+LOCAL_OFFSET, LOCAL_SECONDS = "+08:00", 8 * 3600
 ROC_OFFSET = 1911
 
 # English month names, in calendar order.
 MONTH_NAMES = (
-    "january february march april may june july august september october "
-    "november december"
-).split()
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+)
 
 # First and last day of each release window in the month after
 # the reporting month; None stands for the last day of that month.
@@ -91,9 +93,9 @@ def days_after_month_end(date, month) -> Column:
 
 
 def local_to_utc(date, time) -> Column:
-    """Local date and ``HH:mm:ss`` text to an instant; a null time gives null."""
-    text = F.concat(_col(date).cast("string"), F.lit(" "), _col(time))
-    return F.to_utc_timestamp(text.try_cast("timestamp"), LOCAL_ZONE)
+    """Local date and ``HH:mm:ss`` text to an instant in any session zone; a null time gives null."""
+    text = F.concat(_col(date).cast("string"), F.lit(" "), _col(time), F.lit(LOCAL_OFFSET))
+    return text.try_cast("timestamp")
 
 
 def local_timestamp(instant) -> Column:
@@ -101,21 +103,28 @@ def local_timestamp(instant) -> Column:
     return F.from_utc_timestamp(_col(instant).cast("timestamp"), LOCAL_ZONE)
 
 
+def _local_seconds(instant) -> Column:
+    return F.unix_seconds(_col(instant).cast("timestamp")) + LOCAL_SECONDS
+
+
 def local_date(instant) -> Column:
-    return local_timestamp(instant).cast("date")
+    """Local date of an instant, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(_local_seconds(instant) / 86400).cast("int"))
 
 
 def local_time(instant) -> Column:
-    return F.substring(local_timestamp(instant).cast("string"), 12, 8)
+    """Local ``HH:mm:ss`` of an instant, whatever the session zone."""
+    s = F.pmod(_local_seconds(instant), F.lit(86400))
+    two = lambda c: F.lpad(F.floor(c).cast("string"), 2, "0")
+    text = F.concat_ws(":", two(s / 3600), two(F.pmod(s, F.lit(3600)) / 60), two(F.pmod(s, F.lit(60))))
+    return F.when(s.isNotNull(), text)
 
 
 def month_bounds_utc(month) -> tuple[Column, Column]:
     """UTC instants at which a local month starts and the next one starts."""
     month = _col(month)
-    return (
-        F.to_utc_timestamp(month.cast("timestamp"), LOCAL_ZONE),
-        F.to_utc_timestamp(F.add_months(month, 1).cast("timestamp"), LOCAL_ZONE),
-    )
+    start = lambda day: F.concat(day.cast("date").cast("string"), F.lit(f" 00:00:00{LOCAL_OFFSET}")).cast("timestamp")
+    return start(month), start(F.add_months(month, 1))
 
 
 def target_month(instant) -> Column:
@@ -275,4 +284,6 @@ def release_deadlines(months: DataFrame, holidays: DataFrame, month: str = "mont
         .where(F.weekday("day") < 5)
     )
     open_days = days.join(holidays.select(F.col("holiday").alias("day")), "day", "left_anti")
-    return open_days.groupBy(month).agg(F.max("day").alias("deadline"))
+    latest = open_days.groupBy(month).agg(F.max("day").alias("deadline"))
+    # A month without any open day in reach keeps its row, with no deadline.
+    return months.select(month).distinct().join(latest, month, "left")

@@ -33,7 +33,9 @@ def js_round(c, digits: int = 0) -> Column:
     """
     c = _col(c).cast("double")
     factor = float(10**digits)
-    return F.when(F.abs(c) <= MAX_DOUBLE, F.floor(c * factor + 0.5) / factor)
+    # From 2**53 on a double has no fraction, and floor() would leave the range of its result.
+    whole = F.abs(c * factor) >= float(1 << 53)
+    return F.when(F.abs(c) <= MAX_DOUBLE, F.when(whole, c).otherwise(F.floor(c * factor + 0.5) / factor))
 
 
 def growth_pct(current, prior) -> Column:

@@ -502,6 +502,8 @@ def apply_sources(sources: DataFrame, polls: DataFrame, now) -> DataFrame:
     located = located.withColumn("_new", F.col("source_id").isNull()).withColumn(
         "source_id", F.coalesce("source_id", fresh_id)
     )
+    # Two polled addresses can lead to one source; it takes the last of them.
+    located = top_per_key(located, ["source_id"], [F.desc("p_source_url")])
 
     both = sources.alias("s").join(located.alias("p"), "source_id", "full_outer")
     polled = F.col("p._new").isNotNull()

@@ -16,6 +16,8 @@ from pyspark.sql.window import Window as W
 
 from ..functions.months import add_month, month_index, month_of_index
 from ..functions.numbers import direction, growth_pct, js_round
+from ..sources.steps import must
+from .pick import top_per_key
 
 # Period id, window length in months, display labels.
 PERIODS = (
@@ -249,7 +251,8 @@ def translate(facts: DataFrame, rates: DataFrame) -> DataFrame:
         F.col("observations").alias("fx_observations"),
         F.col("last_date").alias("fx_last_date"),
     )
-    # One row per calendar month, which bounds the broadcast.
+    # One row per calendar month, the one with the most observations; that bounds the broadcast.
+    fx = top_per_key(fx, ["month"], [F.desc("fx_observations"), F.desc("fx_last_date"), F.asc("average_rate")])
     joined = facts.join(F.broadcast(fx), "month", "left")
     usd = F.col("revenue") / F.col("average_rate")
     running = F.sum("_usd").over(
@@ -264,11 +267,10 @@ def translate(facts: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def translate_checked(facts: DataFrame, rates: DataFrame) -> DataFrame:
-    """As :func:`translate`; reading a row without a rate fails the job."""
+    """As :func:`translate`; a row without a rate fails the job, whatever columns are read."""
     checked = translate(facts, rates)
     message = F.concat(F.lit("Missing exchange rate for "), F.date_format("month", "yyyy-MM"))
-    rate = F.when(F.col("average_rate").isNull(), F.raise_error(message)).otherwise(F.col("average_rate"))
-    return checked.withColumn("average_rate", rate)
+    return must(checked, F.col("average_rate").isNotNull(), message)
 
 
 def in_currency(translated: DataFrame, currency: str) -> DataFrame:

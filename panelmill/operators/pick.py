@@ -6,6 +6,7 @@ shuffle, so a hot key sends at most n rows per input task.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -62,10 +63,16 @@ def pick_market(rows: DataFrame, keys: Sequence[str] = ("ticker", "month"), mark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the session's own, set here only if unset."""
+    """Shared checkpoint folder: the session's own, set here only if unset.
+
+    Without one, a session on a single machine gets a local folder; a cluster is
+    refused, because its machines do not see each other's disks.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not configured and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(configured or "spark-checkpoints")
     return configured or context.getCheckpointDir()
 

@@ -9,7 +9,7 @@ from ..functions.labels import MARKET_PRIORITY
 from ..functions.months import roc_date, roc_month
 from ..functions.numbers import bad_cell, parse_percent, parse_thousands
 from ..functions.text import is_correction, row_hash, text_hash, trim_all
-from .steps import computed
+from .steps import computed, must
 
 # Header text of every archive column.
 HEADERS = {
@@ -133,7 +133,7 @@ def type_archive(raw: DataFrame, market) -> DataFrame:
 def scan_archive(spark: SparkSession, path: str, market: str, expected_month=None) -> DataFrame:
     """Typed archive of one market; a file with only a header gives no rows.
 
-    With ``expected_month``, reading a row of another month fails the job.
+    With ``expected_month``, a row of another month fails the job, whatever columns are read.
     """
     typed = type_archive(read_archive(spark, path), market)
     if expected_month is None:
@@ -143,8 +143,7 @@ def scan_archive(spark: SparkSession, path: str, market: str, expected_month=Non
         F.lit(f"{market}: expected {expected_month}, received "),
         F.coalesce(F.col("month").cast("string"), F.lit("no month")),
     )
-    checked = F.when(F.col("month") == wanted, F.col("month")).otherwise(F.raise_error(wrong).cast("date"))
-    return typed.withColumn("month", checked)
+    return must(typed, F.col("month") == wanted, wrong)
 
 
 def file_manifest(spark: SparkSession, path: str, market: str, observed_at) -> DataFrame:

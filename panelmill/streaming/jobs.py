@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,12 +116,22 @@ def stream_apply(
 
     ``prepare`` turns a micro-batch into one incoming row per key. Batch n reads
     table version n and writes version n + 1. If ``gate`` refuses a batch (all
-    its sources failed for the moment), the table is carried over unchanged.
+    its sources failed for the moment), the table is carried over unchanged. A
+    later call on the same folder goes on from its newest version; ``initial``
+    is only written by the first.
     """
     spark = stream.sparkSession
     table = lambda n: f"{folder}/table/v={n}"
-    initial.write.mode("overwrite").parquet(table(0))
-    last = {"version": 0}
+
+    def written(n: int) -> bool:
+        try:
+            spark.read.parquet(table(n))
+        except AnalysisException:
+            return False
+        return True
+
+    if not written(0):
+        initial.write.mode("overwrite").parquet(table(0))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -131,10 +142,12 @@ def stream_apply(
             applied = apply_versions(current, prepare(batch), keys, hash_col, compare)
             result = next_rows(applied).drop("restated")
         result.write.mode("overwrite").parquet(table(batch_id + 1))
-        last["version"] = batch_id + 1
 
     run_to_end(stream, write, f"{folder}/checkpoint")
-    return spark.read.parquet(table(last["version"]))
+    newest = 0
+    while written(newest + 1):
+        newest += 1
+    return spark.read.parquet(table(newest))
 
 
 def poll_outcome(fetches: DataFrame) -> DataFrame:
