@@ -1,7 +1,9 @@
 """SentencePiece encoding and decoding as a relational lattice (operator 6).
 
-Texts are cut where no piece can reach across: before a run of blanks and around
-line ends. Each distinct word is encoded once. All substrings up to the longest
+Texts are cut where no piece can reach across: before a run of blanks, around line
+ends and digits, and between Latin letters and ASCII signs; a model with a piece across
+such a place is refused. What lies between is called a word here. Each distinct
+word is encoded once. All substrings up to the longest
 piece's length are exploded and equi-joined to the piece table; what matches is
 the word's lattice. Its edges are grouped by word and folded by Spark's
 ``aggregate``:
@@ -42,7 +44,10 @@ from .common import most_frequent, stored
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 HOT = 1 << 17
-_CHUNK = re.compile(r" *[^ \n]+| +|\n")
+_LETTER, _SIGN = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
+_OTHER = rf"[^ \n\d{_LETTER}{_SIGN}]"
+#: Letters or signs, unless another character follows, which pieces may join to either.
+_CHUNK = re.compile(rf" *(?:[{_LETTER}]++(?!{_OTHER})|[{_SIGN}]++(?!{_OTHER})|\d|[^ \n\d]+)| +|\n")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -58,7 +63,8 @@ class Pieces:
         self.scores = {self.texts[i]: model.get_score(i) for i in normal}
         self.bytes = {int(_BYTE.fullmatch(self.texts[i])[1], 16): i for i in every if model.is_byte(i)}
         self.longest = max(map(len, self.ids))
-        if any(BLANK in t.lstrip(BLANK) or "\n" in t for t in self.ids):
+        self.byte_of = {i: b for b, i in self.bytes.items()}
+        if any(BLANK in t.lstrip(BLANK) or len(_CHUNK.findall(t.replace(BLANK, " "))) > 1 for t in self.ids):
             raise ValueError("pieces that reach across words are not supported")
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -80,8 +86,9 @@ class Pieces:
         return found
 
     def decode(self, ids) -> str:
-        reverse = {i: b for b, i in self.bytes.items()}
-        raw = b"".join(bytes([reverse[i]]) if i in reverse else self.texts[i].encode() for i in ids)
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join([self.texts[i] for i in ids]).replace(BLANK, " ")
+        raw = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.texts[i].encode() for i in ids)
         return raw.decode("utf-8", "replace").replace(BLANK, " ")
 
     def decode_text(self, ids) -> str:
@@ -117,14 +124,16 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int, edge: Column, sho
     ``edge`` may use the piece's ``score`` and ``rank``, its ``start`` and ``size``.
     """
     at = F.explode(F.sequence(F.lit(0), F.length("word"))).alias("start")
-    starts = words.select("word", "n", F.translate("word", " ", BLANK).alias("_w"), at)
+    # A word's rows stay together and in order of its number, so grouping finds them sorted.
+    words = words.withColumn("_id", F.monotonically_increasing_id())
+    starts = words.select("_id", "word", "n", F.translate("word", " ", BLANK).alias("_w"), at)
     room = F.least(F.lit(longest), F.length("_w") - F.col("start"))
     sizes = F.when(F.col("start") == F.length("_w"), F.array(F.lit(0))).when(room >= shortest, F.sequence(F.lit(shortest), room))
-    every = starts.select("word", "n", "_w", "start", F.explode(sizes).alias("size"))
-    every = every.select("word", "n", "start", "size", F.substring(F.col("_w"), F.col("start") + 1, F.col("size")).alias("piece"))
+    every = starts.select("_id", "word", "n", "_w", "start", F.explode(sizes).alias("size"))
+    every = every.select("_id", "word", "n", "start", "size", F.substring(F.col("_w"), F.col("start") + 1, F.col("size")).alias("piece"))
     # The piece table's size is fixed by the model.
     edges = every.join(F.broadcast(pieces), "piece")
-    return edges.groupBy("word", "n").agg(F.collect_list(edge).alias("edges"))
+    return edges.groupBy("_id", "word", "n").agg(F.collect_list(edge).alias("edges")).drop("_id")
 
 
 def merge_edge() -> Column:
@@ -136,18 +145,33 @@ def merge_fold(edges: Column, length: Column) -> Column:
     """Mask of the cuts between pieces of a BPE model.
 
     Edges come by score and then from the left. One is taken if both its ends are
-    cuts and exactly one cut lies between them, which then goes.
+    cuts and exactly one cut lies between them, which then goes. Words of up to 60
+    characters hold their cuts as the bits of a number, longer ones as text.
     """
-    ordered = F.array_sort(F.filter(edges, lambda e: e.bitwiseAND(255) > 1))
+    ordered = F.sort_array(F.filter(edges, lambda e: e.bitwiseAND(255) > 1))
+    left = lambda c, n: F.call_function("shiftleft", c, n)
+    right = lambda c, n: F.call_function("shiftright", c, n)
+    one = F.lit(1).cast("long")
+
+    def place(e: Column) -> tuple[Column, Column]:
+        return F.shiftright(e, 8).bitwiseAND((1 << 28) - 1).cast("int"), e.bitwiseAND(255).cast("int")
+
+    def bits(mask: Column, e: Column) -> Column:
+        start, size = place(e)
+        seen = right(mask, start).bitwiseAND(left(one, size + 1) - 1)
+        inner = seen - 1 - left(one, size)
+        joins = (seen.bitwiseAND(1) == 1) & (right(seen, size) == 1) & (F.bit_count(inner) == 1)
+        return F.when(joins, mask.bitwiseXOR(left(inner, start))).otherwise(mask)
 
     def step(mask: Column, e: Column) -> Column:
-        start, size = F.shiftright(e, 8).bitwiseAND((1 << 28) - 1).cast("int"), e.bitwiseAND(255).cast("int")
+        start, size = place(e)
         seen = F.substring(mask, start + 1, size + 1)
         joins = (F.left(seen, F.lit(1)) == "1") & (F.right(seen, F.lit(1)) == "1") & (F.length(F.replace(seen, F.lit("0"), F.lit(""))) == 3)
         merged = F.concat(F.left(mask, start + 1), F.repeat(F.lit("0"), size - 1), F.substring(mask, start + size + 1, F.length(mask)))
         return F.when(joins, merged).otherwise(mask)
 
-    return F.aggregate(ordered, F.repeat(F.lit("1"), length + 1), step)
+    short = F.reverse(F.bin(F.aggregate(ordered, left(one, length + 1) - 1, bits)))
+    return F.when(length <= 60, short).otherwise(F.aggregate(ordered, F.repeat(F.lit("1"), length + 1), step))
 
 
 def viterbi_fold(edges: Column, length: Column, unknown: float) -> Column:
