@@ -11,7 +11,9 @@ the word's lattice. Its edges are grouped by word and folded by Spark's
 * ``merge_fold`` for BPE models, the kind of the public model: edges come by
   priority, and one is taken if it joins two neighbouring pieces. For such models
   the path of the best sum, which Viterbi finds, is another segmentation than
-  SentencePiece's own, so the lattice is folded by priority instead.
+  SentencePiece's own, so the lattice is folded by priority instead. Some pieces of
+  several blanks rank before the parts they are made of, which one fold in order
+  cannot follow; words with blanks in a row are merged by a heap (``Pieces.merged``).
 * ``viterbi_fold`` for unigram models: edges come by their end, and each position
   keeps the best sum of scores that reaches it.
 
@@ -27,6 +29,7 @@ equal ids stay separate rows; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections import Counter
@@ -85,6 +88,26 @@ class Pieces:
                 found.extend(self.bytes[x] for x in part.encode("utf-8", "replace"))
         return found
 
+    def merged(self, word: str) -> str:
+        """Mask of the cuts of a word: always the best of all joins that its pieces allow, then the leftmost."""
+        after, before = list(range(1, len(word) + 2)), list(range(-1, len(word)))
+        joins: list[tuple[float, int, int, int]] = []
+
+        def offer(a: int) -> None:
+            if 0 <= a < len(word) and (mid := after[a]) < len(word) and (found := self.scores.get(word[a : after[mid]])) is not None:
+                heapq.heappush(joins, (-found, a, mid, after[mid]))
+
+        cuts = [1] * (len(word) + 1)
+        for a in range(len(word)):
+            offer(a)
+        while joins:
+            _, a, mid, b = heapq.heappop(joins)
+            if cuts[a] and cuts[mid] and cuts[b] and after[a] == mid and after[mid] == b:
+                cuts[mid], after[a], before[b] = 0, b, a
+                offer(before[a])
+                offer(a)
+        return "".join(map(str, cuts))
+
     def decode(self, ids) -> str:
         if self.byte_of.keys().isdisjoint(ids):
             return "".join([self.texts[i] for i in ids]).replace(BLANK, " ")
@@ -208,7 +231,10 @@ def encode_words(words: DataFrame, pieces: Pieces, kind: str = "bpe") -> DataFra
     @F.pandas_udf("struct<ids:array<int>,lossless:boolean>")
     def finish(word: pd.Series, mask: pd.Series) -> pd.DataFrame:
         table = sent.value
-        ids = [table.of(w.replace(" ", BLANK), m) for w, m in zip(word, mask, strict=True)]
+        signs = [w.replace(" ", BLANK) for w in word]
+        if kind == "bpe":
+            mask = [table.merged(w) if BLANK * 2 in w else m for w, m in zip(signs, mask, strict=True)]
+        ids = [table.of(w, m) for w, m in zip(signs, mask, strict=True)]
         same = [table.decode(i) == w for i, w in zip(ids, word, strict=True)]
         return pd.DataFrame({"ids": ids, "lossless": same})
 

@@ -344,6 +344,17 @@ def test_pieces_equal_sentencepiece(spark, odd, none, documents):
     assert pieces.encode(none).count() == 0
 
 
+def test_pieces_of_blanks_digits_and_signs(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    texts = [" " * k + tail for k in (1, 2, 6, 14, 15, 16, 31, 70) for tail in ("q", "the", "")]
+    texts += ["a" * 59, "the" * 40 + "é" * 30, "1234567890 " * 9, "x);\r\n\t}\r\n", "“a,”—b.c…d ²).½, 漢字a,b", "!" * 200 + "a" * 61]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in pieces.encode(docs).collect()}
+    assert got == {i: model.encode(t) for i, t in enumerate(texts)}
+
+
 def test_viterbi_by_brute_force(spark):
     scores = {"a": -1.0, "b": -2.0, "ab": -2.5, "ba": -1.2, "aba": -3.9, "bb": -1.1}
     table = spark.createDataFrame([(p, s, 0) for p, s in scores.items()] + [("", 0.0, 0)], "piece string, score double, rank int")
