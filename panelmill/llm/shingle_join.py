@@ -278,10 +278,14 @@ def _buckets(docs: DataFrame, common: np.ndarray, seed: int, wanted: np.ndarray
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
-    """Rows of buckets with two classes or more, each with its centre, the least class."""
+    """Rows of buckets with two classes or more, each with its centre, the least class.
+
+    A class comes once a bucket, however many tasks saw copies of it; rows stay where
+    the window has put them.
+    """
     whole = W.partitionBy("signature")
     got = buckets.withColumn("centre", F.min("class").over(whole)).withColumn("_max", F.max("class").over(whole))
-    return got.where("centre < _max").drop("_max")
+    return got.where("centre < _max").drop("_max").dropDuplicates(["signature", "class"])
 
 
 def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -250,6 +250,38 @@ def test_join_by_brute_force(spark, odd, none):
     assert shingle_join.deduplicate(odd).columns == odd.columns
 
 
+def test_join_of_crowded_buckets_with_copies(spark, monkeypatch):
+    """Every open bucket is compared in tiles; copies of each text lie in different partitions."""
+    monkeypatch.setattr(shingle_join, "FULL", 0)
+    monkeypatch.setattr(shingle_join, "BLOCK", 8)
+    r = random.Random(9)
+    texts = []
+    for f in range(10):
+        w = prose(200 + f, 24).split()
+        for _ in range(30):
+            w[r.randrange(len(w))] = r.choice(WORDS) + str(r.randrange(50))
+            texts.append(" ".join(w))
+    sets = [grams(t) for t in texts]
+    root = components(sets)
+    least = {}
+    for i, c in enumerate(root):
+        least.setdefault(c, i)
+    rows = [(i + k * len(texts), t) for k in range(4) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in shingle_join.join(df).collect()}
+    assert got == {i: least[root[i % len(texts)]] for i, _ in rows}
+    scanned = shingle_join._scan(df).where("n > 0")
+    found = shingle_join._shared(shingle_join._buckets(df, np.zeros(shingle_join.SLOTS // 8, np.uint8), 0))
+    classes = scanned.groupBy("class").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"))
+    pairs = shingle_join._tiled(df, classes, found.select("signature", "class", F.col("class").alias("component")))
+    made = {tuple(x) for x in pairs.collect()}
+    key = [shingle_join.class_of(shingle_join.shingles(t)) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a != b and 100 * len(a & b) >= 75 * len(a | b):
+                assert (min(key[i], key[j]), max(key[i], key[j])) in made
+
+
 @pytest.mark.parametrize("common", [0, 128, 255])
 def test_partners_share_a_signature(common):
     """Sets at the limit, of all sizes, with few and many common elements."""
