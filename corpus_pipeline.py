@@ -7,7 +7,7 @@ documents; the last returns the encoding of each document of the mix.
     near_duplicates  of documents linked by 0.75 of their five-word shingles one stays
     secrets          confirmed and patterned secrets are replaced by a mark
     mix              documents by weighted fair queueing of their sources, some twice
-    pieces           words, pieces and a checksum of the piece ids of every document
+    pieces           piece ids of every document, their number and checksum, and whether they decode to its text
 
 Secrets, the mix's order and the pieces have no SQL form, so there is no check in
 SQL; a test compares the pipeline with a plain one. Null texts count as empty and

@@ -29,9 +29,9 @@ equal ids stay separate rows; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -67,6 +67,9 @@ class Pieces:
         self.bytes = {int(_BYTE.fullmatch(self.texts[i])[1], 16): i for i in every if model.is_byte(i)}
         self.longest = max(map(len, self.ids))
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        #: Ids are stored as numbers of this kind; its highest stands for a word that is still to come.
+        self.number = np.dtype(np.uint16 if len(self.texts) < 0xFFFF else np.uint32)
+        self.gap = np.iinfo(self.number).max
         if any(BLANK in t.lstrip(BLANK) or len(_CHUNK.findall(t.replace(BLANK, " "))) > 1 for t in self.ids):
             raise ValueError("pieces that reach across words are not supported")
 
@@ -220,7 +223,7 @@ def viterbi_fold(edges: Column, length: Column, unknown: float) -> Column:
 
 
 def encode_words(words: DataFrame, pieces: Pieces, kind: str = "bpe") -> DataFrame:
-    """word, n, ids and whether decoding them gives the word, for distinct words."""
+    """word, n and ids of distinct words, the ids as bytes of the piece table's kind of number."""
     spark = words.sparkSession
     sent = spark.sparkContext.broadcast(pieces)
     lowest = min(pieces.scores.values()) - 10.0
@@ -228,39 +231,76 @@ def encode_words(words: DataFrame, pieces: Pieces, kind: str = "bpe") -> DataFra
     grown = lattice(words, pieces.table(spark), pieces.longest, edge, shortest)
     mask = merge_fold(F.col("edges"), F.length("word")) if kind == "bpe" else viterbi_fold(F.col("edges"), F.length("word"), lowest)
 
-    @F.pandas_udf("struct<ids:array<int>,lossless:boolean>")
-    def finish(word: pd.Series, mask: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("binary")
+    def finish(word: pd.Series, mask: pd.Series) -> pd.Series:
         table = sent.value
         signs = [w.replace(" ", BLANK) for w in word]
         if kind == "bpe":
             mask = [table.merged(w) if BLANK * 2 in w else m for w, m in zip(signs, mask, strict=True)]
-        ids = [table.of(w, m) for w, m in zip(signs, mask, strict=True)]
-        same = [table.decode(i) == w for i, w in zip(ids, word, strict=True)]
-        return pd.DataFrame({"ids": ids, "lossless": same})
+        return pd.Series([np.array(table.of(w, m), table.number).tobytes() for w, m in zip(signs, mask, strict=True)], dtype=object)
 
-    return grown.select("word", "n", mask.alias("mask")).select("word", "n", finish("word", "mask").alias("_f")).select("word", "n", "_f.*")
+    return grown.select("word", "n", mask.alias("mask")).select("word", "n", finish("word", "mask").alias("ids"))
 
 
-def check_of(ids) -> int:
-    """24-bit checksum of a word's ids."""
-    return zlib.crc32(np.asarray(ids, np.int32).tobytes()) & 0xFFFFFF
+def sha_of(text: str) -> bytes:
+    return hashlib.sha256(text.encode("utf-8", "replace")).digest()
 
 
-def encode(docs: DataFrame, pieces: Pieces | None = None, kind: str = "bpe") -> DataFrame:
-    """doc_id and ids of every document, in full."""
-    pieces = pieces or Pieces()
-    words = stored(encode_words(_counted(docs), pieces, kind))
+def _whole(docs: DataFrame, pieces: Pieces, kind: str, hot: int) -> DataFrame:
+    """doc_id, n_chars, n_words, ids of every document, and whether they decode to its whole text.
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(chunks)
+    Tasks that read documents write the ids of frequent words at once and a gap for each
+    other word; those meet their ids in a join and fill the gaps in order.
+    """
+    spark = docs.sparkSession
+    words = stored(encode_words(_counted(docs), pieces, kind))
+    # At most ``hot`` words go to the driver and on to the tasks.
+    top = most_frequent(words, "n", hot).select("word", "ids").toPandas()
+    sent = spark.sparkContext.broadcast((pieces, {w: bytes(i) for w, i in zip(top["word"], top["ids"], strict=True)}))
+
+    @F.pandas_udf("struct<n_chars:long,n_words:long,sha:binary,ids:binary,words:array<string>>")
+    def begin(texts: pd.Series) -> pd.DataFrame:
+        table, known = sent.value
+        gap = np.array([table.gap], table.number).tobytes()
+        out = []
+        for text in texts:
+            text = text if isinstance(text, str) else ""
+            found = chunks(text)
+            ids = b"".join(map(known.get, found, repeat(gap)))
+            out.append((len(text), len(found), sha_of(text), ids, [w for w in found if w not in known]))
+        return pd.DataFrame(out, columns=["n_chars", "n_words", "sha", "ids", "words"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
+    rows = stored(rows.select("row", "doc_id", begin("text").alias("_b")).select("row", "doc_id", "_b.*"))
+    rare = rows.select("row", F.posexplode("words").alias("at", "word")).join(words.select("word", F.col("ids").alias("more")), "word")
+    more = F.transform(F.array_sort(F.collect_list(F.struct("at", "more"))), lambda x: x["more"])
+    got = rows.drop("words").join(rare.groupBy("row").agg(more.alias("more")), "row", "left")
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row", F.monotonically_increasing_id())
-    rows = stored(rows.select("row", "doc_id", F.coalesce(cut("text"), F.array().cast("array<string>")).alias("words")))
-    placed = rows.select("row", F.posexplode("words").alias("at", "word")).join(words.select("word", "ids"), "word")
-    ids = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"]))
-    got = rows.select("row", "doc_id").join(placed.groupBy("row").agg(ids.alias("ids")), "row", "left")
-    return got.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    @F.pandas_udf("struct<ids:array<int>,lossless:boolean>")
+    def finish(ids: pd.Series, more: pd.Series, sha: pd.Series) -> pd.DataFrame:
+        table, _ = sent.value
+        out = []
+        for raw, parts, want in zip(ids, more, sha, strict=True):
+            whole = np.frombuffer(raw, table.number)
+            gaps = np.flatnonzero(whole == table.gap)
+            parts = [] if parts is None else list(parts)
+            if len(gaps) != len(parts):
+                raise ValueError(f"{len(gaps)} words without ids, {len(parts)} found")
+            if parts:
+                sizes = np.ones(len(whole), np.int64)
+                sizes[gaps] = [len(x) // table.number.itemsize for x in parts]
+                whole = np.repeat(whole, sizes)
+                whole[whole == table.gap] = np.frombuffer(b"".join(parts), table.number)
+            out.append((whole.astype(np.int32), sha_of(table.decode_text(whole.tolist())) == bytes(want)))
+        return pd.DataFrame(out, columns=["ids", "lossless"])
+
+    got = got.select("doc_id", "n_chars", "n_words", finish("ids", "more", "sha").alias("_f"))
+    return got.select("doc_id", "n_chars", "n_words", "_f.*")
+
+
+def encode(docs: DataFrame, pieces: Pieces | None = None, kind: str = "bpe", hot: int = HOT) -> DataFrame:
+    """doc_id and ids of every document, in full."""
+    return _whole(docs, pieces or Pieces(), kind, hot).select("doc_id", "ids")
 
 
 def decode(encoded: DataFrame, pieces: Pieces | None = None) -> DataFrame:
@@ -275,59 +315,10 @@ def decode(encoded: DataFrame, pieces: Pieces | None = None) -> DataFrame:
 
 
 def digest(docs: DataFrame, pieces: Pieces | None = None, hot: int = HOT) -> DataFrame:
-    """Encoding of every document in numbers: words, pieces, a checksum of the ids by place.
-
-    The checksum adds each word's checksum times (its place mod 4093) + 1, so
-    parts can be added up where they are.
-    """
-    pieces = pieces or Pieces()
-    spark = docs.sparkSession
-    words = stored(encode_words(_counted(docs), pieces))
-
-    @F.pandas_udf("long")
-    def packed(ids: pd.Series, lossless: pd.Series) -> pd.Series:
-        """Checksum, loss and number of pieces in one number."""
-        return pd.Series([check_of(i) << 33 | (not ok) << 32 | len(i) for i, ok in zip(ids, lossless, strict=True)], dtype="int64")
-
-    words = stored(words.select("word", "n", packed("ids", "lossless").alias("value")))
-    # At most ``hot`` words go to the driver and on to the tasks.
-    top = most_frequent(words, "n", hot).select("word", "value").toPandas()
-    sent = spark.sparkContext.broadcast(dict(zip(top["word"], top["value"].astype(int).tolist(), strict=True)))
-    schema = "row long, doc_id long, n_chars long, n_words long, n_pieces long, ids_check long, losses long, words array<string>, factors array<int>"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = sent.value
-        for batch in batches:
-            out = []
-            for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"], strict=True):
-                found = chunks(text)
-                value = np.fromiter(map(known.get, found, repeat(-1)), np.int64, len(found))
-                factor = np.arange(len(found)) % 4093 + 1
-                rare = np.flatnonzero(value < 0)
-                have = np.where(value < 0, 0, value)
-                sums = ((have & 0xFFFFFFFF).sum(), ((have >> 33) * factor).sum(), (have >> 32 & 1).sum())
-                out.append((row, doc_id, len(text or ""), len(found), *map(int, sums), [found[i] for i in rare], factor[rare].astype(np.int32)))
-            names = [c.split()[0] for c in schema.split(", ")]
-            made = pd.DataFrame(out, columns=names)
-            made["doc_id"] = batch["doc_id"].astype("Int64").to_numpy() if out else made["doc_id"]
-            yield made
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = stored(rows.mapInPandas(run, schema))
-    rare = rows.select("row", F.explode(F.arrays_zip("words", "factors")).alias("_x")).select("row", "_x.words", "_x.factors")
-    met = rare.join(words.select(F.col("word").alias("words"), "value"), "words")
-    value = F.col("value")
-    more = met.groupBy("row").agg(
-        F.sum(value.bitwiseAND(0xFFFFFFFF)).alias("_pieces"),
-        F.sum(F.shiftright(value, 33) * F.col("factors")).alias("_check"),
-        F.sum(F.shiftright(value, 32).bitwiseAND(1)).alias("_losses"),
-    )
-    got = rows.drop("words", "factors").join(more, "row", "left")
-    total = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
-    return got.select(
-        "doc_id", "n_chars", "n_words", total("n_pieces", "_pieces"), total("ids_check", "_check"),
-        (F.col("losses") + F.coalesce("_losses", F.lit(0)) == 0).alias("lossless"),
-    )
+    """Encoding of every document: its ids, their number and checksum, and whether they decode to its text."""
+    got = _whole(docs.withColumn("doc_id", F.col("doc_id").cast("long")), pieces or Pieces(), "bpe", hot)
+    n_pieces, check = F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_check")
+    return got.select("doc_id", "n_chars", "n_words", n_pieces, check, "lossless", "ids")
 
 
 def op6_pieces(spark, sf_dir: str) -> DataFrame:

@@ -387,6 +387,28 @@ def test_pieces_of_blanks_digits_and_signs(spark):
     assert got == {i: model.encode(t) for i, t in enumerate(texts)}
 
 
+def test_pieces_of_the_query_are_the_documents_ids(spark, tmp_path):
+    """The query and the last stage give whole documents' ids, whichever words are frequent."""
+    import corpus_pipeline
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    long = [f"word{k}" if k % 2 else "of" for k in range(9000)]
+    swapped = list(long)
+    swapped[1], swapped[4095] = long[4095], long[1]
+    texts = {0: None, 1: "", 2: "été \U0001f600 naïve", 3: prose(31, 50), 4: " ".join(long), 5: " ".join(swapped)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: model.encode(t or "") for i, t in texts.items()}
+    every = [pieces.op6_pieces(spark, str(tmp_path)), corpus_pipeline.encoded(spark, docs, ""), *(pieces.digest(docs, hot=h) for h in (0, 2))]
+    for made in every:
+        got = {r.doc_id: r for r in made.collect()}
+        assert {i: r.ids for i, r in got.items()} == want
+        assert all(r.lossless and r.n_pieces == len(r.ids) for r in got.values())
+        assert got[4].ids_check != got[5].ids_check
+    assert {i: pieces.Pieces().decode_text(x) for i, x in want.items()} == {i: t or "" for i, t in texts.items()}
+
+
 def test_viterbi_by_brute_force(spark):
     scores = {"a": -1.0, "b": -2.0, "ab": -2.5, "ba": -1.2, "aba": -3.9, "bb": -1.1}
     table = spark.createDataFrame([(p, s, 0) for p, s in scores.items()] + [("", 0.0, 0)], "piece string, score double, rank int")
