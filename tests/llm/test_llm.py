@@ -159,6 +159,36 @@ def test_secret_structures():
         assert secret.confirmed_spans(f"say {bad} now") == []
 
 
+def test_secret_structures_in_other_forms():
+    """Escaped, wrapped, url-safe, DSA, encoded again, with headers; the span is the whole secret."""
+    r = random.Random(11)
+    number = lambda n: der(2, bytes([1]) + r.randbytes(n - 1))
+    rsa = der(0x30, der(2, b"\0"), number(64), number(3), *[number(64)] + [number(32)] * 5)
+    dsa = der(0x30, der(2, b"\0"), number(128), number(20), number(128), number(128), number(20))
+    part = lambda *xs: b"".join(len(x).to_bytes(4, "big") + x for x in xs)
+    ssh = b"openssh-key-v1\0" + part(b"none", b"none", b"") + (1).to_bytes(4, "big") + part(r.randbytes(51), r.randbytes(136))
+    text = lambda raw: base64.b64encode(raw).decode()
+    wrap = lambda t, by="\n", n=64: by.join(t[k : k + n] for k in range(0, len(t), n))
+    pem = lambda body, kind="RSA PRIVATE KEY": f"-----BEGIN {kind}-----\n{body}\n-----END {kind}-----"
+    url = lambda raw: base64.urlsafe_b64encode(raw).decode()
+    flat = lambda raw: url(raw).rstrip("=")
+    jwt = ".".join([flat(b'{"alg":"HS256"}'), flat(b'{"sub":"me"}'), flat(r.randbytes(32))])
+    headed = pem("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n" + wrap(text(r.randbytes(320))))
+    whole = pem(wrap(text(rsa)))
+    forms = [
+        whole.replace("\n", "\\n"), whole.replace("\n", "\\r\\n").replace("/", "\\/"), headed, headed.replace("\n", "\\n"),
+        wrap(text(rsa)), wrap(text(ssh), "\n  ", 70), wrap(text(rsa), "\\n"), wrap(text(rsa), "\r\n", 20), url(rsa), url(rsa).rstrip("="),
+        text(dsa), dsa.hex(), pem(wrap(text(dsa)), "DSA PRIVATE KEY"), text(whole.encode()), whole.encode().hex(), wrap(text(whole.encode())),
+    ]
+    for form in forms:
+        for before, after in (("say ", " now"), ('"', '"'), ("", "")):
+            assert secret.confirmed_spans(before + form + after) == [(len(before), 4, len(before) + len(form))], form
+    for form in (text(jwt.encode()), jwt.encode().hex()):
+        assert secret.confirmed_spans(f"say {form} now") == [(4, 3, 4 + len(form))]
+    for bad in (wrap(text(rsa[:-3])), headed.replace("DEK-Info", "Other"), url(r.randbytes(300)), text(prose(1, 60).encode()), text(dsa[:-1])):
+        assert secret.confirmed_spans(f"say {bad} now") == []
+
+
 def test_secrets_of_rows(odd, none):
     got = secret.find(odd).collect()
     assert len(got) == odd.count()
