@@ -42,7 +42,7 @@ LISTING_TITLE = (
 LISTING_PAGE_LINK = r"(?i)(?:\?|&amp;|&)index1=(\d+)"
 LISTING_ARTICLE = "https://www.moneydj.com/kmdj/news/newsviewer.aspx?a="
 ATC_EVENT = (
-    r"(?i)<var\s+class=[\"']atc_date_start[\"']>\s*([^<]+)</var>[\s\S]{0,1200}?"
+    r"(?i)<var\s+class=[\"']atc_date_start[\"']>\s*([^<]+)</var>[\s\S]*?"
     r"<var\s+class=[\"']atc_title[\"']>\s*([^<]+)</var>"
 )
 ATC_TITLE = r"(?i)TSMC Monthly Sales\s*-\s*([A-Za-z]+)\s+(\d{4})"
@@ -51,12 +51,12 @@ ITEM_TITLE = r"(?i)\bdata-title=[\"']([^\"']+)[\"']"
 ITEM_START = r"(?i)\bdata-start-date=[\"']([^\"']+)[\"']"
 ITEM_MONTH = r"(?i)Monthly Sales\s*-\s*([A-Za-z]+)\s+(\d{4})"
 OVERVIEW_EVENT = (
-    r"(?i)<strong>\s*([A-Za-z]+)\s+(\d{4}),\s*Monthly Sales Announcement\s*</strong>[\s\S]{0,600}?"
+    r"(?i)<strong>\s*([A-Za-z]+)\s+(\d{4}),\s*Monthly Sales Announcement\s*</strong>[\s\S]*?"
     r"<div\s+class=[\"']date[\"']>\s*(\d{1,2}/\d{1,2}/\d{4})\*?"
 )
 OVERVIEW_HEAD = r"(?i)<strong>\s*([A-Za-z]+\s+\d{4}),"
 ANNUAL_SECTION = (
-    r"(?i)Monthly Sales Announcement\s*-\s*(\d{4})([\s\S]{0,5000}?)"
+    r"(?i)Monthly Sales Announcement\s*-\s*(\d{4})([\s\S]*?)"
     r"(?=Quarterly Earnings Release|Monthly Sales Announcement\s*-\s*\d{4}|\z)"
 )
 ANNUAL_MONTH = (
@@ -67,6 +67,9 @@ QUOTED_EVENT = (
     r"(?i)[\"'](Hon Hai[^\"']*?Unaudited Consolidated\s+([A-Za-z]+)\s+(\d{4})\s+Revenue)[\"']\s*,\s*"
     r"[\"'](\d{4}/\d{1,2}/\d{1,2})[\"']"
 )
+# Where the next entry starts: a page is cut there, so that an entry may be of any length.
+ATC_CUT = r"(?i)(?=<var\s+class=[\"']atc_date_start[\"']>)"
+OVERVIEW_CUT = r"(?i)(?=<strong>\s*[A-Za-z]+\s+\d{4},|Monthly Sales Announcement\s*-\s*\d{4})"
 
 
 # What to cut from the matched text of each layout: pattern and group of the
@@ -139,7 +142,8 @@ def _tagged(layout: str, matches: Column) -> Column:
 
 def _layout_matches(html: Column) -> dict[str, Column]:
     """Calendar parser name to the matches its layouts find."""
-    every = lambda pattern: F.regexp_extract_all(html, F.lit(pattern), 0)
+    every = lambda pattern, text=html: F.regexp_extract_all(text, F.lit(pattern), 0)
+    each = lambda pattern, cut: F.flatten(F.transform(F.split(html, cut), lambda entry: every(pattern, entry)))
     annual = F.flatten(
         F.transform(
             every(ANNUAL_SECTION),
@@ -154,9 +158,9 @@ def _layout_matches(html: Column) -> dict[str, Column]:
         )
     )
     return {
-        "tsmc": _tagged("atc", every(ATC_EVENT)),
+        "tsmc": _tagged("atc", each(ATC_EVENT, ATC_CUT)),
         "mediatek": _tagged("item", every(ITEM_TAG)),
-        "umc": F.concat(_tagged("overview", every(OVERVIEW_EVENT)), annual),
+        "umc": F.concat(_tagged("overview", each(OVERVIEW_EVENT, OVERVIEW_CUT)), annual),
         "honhai": _tagged("quoted", every(QUOTED_EVENT)),
     }
 

@@ -242,6 +242,24 @@ def test_annual_calendar(spark):
     ]
 
 
+def test_calendars_of_long_entries(spark):
+    """Dates and titles 10,000 characters apart; an entry without one does not take it from the next."""
+    gap = "<p>" + "long text " * 1000 + "</p>"
+    atc = lambda date, title: f'<var class="atc_date_start">{date} 13:30:00</var>{gap}' + (f'<var class="atc_title">TSMC Monthly Sales - {title}</var>{gap}' if title else "")
+    overview = lambda title, date: f"<strong>{title}, Monthly Sales Announcement</strong>{gap}" + (f'<div class="date">{date}</div>{gap}' if date else "")
+    annual = lambda year, *days: f"Monthly Sales Announcement - {year}{gap}" + gap.join(f"<div>{d}</div>" for d in days) + gap
+    html = {
+        "tsmc": atc("2026-08-10", "July 2026") + atc("2026-07-11", None) + atc("2026-07-10", "June 2026"),
+        "umc": overview("July 2026", "8/6/2026") + overview("June 2026", None) + "<strong>July 2026, Meeting</strong>" + '<div class="date">7/9/2026</div>'
+        + annual(2025, "January：2/5/2025", "March：4/7/2025") + annual(2024, "May：6/5/2024") + "Quarterly Earnings Release",
+    }
+    got = pages.calendar_records(spark.createDataFrame(list(html.items()), "parser_name string, html string"))
+    assert rows(got, "parser_name", "month", "announced_date") == [
+        ("tsmc", "2026-06-01", "2026-07-10"), ("tsmc", "2026-07-01", "2026-08-10"),
+        ("umc", "2024-05-01", "2024-06-05"), ("umc", "2025-01-01", "2025-02-05"), ("umc", "2025-03-01", "2025-04-07"), ("umc", "2026-07-01", "2026-08-06"),
+    ]
+
+
 RATES = [["20260702", "32.500"], ["invalid", "32"], ["20260701", "32.300"], ["20260701", "32.400"], ["20260703", "-"], ["20260704", "500"]]
 
 
