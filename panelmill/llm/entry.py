@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import corpus_pipeline
 
-from . import chat, imatch, mixing, mixlm, pieces, quality, secret, sharding, shingle_join, toxicity
+from . import alignment, chat, imatch, mixing, mixlm, pieces, quality, secret, sharding, shingle_join, spelling, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable]:
         "op8_mixing": mixing.op8_mixing,
         "op9_jaccard": shingle_join.op9_jaccard,
         "op10_quality": quality.op10_quality,
+        "op11_token_counts": token_counts.op11_token_counts,
+        "op12_spelling": spelling.op12_spelling,
+        "op13_alignment": alignment.op13_alignment,
         "pipeline": corpus_pipeline.run,
     }
 
