@@ -1,9 +1,10 @@
 """Token counts of texts by their distinct pre-tokens (operator 11).
 
-A tokenizer that drops white space cuts a text into pre-tokens before it looks for
-pieces, and pieces never cross them. So pieces are counted once for each distinct
-pre-token of the corpus, on the cluster; a document is its pre-tokens' frequencies,
-and its count is the sum of frequency times pieces. No ids are made.
+For a tokenizer that drops white space, pieces never reach across it, so a pre-token
+here is a run without ASCII white space. (The tokenizer cuts some of them further; that
+is left to the library.) Pieces are counted once for each distinct pre-token of the
+corpus, on the cluster; a document is its pre-tokens' frequencies, and its count is the
+sum of frequency times pieces. No document's ids are made.
 
 The pieces of the most frequent pre-tokens, at most ``HOT`` of them, go to the tasks
 that read documents, which add them up at once. All others leave a task as
@@ -20,6 +21,7 @@ are counted whole; an empty table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,10 +34,10 @@ from pyspark.sql import functions as F
 
 from .common import most_frequent, stored
 
-HOT = 1 << 15
+HOT = 1 << 16
 LIMIT = 2048
-#: Distinct words that a task holds before it passes their counts on, and whose pre-tokens a worker remembers.
-HELD, KEPT = 300_000, 1 << 17
+#: Distinct pre-tokens that a task holds before it passes their counts on.
+HELD = 400_000
 
 
 def default_path() -> str:
@@ -44,56 +46,25 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class PreTokens:
-    """Pre-tokens of words, and their pieces, by the library's own normalizer, splitter and model."""
-
-    def __init__(self, path: str):
-        import tokenizers
-
-        self.of_file = tokenizers.Tokenizer.from_file(path)
-        added = list(self.of_file.get_added_tokens_decoder().values())
-        strings = sorted((t.content for t in added), key=len, reverse=True)
-        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added) or any(re.search(r"\s", s) for s in strings):
-            raise ValueError("special tokens that depend on what stands around them are not supported")
-        self.special = re.compile(f"({'|'.join(map(re.escape, strings))})") if strings else re.compile("((?!))")
-        self.seen: dict[bytes, tuple[str, ...]] = {}
-        if self._split("ab, c\n\t d") != [*self._split("ab,"), *self._split("c"), *self._split("d")]:
-            raise ValueError("tokenizers that keep white space are not supported")
-
-    def _split(self, part: str) -> list[str]:
-        norm = self.of_file.normalizer
-        text = norm.normalize_str(part) if norm is not None else part
-        return [p for p, _ in self.of_file.pre_tokenizer.pre_tokenize_str(text)]
-
-    def of(self, word: bytes) -> tuple[str, ...]:
-        """Pre-tokens of a run without ASCII white space; a special token has a blank in front, as no pre-token has."""
-        found = self.seen.get(word)
-        if found is None:
-            made: list[str] = []
-            for k, part in enumerate(self.special.split(word.decode())):
-                if k % 2:
-                    made.append(f" {part}")
-                elif part:
-                    made.extend(self._split(part))
-            found = tuple(made)
-            if len(word) <= 64:
-                if len(self.seen) >= KEPT:
-                    self.seen.clear()
-                self.seen[word] = found
-        return found
-
-    def pieces(self, pretoken: str) -> int:
-        return 1 if pretoken.startswith(" ") else len(self.of_file.model.tokenize(pretoken))
-
-
 @lru_cache(maxsize=1)
-def load(path: str) -> PreTokens:
-    """One for each worker and file."""
-    return PreTokens(path)
-
-
-def words(text: str | None) -> list[bytes]:
-    """Runs without ASCII white space; pre-tokens never cross it."""
+def load(path: str):
+    """The tokenizer of a file, one for each worker; one thread, as Spark has a task for each core."""
+    import tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    made = tokenizers.Tokenizer.from_file(path)
+    made.no_truncation()
+    made.no_padding()
+    added = made.get_added_tokens_decoder().values()
+    if any(t.normalized or t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added):
+        raise ValueError("special tokens that depend on what stands around them are not supported")
+    ids = lambda text: made.encode(text, add_special_tokens=False).ids
+    if ids("ab, c\n\t d") != [*ids("ab,"), *ids("c"), *ids("d")]:
+        raise ValueError("tokenizers that keep white space are not supported")
+    return made
+
+
+def pretokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if isinstance(text, str) else []
 
 
@@ -107,26 +78,23 @@ def pretoken_pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, seen = load(path), Counter()
+        seen: Counter = Counter()
 
         def out() -> pd.DataFrame:
-            found: Counter = Counter()
-            for word, n in seen.items():
-                for p in table.of(word):
-                    found[p] += n
+            found = pd.DataFrame({"pretoken": pd.Series([w.decode() for w in seen], dtype=object), "n": np.array(list(seen.values()), np.int64)})
             seen.clear()
-            return pd.DataFrame({"pretoken": pd.Series(list(found), dtype=object), "n": np.array(list(found.values()), np.int64)})
+            return found
 
         for batch in batches:
             for text in batch["text"]:
-                seen.update(words(text))
+                seen.update(pretokens(text))
                 if len(seen) > HELD:
                     yield out()
         yield out()
 
     @F.pandas_udf("int")
-    def pieces(pretokens: pd.Series) -> pd.Series:
-        return pretokens.map(load(path).pieces).astype("int32")
+    def pieces(distinct: pd.Series) -> pd.Series:
+        return pd.Series(list(map(len, load(path).encode_batch_fast(list(distinct), add_special_tokens=False))), dtype="int32")
 
     counted = _texts(docs).select("text").mapInPandas(run, "pretoken string, n long")
     counted = counted.groupBy("pretoken").agg(F.sum("n").alias("n"))
@@ -135,36 +103,24 @@ def pretoken_pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def count_tokens(docs: DataFrame, path: str | None = None, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every document."""
-    path = path or default_path()
     distinct = stored(pretoken_pieces(docs, path))
     # At most ``hot`` pre-tokens go to the driver and on to the tasks.
     top = most_frequent(distinct, "n", hot).select("pretoken", "pieces").toPandas()
-    sent = docs.sparkSession.sparkContext.broadcast(dict(zip(top["pretoken"], map(int, top["pieces"]), strict=True)))
+    sent = docs.sparkSession.sparkContext.broadcast({w.encode(): int(n) for w, n in zip(top["pretoken"], top["pieces"], strict=True)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, known = load(path), sent.value
-        parts: dict[bytes, tuple[int, tuple[str, ...]]] = {}
-
-        def parts_of(word: bytes) -> tuple[int, tuple[str, ...]]:
-            pretokens = table.of(word)
-            made = sum(known.get(p, 0) for p in pretokens), tuple(p for p in pretokens if p not in known)
-            if len(word) <= 64:
-                if len(parts) >= KEPT:
-                    parts.clear()
-                parts[word] = made
-            return made
-
+        known = sent.value
         for batch in batches:
             out = []
             for text in batch["text"]:
-                total, rare = 0, Counter()
-                for word, n in Counter(words(text)).items():
-                    pieces, others = parts.get(word) or parts_of(word)
-                    total += n * pieces
-                    for p in others:
-                        rare[p] += n
+                total, rare = 0, {}
+                for word, n in Counter(pretokens(text)).items():
+                    if word in known:
+                        total += n * known[word]
+                    else:
+                        rare[word] = n
                 size = len(text.encode("utf-8", "replace")) if isinstance(text, str) else 0
-                out.append((size, total, list(rare), list(rare.values())))
+                out.append((size, total, [w.decode() for w in rare], list(rare.values())))
             made = pd.DataFrame(out, columns=["n_bytes", "known", "pretokens", "times"])
             made.insert(0, "row", batch["row"].to_numpy())
             made.insert(1, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
