@@ -26,10 +26,11 @@ empty table gives an empty one; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Recent, stored
 
 #: Documents and links of a container at most (one longer document stands alone), and words that a worker remembers.
 SLOT_BITS = 13
@@ -74,6 +75,7 @@ class Aligner:
         import sentencepiece
         import tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = tokenizers.Tokenizer.from_file(path_a)
         # Special tokens' strings in a text are plain text.
         self.a.encode_special_tokens = True
@@ -90,72 +92,92 @@ class Aligner:
             raise ValueError("a SentencePiece model with pieces across white space is not supported")
         self.blank = self.b.piece_to_id("▁")
         self.many_b = len(pieces)
-        self.seen: dict[str, tuple | None] = {}
-
-    def aligned(self, text: bytes, a: list[int], b: list[int]) -> tuple[int, int, str, bytes] | None:
-        """Numbers of tokens, groups as text, and links as 64-bit numbers; none if the tokens' bytes are others than the text's."""
-        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(bytes_a) != text or b"".join(bytes_b) != text:
-            return None
-        if len(a) == len(b) == 1:
-            return 1, 1, f"{a[0]}|{b[0]}", (a[0] * self.many_b + b[0]).to_bytes(8, "little")
-        ends_b = dict(zip(accumulate(map(len, bytes_b)), range(len(b)), strict=True))
-        groups, links, from_a, from_b = [], [], 0, 0
-        for i, end in enumerate(accumulate(map(len, bytes_a))):
-            j = ends_b.get(end)
-            if j is not None:
-                groups.append(f"{','.join(map(str, a[from_a : i + 1]))}|{','.join(map(str, b[from_b : j + 1]))}")
-                links.append(a[i] * self.many_b + b[j])
-                from_a, from_b = i + 1, j + 1
-        return len(a), len(b), ";".join(groups), np.array(links, "<i8").tobytes()
-
-    def learn(self, words: list[str]) -> dict[str, tuple | None]:
-        """Alignments of words, each with the white space in front of it."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
-        # B adds a blank of its own, so one that is there is left out, and one too many goes.
-        own = [w.startswith(" ") for w in words]
-        ids_b = self.b.encode([w[1:] if o else w for w, o in zip(words, own, strict=True)], num_threads=1)
-        found: dict[str, tuple | None] = {}
-        for word, o, a, b in zip(words, own, ids_a, ids_b, strict=True):
-            b = [self.blank] if word == " " else b if o else b[1:]
-            found[word] = self.aligned(word.encode("utf-8", "replace"), a, b)
-        return found
-
-    def whole(self, text: str) -> tuple | None:
-        a = self.a.encode(f" {text}", add_special_tokens=False).ids
-        return self.aligned(f" {text}".encode("utf-8", "replace"), a, self.b.encode(text, num_threads=1))
-
-    def texts(self, texts: list[str]) -> Iterator[tuple[int, int, str, np.ndarray] | None]:
-        """Numbers of tokens, checksum of the groups and links of each text."""
-        for text in texts:
-            yield self._text(text) if text else None
-
-    def _text(self, text: str) -> tuple[int, int, str, np.ndarray] | None:
-        n_a = n_b = 0
-        links: list[bytes] = []
-        digest, first = hashlib.sha256(), True
+        self.size_a, self.size_b = (np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
+        self.recent = Recent(KEPT)
+
+    def learn(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of both models, as 32-bit numbers, of words with the white space in front of them; none if they do not give back the word."""
+        together = [w for w in words if w[0] == " " and not w.isspace()]
+        found = dict(zip(together, self._learn_run(together), strict=True)) if together else {}
+        return [found[w] if w in found else self._learn_one(w) for w in words]
+
+    def _learn_run(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Words in one text; each begins with a blank and ends otherwise, so its tokens are its own."""
+        text = "".join(words)
+        got = self._whole(text[1:])
+        if got is None:
+            return [self._learn_one(w) for w in words]
+        ends = np.cumsum([len(w.encode("utf-8", "replace")) for w in words])
+        upto_a, upto_b = (np.searchsorted(np.cumsum(size[ids]), ends) + 1 for size, ids in zip((self.size_a, self.size_b), got, strict=True))
+        raw_a, raw_b = got[0].tobytes(), got[1].tobytes()
+        a = [raw_a[4 * i : 4 * j] for i, j in pairwise([0, *upto_a.tolist()])]
+        b = [raw_b[4 * i : 4 * j] for i, j in pairwise([0, *upto_b.tolist()])]
+        return list(zip(a, b, strict=True))
+
+    def _learn_one(self, word: str) -> tuple[bytes, bytes] | None:
+        """A word alone. B adds a blank of its own, so one that is there is left out, and one too many goes."""
+        a = self.a.encode(word, add_special_tokens=False).ids
+        b = [self.blank] if word == " " else self.b.encode(word[1:], num_threads=1) if word[0] == " " else self.b.encode(word, num_threads=1)[1:]
+        got = self._same(word, a, b)
+        return got and (got[0].tobytes(), got[1].tobytes())
+
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a text by both models; none if either changes it."""
+        parts_a, parts_b = [], []
         for part in parts(f" {text}"):
             words = _WORD.findall(part)
-            new = [w for w in dict.fromkeys(words) if w not in self.seen]
-            extra = {}
-            if new:
-                if len(self.seen) + len(new) > KEPT:
-                    self.seen.clear()
-                    new = list(dict.fromkeys(words))
-                extra = self.learn(new)
-                self.seen.update((w, r) for w, r in extra.items() if len(w) <= 64)
-            found = [self.seen[w] if w in self.seen else extra[w] for w in words]
+            of = self.recent.of(words, self.learn)
+            found = [of[w] for w in words]
             if None in found:
-                break
-            n_a += sum([r[0] for r in found])
-            n_b += sum([r[1] for r in found])
-            digest.update((("" if first else ";") + ";".join([r[2] for r in found])).encode())
-            links.extend([r[3] for r in found])
-            first = False
-        else:
-            return n_a, n_b, digest.hexdigest(), np.frombuffer(b"".join(links), "<i8")
-        got = self.whole(text)
-        return got and (got[0], got[1], hashlib.sha256(got[2].encode()).hexdigest(), np.frombuffer(got[3], "<i8"))
+                return self._whole(text)
+            parts_a.extend([x[0] for x in found])
+            parts_b.extend([x[1] for x in found])
+        return np.frombuffer(b"".join(parts_a), "<i4"), np.frombuffer(b"".join(parts_b), "<i4")
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a text as it stands."""
+        return self._same(f" {text}", self.a.encode(f" {text}", add_special_tokens=False).ids, self.b.encode(text, num_threads=1))
+
+    def _same(self, text: str, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids, if both give back the text's bytes."""
+        same = b"".join(map(self.bytes_a.__getitem__, a)) == text.encode("utf-8", "replace") == b"".join(map(self.bytes_b.__getitem__, b))
+        return (np.array(a, "<i4"), np.array(b, "<i4")) if same else None
+
+    def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many A and B tokens lie before the end of each group."""
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        # Ends are unique and rise, as no token is empty.
+        both = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]
+        return np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
+
+
+#: Numbers of digits, and the digits from the last on, of all ids of a vocabulary.
+@lru_cache(maxsize=1)
+def _digits(most: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    ids = np.arange(most, dtype=np.int32)
+    size = np.char.str_len(ids.astype(str)).astype(np.int64)
+    return size, [(ord("0") + ids // 10**k % 10).astype(np.uint8) for k in range(int(size.max()))]
+
+
+def written(a: np.ndarray, b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray) -> bytes:
+    """Groups as text: A ids, a bar, B ids; a semicolon between groups, commas between ids."""
+    n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+    # A group's A ids come before its B ids.
+    place_a = np.arange(len(a)) + np.repeat(upto_b - n_b, n_a)
+    place_b = np.arange(len(b)) + np.repeat(upto_a, n_b)
+    ids, sign = np.empty(len(a) + len(b), np.int32), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[place_a], ids[place_b] = a, b
+    sign[place_a[upto_a - 1]], sign[place_b[upto_b - 1]] = ord("|"), ord(";")
+    sizes, digits = _digits(1 << max(16, int(ids.max()).bit_length()))
+    size = sizes[ids]
+    end = np.cumsum(size + 1)
+    out = np.empty(int(end[-1]), np.uint8)
+    out[end - 1] = sign
+    out[end - 2] = digits[0][ids]
+    for k in range(1, int(size.max())):
+        some = np.flatnonzero(size > k)
+        out[end[some] - 2 - k] = digits[k][ids[some]]
+    return out[:-1].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -229,12 +251,17 @@ def index(docs: DataFrame, path_a: str | None = None, path_b: str | None = None)
         for batch in batches:
             out = []
             ids = batch["doc_id"].astype("Int64")
-            for doc_id, got in zip(ids, model.texts([t if isinstance(t, str) else "" for t in batch["text"]]), strict=True):
-                links = got[3] if got else np.empty(0, np.int64)
+            for doc_id, text in zip(ids, batch["text"], strict=True):
+                got = model.ids(text) if isinstance(text, str) and text else None
+                n_a, n_b, groups, links = 0, 0, "", np.empty(0, np.int64)
+                if got:
+                    upto = model.aligned(*got)
+                    n_a, n_b, groups = *map(len, got), hashlib.sha256(written(*got, *upto)).hexdigest()
+                    links = got[0][upto[0] - 1].astype(np.int64) * model.many_b + got[1][upto[1] - 1]
                 if slot == DOCS or (held and held + len(links) > LINKS):
                     yield from close()
                     container, slot, held, own = container + 1, 0, 0, []
-                out.append((container, slot, doc_id, got[0] if got else 0, got[1] if got else 0, len(links), got[2] if got else ""))
+                out.append((container, slot, doc_id, n_a, n_b, len(links), groups))
                 if len(links):
                     own.append((slot, links))
                     held += len(links)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import pick
 
-__all__ = ["WORD", "SPACE", "let", "most_frequent", "stored", "text_of", "unit", "words"]
+__all__ = ["Recent", "WORD", "SPACE", "let", "most_frequent", "stored", "text_of", "unit", "words"]
 
 #: A word is a run of anything but these six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,3 +68,27 @@ def most_frequent(counted: DataFrame, count: str, most: int) -> DataFrame:
             break
         least = row[count]
     return counted.where(F.col(count) >= least) if least is not None else counted.limit(0)
+
+
+class Recent:
+    """What a worker remembers of words: those of two spans of about ``most`` words each, long ones counting more."""
+
+    def __init__(self, most: int):
+        self.most, self.weight = most, 0
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def of(self, words: Iterable, learn: Callable[[list], Iterable]) -> dict:
+        """A table that holds all given words; ``learn`` gives what is not known yet."""
+        if self.weight > self.most:
+            self.new, self.old, self.weight = {}, self.new, 0
+        new, old, missing = self.new, self.old, []
+        for word in set(words).difference(new):
+            self.weight += 1 + len(word) // 32
+            if word in old:
+                new[word] = old[word]
+            else:
+                missing.append(word)
+        if missing:
+            new.update(zip(missing, learn(missing), strict=True))
+        return new
