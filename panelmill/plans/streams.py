@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import row_hash
-from ..operators import maintain, pick
+from ..operators import maintain, pick, quality
 from ..operators.pick import new_folder
-from ..streaming import jobs
+from ..streaming import jobs, polls
 from .registry import query
 from .star import CTES, day, sql_day, sql_stamp, stamp
 
@@ -168,3 +168,87 @@ def source_files_first_seen(s):
     seen = jobs.first_seen_state(s.records, ["entity"], "published_at")
     dates = maintain.first_seen_dates(seen.withColumn("month", F.lit("2024-01-01").cast("date")), POLL_NOW)
     return dates.select("entity", stamp("reported_at")).withColumnRenamed("reported_at", "first_seen")
+
+
+#: Polls collect what arrived in so many days; errors arrive three days late. In one poll every source is down.
+POLL_DAYS, DOWN = 10, 1
+CTES["polled"] = f"""
+    SELECT *, (day(CAST(ts AS DATE) + CASE WHEN event_type = 'error' THEN 3 ELSE 0 END) - 1
+      + CASE WHEN month(CAST(ts AS DATE) + CASE WHEN event_type = 'error' THEN 3 ELSE 0 END) > 1 THEN 31 ELSE 0 END) // {POLL_DAYS} AS poll,
+      CAST(ts AS DATE) AS day, CAST(round(value * 100) AS BIGINT) AS cents FROM events"""
+CTES["poll_values"] = f"""
+    SELECT user_id, day, poll, arg_max(cents, event_id) AS revenue, min(ts) AS seen FROM polled WHERE poll <> {DOWN} GROUP BY 1, 2, 3"""
+CTES["poll_versions"] = """
+    SELECT user_id, day, poll, revenue, min(seen) OVER (PARTITION BY user_id, day) AS seen,
+      revenue IS DISTINCT FROM lag(revenue) OVER (PARTITION BY user_id, day ORDER BY poll) AS new FROM poll_values"""
+
+_POLLED = {
+    "facts": polls.Table("user_id bigint, day date, version int, revenue bigint, row_hash string, is_current boolean", "day"),
+    "first_seen": polls.Table("user_id bigint, day date, first_seen timestamp", "day"),
+}
+
+
+def _outage(batch):
+    """Refuses a poll whose sources all failed for the moment."""
+    poll = F.col("poll")
+    failed = poll == DOWN
+    status = F.when(failed, 503).otherwise(200)
+    fetched = batch.select((F.col("user_id") % 4).alias("source"), (~failed).alias("ok"), status.alias("status"), failed.alias("transient"), F.lit(False).alias("fallback_on_denied"))
+    decision = jobs.gate_outcome(jobs.poll_outcome(fetched)).first()["decision"]
+    if decision != "ok":
+        raise polls.Refused(decision)
+
+
+def _unique_current(written):
+    """Refuses facts with two current rows of one key."""
+    if quality.duplicate_keys(written["facts"].where("is_current"), ["user_id", "day"]).head(1):
+        raise polls.Refused("two current rows of a key")
+
+
+def _apply_poll(batch, current):
+    keys = ["user_id", "day"]
+    last = pick.last_wins(batch, keys, "event_id").select(*keys, "revenue", row_hash("event_id", "revenue").alias("row_hash"))
+    facts = maintain.next_rows(maintain.apply_versions(current("facts"), last, keys, "row_hash", ["revenue"])).drop("restated")
+    seen = current("first_seen").unionByName(batch.select(*keys, F.col("ts").alias("first_seen")))
+    return {"facts": facts, "first_seen": seen.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"))}
+
+
+def polled_tables(s):
+    """All events as polls in the order of arrival, each poll in a run of its own that goes on from the last."""
+    folder = job_folder(s)
+    ts = F.col("ts").cast("timestamp")
+    arrival = F.date_add(ts.cast("date"), F.when(F.col("event_type") == "error", 3).otherwise(0))
+    since = F.datediff(arrival, F.lit("2024-01-01").cast("date"))
+    events = s.table("events").select(
+        "event_id", "user_id", ts.alias("ts"), ts.cast("date").alias("day"), F.round(F.col("value") * 100).cast("long").alias("revenue"),
+        F.floor(since / POLL_DAYS).cast("int").alias("poll"),
+    )
+    events = pick.stored(events)
+    target = polls.Published(s.spark, f"{folder}/tables", _POLLED)
+    for row in events.select("poll").distinct().orderBy("poll").collect():
+        events.where(F.col("poll") == row["poll"]).write.mode("append").parquet(f"{folder}/arrived")
+        stream = s.spark.readStream.schema(events.schema).parquet(f"{folder}/arrived")
+        polls.apply_polls(stream, target, F.col("day"), _apply_poll, f"{folder}/checkpoint", _outage, _unique_current)
+    return target
+
+
+@query(
+    "polled_facts",
+    f"""SELECT user_id, {sql_day('day')} AS day, CAST(row_number() OVER w AS INTEGER) AS version, revenue,
+      row_number() OVER (PARTITION BY user_id, day ORDER BY poll DESC) = 1 AS is_current, {sql_stamp('seen')} AS first_seen
+    FROM poll_versions WHERE new WINDOW w AS (PARTITION BY user_id, day ORDER BY poll)""",
+)
+def polled_facts(s):
+    """Facts and first sightings as the polls left them; a late day is restated, the poll without sources is not applied."""
+    target = polled_tables(s)
+    got = target.read("facts").join(target.read("first_seen"), ["user_id", "day"])
+    return got.select("user_id", day("day"), "version", "revenue", "is_current", stamp("first_seen"))
+
+
+@query(
+    "poll_log",
+    f"""SELECT poll AS batch, CASE WHEN poll = {DOWN} THEN 'refused' ELSE 'published' END AS decision,
+      CASE WHEN poll = {DOWN} THEN 'deferred' END AS reason, CASE WHEN poll = {DOWN} THEN 0 ELSE count(DISTINCT day) END AS days FROM polled GROUP BY 1""",
+)
+def poll_log(s):
+    return polled_tables(s).log().select("batch", "decision", "reason", F.size("touched").cast("long").alias("days"))
