@@ -188,11 +188,10 @@ def blended_profiles(s):
 
 
 def _order_history(s):
-    """First urgent order of a customer's month, as the release of the month before."""
+    """First order of a customer's month, as the release of the month before."""
     d = F.col("o_orderdate").cast("date")
     first = (
         s.table("orders")
-        .where("o_orderpriority = '1-URGENT'")
         .groupBy(F.col("o_custkey").alias("entity"), F.add_months(F.trunc(d, "MM"), -1).alias("month"))
         .agg(F.min(d).alias("release_date"))
     )
@@ -208,7 +207,7 @@ CTES["sparse_profiles"] = """
           FROM (SELECT o_custkey AS entity, CAST(date_trunc('month', o_orderdate) - INTERVAL 1 MONTH AS DATE) AS month,
                   CAST(min(day(o_orderdate)) AS DOUBLE) AS off, min(day(o_orderdate)) * 30 AS minute_local,
                   row_number() OVER (PARTITION BY o_custkey ORDER BY date_trunc('month', o_orderdate) DESC) AS rn
-                FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey, date_trunc('month', o_orderdate)) WHERE rn <= 12)
+                FROM orders GROUP BY o_custkey, date_trunc('month', o_orderdate)) WHERE rn <= 12)
     GROUP BY 1"""
 CTES["sparse_fallback"] = """
     SELECT any_value(med) AS median_offset, median(abs(median_offset - med)) AS mad_days, max(as_of_month) AS as_of_month

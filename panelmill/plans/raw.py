@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import archive, feeds, pages, reference
+from ..operators import pick
+from ..operators.pick import new_folder
 from ..operators.quality import split_rejects
 from .registry import query
 from .star import CTES, day, jr, sql_day, sql_stamp, sql_ym, stamp, ym
@@ -66,6 +68,26 @@ def archive_rejects(s):
     return bad.select("ticker", ym("month"), F.array_join("rejects", ",").alias("rejects"))
 
 
+@query(
+    "archive_file_rows",
+    f"""SELECT CAST(entity AS VARCHAR) AS ticker, {sql_ym('month')} AS month, {sql_day('month')} AS source_report_date,
+      revenue * 1000 AS revenue, ytd * 1000 AS ytd, mom, yoy, ytd_yoy,
+      CASE entity % 4 WHEN 0 THEN '更正' WHEN 1 THEN NULL ELSE 'ok' END AS note, entity % 4 = 0 AS corrected FROM facts WHERE entity % 10 <> 9""",
+)
+def archive_file_rows(s):
+    """Archive files whose columns stand in three orders, one with a column that nobody asked for."""
+    folder, rows = new_folder(s.spark), pick.stored(raw_archive(s))
+    names = list(archive.HEADERS)
+    orders = [names, names[::-1], [*names[5:], *names[:5]]]
+    for k, order in enumerate(orders):
+        cells = [F.col(c).alias(archive.HEADERS[c]) for c in order] + ([F.lit("x,\n\"y\"").alias("extra")] if k == 2 else [])
+        part = rows.where(F.col("ticker").cast("long") % 3 == k).select(*cells)
+        part.write.option("header", True).option("escape", '"').csv(f"{folder}/order={k}")
+    typed = archive.scan_archive(s.spark, f"{folder}/order=*/*.csv", "sii")
+    good, _ = split_rejects(typed, archive.unreadable("rejects"))
+    return good.select("ticker", ym("month"), day("source_report_date"), "revenue", "ytd", "mom", "yoy", "ytd_yoy", "note", "corrected")
+
+
 # --- feeds -----------------------------------------------------------------
 
 
@@ -103,13 +125,37 @@ def current_feed(s):
     return feeds.feed_records(parsed, "2024-01-01", "2024-02-01 00:00:00").select("ticker", ym("month"), stamp("reported_at"))
 
 
+CTES["sent_pages"] = """
+    SELECT user_id AS source, event_id % 40 + 1 AS page, CASE WHEN user_id % 3 = 0 THEN 45 END AS last, event_type <> 'error' AS ok FROM events"""
+CTES["page_state"] = "SELECT source, page, bool_or(ok) AS ok, max(last) AS last FROM sent_pages GROUP BY 1, 2"
+
+
+@query(
+    "payload_rejects",
+    """SELECT source, min(page) AS first_page, max(page) AS last_page, reason FROM (
+      SELECT *, page - row_number() OVER (PARTITION BY source, reason ORDER BY page) AS run FROM (
+        SELECT u.source, n.page, CASE WHEN p.page IS NULL THEN 'missing' ELSE 'failed' END AS reason
+        FROM (SELECT source, greatest(max(page), coalesce(max(last), 0)) AS upto FROM page_state GROUP BY 1) u
+        JOIN (SELECT range AS page FROM range(1, 46)) n ON n.page <= u.upto
+        LEFT JOIN page_state p ON p.source = u.source AND p.page = n.page WHERE p.page IS NULL OR NOT p.ok))
+    GROUP BY source, reason, run""",
+)
+def payload_rejects(s):
+    """Every event as a page of its user's payloads: failed pages, pages that never came, and those a page names beyond."""
+    sent = s.table("events").select(
+        F.col("user_id").alias("source"), (F.col("event_id") % 40 + 1).alias("page"),
+        F.when(F.col("user_id") % 3 == 0, 45).alias("last"), (F.col("event_type") != "error").alias("ok"),
+    )
+    return feeds.payload_rejects(sent, ["source"], F.col("ok"), last="last")
+
+
 CTES["art"] = """
-    SELECT f.entity, f.month, f.revenue, f.mom, f.yoy FROM facts f WHERE mom IS NOT NULL"""
+    SELECT f.entity, f.month, f.revenue, f.mom, f.yoy FROM facts f"""
 
 
 def raw_articles(s):
-    """Each fact with a MoM as an escaped article text with rounded figures."""
-    f = s.facts.where("mom IS NOT NULL")
+    """Each fact as an escaped article text with rounded figures; first months have no MoM."""
+    f = s.facts
     code = F.lpad(F.col("entity").cast("string"), 4, "0")
     amount = F.format_number((F.col("revenue") / 10000).cast("decimal(20,4)"), 4)
     percent = lambda c: F.format_string("%.2f", F.col(c))
@@ -119,7 +165,7 @@ def raw_articles(s):
         F.lit("公告"), F.year("month").cast("string"), F.lit("年"), F.month("month").cast("string"),
         F.lit("月營收為新台幣"), amount, F.lit("萬元，"),
         F.when(F.col("yoy").isNull(), "").otherwise(F.concat(F.lit("年增率"), percent("yoy"), F.lit("%，"))),
-        F.lit("月增率高達"), percent("mom"), F.lit("%。&lt;/p&gt;"),
+        F.when(F.col("mom").isNull(), "").otherwise(F.concat(F.lit("月增率高達"), percent("mom"), F.lit("%"))), F.lit("。&lt;/p&gt;"),
     )
     return f.select(
         (F.col("entity") * 100000 + F.col("idx")).alias("newsId"),
@@ -135,7 +181,7 @@ def raw_articles(s):
     f"""SELECT lpad(CAST(entity AS VARCHAR), 4, '0') AS ticker, CAST(entity * 100000 + year(month)*12+month(month)-1 AS VARCHAR) AS record_id, {sql_ym('month')} AS month,
       revenue, CAST(2 AS BIGINT) AS tolerance, 'a & b' AS source_title,
       {sql_stamp('month')} AS published_at, '08:00:00' AS published_time,
-      abs(mom) >= 0 AS has_mom, yoy IS NOT NULL AS has_yoy FROM art WHERE entity % 9 <> 8 AND year(month) >= 2000""",
+      mom IS NOT NULL AS has_mom, yoy IS NOT NULL AS has_yoy FROM art WHERE entity % 9 <> 8 AND year(month) >= 2000""",
 )
 def article_records(s):
     rows = feeds.article_records(raw_articles(s))
@@ -271,7 +317,7 @@ def listing_last_page(s):
 
 def raw_calendars(s):
     """One calendar page per supplier and year, in one of the four layouts."""
-    f = s.facts.where("month IS NOT NULL")
+    f = s.facts
     name, year = F.date_format("month", "MMMM"), F.date_format("month", "yyyy")
     date = F.date_add(F.last_day("month"), (F.col("entity") % 40).cast("int"))
     us = F.concat_ws("/", F.month(date).cast("string"), F.dayofmonth(date).cast("string"), F.year(date).cast("string"))

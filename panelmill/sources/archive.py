@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,36 +56,50 @@ class ArchiveError(ValueError):
     """An archive file does not have the columns or the month it should."""
 
 
+def header_groups(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """Column names and files of each header that occurs under ``path``.
+
+    One line a file is kept of a plain text scan; the driver holds a path a file, as Spark's own listing does.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+    )
+    first = lines.where(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    names = lambda header: [c.lstrip("\ufeff").strip() for c in next(csv.reader([header]))]
+    literal = lambda uri: re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+    return [(names(g["header"]), [literal(f) for f in g["files"]]) for g in groups]
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Raw text cells of the archive CSVs under ``path``, with file and order.
 
-    All files of one call share a header; files are the unit of parallelism.
+    Every file's cells go by its own header, in whatever order the columns stand; files
+    of one header are read in one scan. Files are the unit of parallelism.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    groups = header_groups(spark, path)
     by_header = {h: c for c, h in HEADERS.items()}
-    clean = {c: c.lstrip("﻿").strip() for c in raw.columns}
-    present = {by_header[h]: c for c, h in clean.items() if h in by_header}
-    missing = [HEADERS[c] for c in REQUIRED if c not in present]
-    if missing:
-        raise ArchiveError(f"Missing archive columns {missing} in {path}")
-    cells = [
-        F.coalesce(trim_all(F.col(f"`{present[c]}`")), F.lit("")).alias(c)
-        if c in present
-        else F.lit(None).cast("string").alias(c)
-        for c in HEADERS
-    ]
-    rows = raw.select(
-        *cells,
-        F.col("_metadata.file_path").alias("source_file"),
-        F.monotonically_increasing_id().alias("row_no"),
-    )
+    scans = []
+    for names, files in groups or [([], [path])]:
+        place = {by_header[h]: f"c{k}" for k, h in enumerate(names) if h in by_header}
+        missing = [HEADERS[c] for c in REQUIRED if c not in place]
+        if missing:
+            raise ArchiveError(f"Missing archive columns {missing} in {files[0]}")
+        raw = (
+            spark.read.schema(", ".join(f"c{k} string" for k in range(len(names))))
+            .option("header", True)
+            .option("multiLine", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("encoding", "UTF-8")
+            .csv(files)
+        )
+        cells = [
+            F.coalesce(trim_all(F.col(place[c])), F.lit("")).alias(c) if c in place else F.lit(None).cast("string").alias(c)
+            for c in HEADERS
+        ]
+        scans.append(raw.select(*cells, F.col("_metadata.file_path").alias("source_file")))
+    rows = reduce(DataFrame.unionByName, scans).withColumn("row_no", F.monotonically_increasing_id())
     return rows.where(F.concat_ws("", *HEADERS) != "")
 
 

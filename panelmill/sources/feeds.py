@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.months import (
@@ -92,6 +95,44 @@ def failed_payloads(payloads: DataFrame, ok: Column) -> DataFrame:
     return payloads.where(~F.coalesce(ok, F.lit(False)))
 
 
+def payload_rejects(payloads: DataFrame, keys: Sequence[str], ok: Column, page: str = "page", last: str | None = None) -> DataFrame:
+    """What a set of payload pages lacks: keys, first_page, last_page and reason of every run of pages.
+
+    ``keys`` name the set; its pages count from 1 to the greatest number that a page of
+    it names as ``last``, or to the greatest page seen. A page that came only with
+    failures is ``failed``, one that never came is ``missing``. Page numbers that are
+    null or below 1 stand alone, with the reason ``unnumbered``. A set that is complete gives no rows.
+    """
+    keys = list(keys)
+    number = F.col(page).cast("long")
+    named = F.col(last).cast("long") if last else F.lit(None).cast("long")
+    rows = payloads.select(*keys, number.alias("_page"), named.alias("_last"), F.coalesce(ok, F.lit(False)).alias("_ok"))
+    numbered = F.coalesce(F.col("_page") >= 1, F.lit(False))
+    odd = rows.where(~numbered).select(
+        *keys, F.col("_page").alias("first_page"), F.col("_page").alias("last_page"), F.lit("unnumbered").alias("reason")
+    ).distinct()
+    # One row a page from here on, however often it was sent.
+    pages = rows.where(numbered).groupBy(*keys, "_page").agg(F.bool_or("_ok").alias("_ok"), F.max("_last").alias("_last"))
+    in_order = W.partitionBy(*keys).orderBy("_page")
+    # Runs of failed pages: the distance to their place among the failed is the same along a run.
+    failed = pages.where(~F.col("_ok")).withColumn("_run", F.col("_page") - F.row_number().over(in_order))
+    failed = failed.groupBy(*keys, "_run").agg(F.min("_page").alias("first_page"), F.max("_page").alias("last_page"))
+    failed = failed.select(*keys, "first_page", "last_page", F.lit("failed").alias("reason"))
+    # Gaps lie before each page, and after the last.
+    before = pages.select(*keys, (F.coalesce(F.lag("_page").over(in_order), F.lit(0)) + 1).alias("first_page"), (F.col("_page") - 1).alias("last_page"))
+    after = pages.groupBy(*keys).agg((F.max("_page") + 1).alias("first_page"), F.greatest(F.max("_last"), F.max("_page")).alias("last_page"))
+    missing = before.unionByName(after).where("first_page <= last_page").withColumn("reason", F.lit("missing"))
+    return failed.unionByName(missing).unionByName(odd)
+
+
+def require_complete(payloads: DataFrame, keys: Sequence[str], ok: Column, page: str = "page", last: str | None = None) -> DataFrame:
+    """The payloads that report success; a failed or missing page fails the job."""
+    lacking = payload_rejects(payloads, keys, ok, page, last).take(5)
+    if lacking:
+        raise FeedError(f"incomplete payloads: {[r.asDict() for r in lacking]}")
+    return payloads.where(F.coalesce(ok, F.lit(False)))
+
+
 def _absolute(url: Column) -> Column:
     return (
         F.when(F.coalesce(url, F.lit("")) == "", FEED_PAGE)
