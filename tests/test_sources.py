@@ -341,3 +341,33 @@ def test_company_documents(spark, tmp_path):
     doc = {"company": {"id": 1, "ticker": "6526", "name": "n", "classifications": ["a"]}, "history": [{"month": "2026-01", "revenueNt": 5, "momPercent": None, "restatementFlag": False, "publicationTimestamp": "2026-02-01T00:00:00.000Z"}]}
     got = reference.read_company_documents(spark, payload(tmp_path / "6526.json", doc))
     assert rows(got, "ticker", "month", "revenue", "mom", "restated") == [("6526", "2026-01-01", 5, None, False)]
+
+
+def test_every_archive_file_goes_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "orders of columns [1]"
+    folder.mkdir()
+    names = [archive.HEADERS[c] for c in ("month", "ticker", "revenue", "ytd", "note")]
+    write(folder / "a.csv", ",".join(names) + '\n115/7,1,"1,000","2,000","x\ny"\n115/7,2,5,6,\n')
+    write(folder / "b.csv", ",".join([names[0], names[3], names[2], names[1], "other"]) + '\n115/7,"9,000",8,3,junk\n')
+    write(folder / "c.csv", "﻿" + ",".join(names) + "\n115/7,4,1,2,z\n")
+    got = archive.scan_archive(spark, str(folder).replace("[", "\\[").replace("]", "\\]") + "/*.csv", "sii")
+    assert rows(got, "ticker", "revenue", "ytd", "note") == [("1", 1000000, 2000000, "x\ny"), ("2", 5000, 6000, None), ("3", 8000, 9000000, None), ("4", 1000, 2000, "z")]
+    assert got.select("row_no").distinct().count() == 4
+    write(folder / "d.csv", "junk,other\n1,2\n")
+    with pytest.raises(archive.ArchiveError):
+        archive.scan_archive(spark, str(folder).replace("[", "\\[").replace("]", "\\]") + "/*.csv", "sii")
+
+
+def test_failed_and_missing_payload_pages(spark):
+    sent = [("a", 1, 4, True), ("a", 1, 4, False), ("a", 3, 4, False), ("b", 1, 2, True), ("b", 2, 2, True), ("c", 5, None, False), ("c", 4, None, None), ("c", None, None, True), ("c", 0, None, True)]
+    payloads = spark.createDataFrame(sent, "source string, page int, last int, ok boolean")
+    got = feeds.payload_rejects(payloads, ["source"], F.col("ok"), last="last")
+    assert rows(got) == sorted(
+        [("a", 2, 2, "missing"), ("a", 3, 3, "failed"), ("a", 4, 4, "missing"), ("c", 1, 3, "missing"), ("c", 4, 5, "failed"), ("c", 0, 0, "unnumbered"), ("c", None, None, "unnumbered")],
+        key=repr,
+    )
+    good = payloads.where("source = 'b'")
+    assert feeds.require_complete(good, ["source"], F.col("ok"), last="last").count() == 2
+    with pytest.raises(feeds.FeedError, match="missing"):
+        feeds.require_complete(payloads, ["source"], F.col("ok"), last="last")
+    assert feeds.payload_rejects(payloads.limit(0), ["source"], F.col("ok")).collect() == []
