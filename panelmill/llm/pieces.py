@@ -13,13 +13,14 @@ the word's lattice. Its edges are grouped by word and folded by Spark's
   the path of the best sum, which Viterbi finds, is another segmentation than
   SentencePiece's own, so the lattice is folded by priority instead. Some pieces of
   several blanks rank before the parts they are made of, which one fold in order
-  cannot follow; words with blanks in a row are merged by a heap (``Pieces.merged``).
+  cannot follow, and a fold copies a long word's mask for each edge; words with blanks
+  in a row or of more than ``LONG`` characters are merged by a heap (``Pieces.merged``).
 * ``viterbi_fold`` for unigram models: edges come by their end, and each position
   keeps the best sum of scores that reaches it.
 
 Characters without a piece become byte pieces. The piece table has a fixed size
-and is broadcast. The encodings of the most frequent words, ``HOT`` of them, go to
-the tasks that read documents; occurrences of all other words meet theirs in a join.
+and is broadcast. The most frequent words, ``HOT`` of them, have numbers that the tasks
+which read documents write; occurrences of all other words meet their ids in a join.
 
 Defined results: null and empty texts have no pieces; equal texts have equal
 results; white space is kept, so decoding gives back the text; characters outside
@@ -39,6 +40,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import sentencepiece
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +48,16 @@ from .common import most_frequent, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-HOT = 1 << 17
+#: Frequent words have numbers of two bytes, of which the highest stands for a word that is still to come.
+GAP = (1 << 16) - 1
+HOT = GAP
+#: Longer words are merged by a heap; runs of text that a task remembers.
+LONG, KEPT = 240, 1 << 16
 _LETTER, _SIGN = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
 _OTHER = rf"[^ \n\d{_LETTER}{_SIGN}]"
 #: Letters or signs, unless another character follows, which pieces may join to either.
 _CHUNK = re.compile(rf" *(?:[{_LETTER}]++(?!{_OTHER})|[{_SIGN}]++(?!{_OTHER})|\d|[^ \n\d]+)| +|\n")
+_RUN = re.compile(" *[^ ]+| +")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -67,9 +74,8 @@ class Pieces:
         self.bytes = {int(_BYTE.fullmatch(self.texts[i])[1], 16): i for i in every if model.is_byte(i)}
         self.longest = max(map(len, self.ids))
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        #: Ids are stored as numbers of this kind; its highest stands for a word that is still to come.
-        self.number = np.dtype(np.uint16 if len(self.texts) < 0xFFFF else np.uint32)
-        self.gap = np.iinfo(self.number).max
+        #: Ids are stored as numbers of this kind.
+        self.number = np.dtype(np.uint16 if len(self.texts) <= 1 << 16 else np.uint32)
         if any(BLANK in t.lstrip(BLANK) or len(_CHUNK.findall(t.replace(BLANK, " "))) > 1 for t in self.ids):
             raise ValueError("pieces that reach across words are not supported")
 
@@ -127,34 +133,58 @@ def chunks(text: str | None) -> list[str]:
     return _CHUNK.findall(f" {text}") if text and isinstance(text, str) else []
 
 
+def runs(text: str | None) -> list[str]:
+    """A text between its blanks, each run without the first blank before it: its words are the words of its runs."""
+    if not text or not isinstance(text, str):
+        return []
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return [run[1:] for run in _RUN.findall(f" {text}")]
+    return text.split(" ")
+
+
+def chunks_of_run(run: str) -> list[str]:
+    return _CHUNK.findall(f" {run}")
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """Distinct words of all texts with their numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
+
+        def out() -> pd.DataFrame:
+            # Runs come again and again, so each is cut into words once.
+            found: Counter = Counter()
+            for text, n in seen.items():
+                for word in chunks_of_run(text):
+                    found[word] += n
+            seen.clear()
+            return pd.DataFrame({"word": pd.Series(list(found), dtype=object), "n": np.array(list(found.values()), np.int64)})
+
         for batch in batches:
             for text in batch["text"]:
-                seen.update(chunks(text))
+                seen.update(runs(text))
                 if len(seen) > 100_000:
-                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                    seen.clear()
-        yield pd.DataFrame({"word": pd.Series(list(seen), dtype=object), "n": np.array(list(seen.values()), np.int64)})
+                    yield out()
+        yield out()
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(run, "word string, n long")
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int, edge: Column, shortest: int) -> DataFrame:
+def lattice(words: DataFrame, pieces: DataFrame, longest: int, edge: Column, shortest: int, fits: Column | None = None) -> DataFrame:
     """word, n and the edges of each word as ``edge`` writes them; blanks count as their own sign.
 
-    ``edge`` may use the piece's ``score`` and ``rank``, its ``start`` and ``size``.
+    ``edge`` may use the piece's ``score`` and ``rank``, its ``start`` and ``size``. A word that
+    does not fit has the empty edge alone.
     """
-    at = F.explode(F.sequence(F.lit(0), F.length("word"))).alias("start")
+    last = F.length("word") if fits is None else F.when(fits, F.length("word")).otherwise(0)
+    at = F.explode(F.sequence(F.lit(0), last)).alias("start")
     # A word's rows stay together and in order of its number, so grouping finds them sorted.
     words = words.withColumn("_id", F.monotonically_increasing_id())
     starts = words.select("_id", "word", "n", F.translate("word", " ", BLANK).alias("_w"), at)
     room = F.least(F.lit(longest), F.length("_w") - F.col("start"))
-    sizes = F.when(F.col("start") == F.length("_w"), F.array(F.lit(0))).when(room >= shortest, F.sequence(F.lit(shortest), room))
+    sizes = F.when(F.col("start") == last, F.array(F.lit(0))).when(room >= shortest, F.sequence(F.lit(shortest), room))
     every = starts.select("_id", "word", "n", "_w", "start", F.explode(sizes).alias("size"))
     every = every.select("_id", "word", "n", "start", "size", F.substring(F.col("_w"), F.col("start") + 1, F.col("size")).alias("piece"))
     # The piece table's size is fixed by the model.
@@ -228,18 +258,19 @@ def encode_words(words: DataFrame, pieces: Pieces, kind: str = "bpe") -> DataFra
     sent = spark.sparkContext.broadcast(pieces)
     lowest = min(pieces.scores.values()) - 10.0
     edge, shortest = (merge_edge(), 2) if kind == "bpe" else (F.struct("score", "start", "size"), 1)
-    grown = lattice(words, pieces.table(spark), pieces.longest, edge, shortest)
+    # One fold in order cannot follow blanks in a row, and copies the mask of a long word for each of its edges.
+    fits = (F.length("word") <= LONG) & ~F.contains("word", F.lit("  ")) if kind == "bpe" else F.lit(True)
+    grown = lattice(words, pieces.table(spark), pieces.longest, edge, shortest, fits)
     mask = merge_fold(F.col("edges"), F.length("word")) if kind == "bpe" else viterbi_fold(F.col("edges"), F.length("word"), lowest)
 
     @F.pandas_udf("binary")
     def finish(word: pd.Series, mask: pd.Series) -> pd.Series:
         table = sent.value
         signs = [w.replace(" ", BLANK) for w in word]
-        if kind == "bpe":
-            mask = [table.merged(w) if BLANK * 2 in w else m for w, m in zip(signs, mask, strict=True)]
+        mask = [table.merged(w) if m is None else m for w, m in zip(signs, mask, strict=True)]
         return pd.Series([np.array(table.of(w, m), table.number).tobytes() for w, m in zip(signs, mask, strict=True)], dtype=object)
 
-    return grown.select("word", "n", mask.alias("mask")).select("word", "n", finish("word", "mask").alias("ids"))
+    return grown.select("word", "n", F.when(fits, mask).alias("mask")).select("word", "n", finish("word", "mask").alias("ids"))
 
 
 def sha_of(text: str) -> bytes:
@@ -249,52 +280,81 @@ def sha_of(text: str) -> bytes:
 def _whole(docs: DataFrame, pieces: Pieces, kind: str, hot: int) -> DataFrame:
     """doc_id, n_chars, n_words, ids of every document, and whether they decode to its whole text.
 
-    Tasks that read documents write the ids of frequent words at once and a gap for each
-    other word; those meet their ids in a join and fill the gaps in order.
+    Tasks that read documents write the numbers of frequent words, two bytes each, and a gap for each
+    other word; those meet their ids in a join, come back by their document's row, and fill the gaps in
+    order. Documents are read once for either side instead of being stored in between, so ``docs``
+    is a stored table, whose rows come in the same order each time.
     """
     spark = docs.sparkSession
     words = stored(encode_words(_counted(docs), pieces, kind))
     # At most ``hot`` words go to the driver and on to the tasks.
-    top = most_frequent(words, "n", hot).select("word", "ids").toPandas()
-    sent = spark.sparkContext.broadcast((pieces, {w: bytes(i) for w, i in zip(top["word"], top["ids"], strict=True)}))
-
-    @F.pandas_udf("struct<n_chars:long,n_words:long,sha:binary,ids:binary,words:array<string>>")
-    def begin(texts: pd.Series) -> pd.DataFrame:
-        table, known = sent.value
-        gap = np.array([table.gap], table.number).tobytes()
-        out = []
-        for text in texts:
-            text = text if isinstance(text, str) else ""
-            found = chunks(text)
-            ids = b"".join(map(known.get, found, repeat(gap)))
-            out.append((len(text), len(found), sha_of(text), ids, [w for w in found if w not in known]))
-        return pd.DataFrame(out, columns=["n_chars", "n_words", "sha", "ids", "words"])
+    top = most_frequent(words, "n", min(hot, GAP)).select("word", "ids").toPandas()
+    sizes = np.array([len(i) // pieces.number.itemsize for i in top["ids"]], np.int64)
+    flat = np.frombuffer(b"".join(top["ids"]), pieces.number)
+    numbers = spark.sparkContext.broadcast(dict(zip(top["word"], [k.to_bytes(2, "little") for k in range(len(top))], strict=True)))
+    table = spark.sparkContext.broadcast((pieces, flat, np.cumsum(sizes) - sizes, sizes))
+
+    def coder():
+        """Numbers and rare words of a run of text, remembered for the runs that come again."""
+        known, gap, seen = numbers.value, GAP.to_bytes(2, "little"), {}
+
+        def code(run: str) -> tuple[bytes, tuple[str, ...]]:
+            found = chunks_of_run(run)
+            made = b"".join(map(known.get, found, repeat(gap))), tuple([w for w in found if w not in known])
+            if len(run) <= 64:
+                if len(seen) >= KEPT:
+                    seen.clear()
+                seen[run] = made
+            return made
+
+        return lambda text: [seen.get(run) or code(run) for run in runs(text)]
+
+    @F.pandas_udf("array<string>")
+    def rare_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        code = coder()
+        for texts in batches:
+            yield pd.Series([[w for _, rare in code(text) for w in rare] for text in texts], dtype=object)
+
+    @F.pandas_udf("struct<n_chars:long,n_words:long,sha:binary,code:binary>")
+    def begin(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        code, packer = coder(), zstandard.ZstdCompressor(level=3)
+        for texts in batches:
+            out = []
+            for text in texts:
+                text = text if isinstance(text, str) else ""
+                raw = b"".join([made for made, _ in code(text)])
+                out.append((len(text), len(raw) // 2, sha_of(text), packer.compress(raw)))
+            yield pd.DataFrame(out, columns=["n_chars", "n_words", "sha", "code"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
-    rows = stored(rows.select("row", "doc_id", begin("text").alias("_b")).select("row", "doc_id", "_b.*"))
-    rare = rows.select("row", F.posexplode("words").alias("at", "word")).join(words.select("word", F.col("ids").alias("more")), "word")
+    main = rows.select("row", "doc_id", begin("text").alias("_b")).select("row", "doc_id", "_b.*")
+    rare = rows.select("row", F.posexplode(rare_words("text")).alias("at", "word")).join(words.select("word", F.col("ids").alias("more")), "word")
     more = F.transform(F.array_sort(F.collect_list(F.struct("at", "more"))), lambda x: x["more"])
-    got = rows.drop("words").join(rare.groupBy("row").agg(more.alias("more")), "row", "left")
+    got = main.join(rare.groupBy("row").agg(more.alias("more")), "row", "left")
 
     @F.pandas_udf("struct<ids:array<int>,lossless:boolean>")
-    def finish(ids: pd.Series, more: pd.Series, sha: pd.Series) -> pd.DataFrame:
-        table, _ = sent.value
-        out = []
-        for raw, parts, want in zip(ids, more, sha, strict=True):
-            whole = np.frombuffer(raw, table.number)
-            gaps = np.flatnonzero(whole == table.gap)
+    def finish(codes: pd.Series, more: pd.Series, sha: pd.Series) -> pd.DataFrame:
+        pieces, flat, starts, sizes = table.value
+        out, unpacker = [], zstandard.ZstdDecompressor()
+        for packed, parts, want in zip(codes, more, sha, strict=True):
+            code = np.frombuffer(unpacker.decompress(packed), "<u2")
+            gaps = np.flatnonzero(code == GAP)
             parts = [] if parts is None else list(parts)
             if len(gaps) != len(parts):
                 raise ValueError(f"{len(gaps)} words without ids, {len(parts)} found")
-            if parts:
-                sizes = np.ones(len(whole), np.int64)
-                sizes[gaps] = [len(x) // table.number.itemsize for x in parts]
-                whole = np.repeat(whole, sizes)
-                whole[whole == table.gap] = np.frombuffer(b"".join(parts), table.number)
-            out.append((whole.astype(np.int32), sha_of(table.decode_text(whole.tolist())) == bytes(want)))
+            # Each word's place in one table: that of the frequent words, and the document's own after it.
+            own = np.array([len(x) // pieces.number.itemsize for x in parts], np.int64)
+            every = np.concatenate([flat, np.frombuffer(b"".join(parts), pieces.number)]) if parts else flat
+            start, size = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+            frequent = code != GAP
+            start[frequent], size[frequent] = starts[code[frequent]], sizes[code[frequent]]
+            start[gaps], size[gaps] = len(flat) + np.cumsum(own) - own, own
+            upto = np.cumsum(size)
+            ids = every[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(start - upto + size, size)]
+            out.append((ids.astype(np.int32), sha_of(pieces.decode_text(ids.tolist())) == bytes(want)))
         return pd.DataFrame(out, columns=["ids", "lossless"])
 
-    got = got.select("doc_id", "n_chars", "n_words", finish("ids", "more", "sha").alias("_f"))
+    got = got.select("doc_id", "n_chars", "n_words", finish("code", "more", "sha").alias("_f"))
     return got.select("doc_id", "n_chars", "n_words", "_f.*")
 
 

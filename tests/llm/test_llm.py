@@ -417,6 +417,25 @@ def test_pieces_of_blanks_digits_and_signs(spark):
     assert got == {i: model.encode(t) for i, t in enumerate(texts)}
 
 
+def test_pieces_of_very_long_words(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    r = random.Random(8)
+    texts = ["".join(r.choice("abcdefgh") for _ in range(n)) for n in (239, 240, 241, 3000, 200_000)] + ["x" * 200_000, "  " * 50_000 + "a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pieces.digest(docs).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: model.encode(t) for i, t in enumerate(texts)} and all(r.lossless for r in got)
+
+
+def test_runs_hold_the_words_of_their_text():
+    r = random.Random(2)
+    for _ in range(2000):
+        text = "".join(r.choice(["a", " ", " ", "\n", "1", ",", "é", "字", "B"]) for _ in range(r.randint(0, 12)))
+        assert [w for run in pieces.runs(text) for w in pieces.chunks_of_run(run)] == pieces.chunks(text)
+    assert pieces.runs(None) == []
+
+
 def test_pieces_of_the_query_are_the_documents_ids(spark, tmp_path):
     """The query and the last stage give whole documents' ids, whichever words are frequent."""
     import corpus_pipeline
