@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import most_frequent, stored
 
-HOT = 1 << 16
+HOT = 1 << 17
 LIMIT = 2048
 #: Distinct pre-tokens that a task holds before it passes their counts on.
 HELD = 400_000
