@@ -42,7 +42,7 @@ from .common import Recent, stored
 
 #: Documents and links of a container at most (one longer document stands alone), and words that a worker remembers.
 SLOT_BITS = 13
-DOCS, LINKS, KEPT = 1 << SLOT_BITS, 1 << 21, 1 << 17
+DOCS, LINKS, KEPT = 1 << SLOT_BITS, 1 << 21, 1 << 18
 #: A list of places takes two bytes each, bits take one byte for eight documents.
 DENSE = DOCS // 16
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -97,12 +97,12 @@ class Aligner:
 
     def learn(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both models, as 32-bit numbers, of words with the white space in front of them; none if they do not give back the word."""
-        together = [w for w in words if w[0] == " " and not w.isspace()]
-        found = dict(zip(together, self._learn_run(together), strict=True)) if together else {}
+        together = sorted([w for w in words if not w.isspace()], key=lambda w: w[0] != " ")
+        found = dict(zip(together, self._learn_run(together), strict=True)) if together and together[0][0] == " " else {}
         return [found[w] if w in found else self._learn_one(w) for w in words]
 
     def _learn_run(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Words in one text; each begins with a blank and ends otherwise, so its tokens are its own."""
+        """Words in one text, the first with a blank; each begins with white space and ends otherwise, so its tokens are its own."""
         text = "".join(words)
         got = self._whole(text[1:])
         if got is None:
