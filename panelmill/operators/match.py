@@ -6,15 +6,17 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.labels import REPORT_DATE_PRIORITY
 from ..functions.months import in_window
 from ..functions.numbers import percent_close
-from .pick import earliest, stored, top_per_key
+from .pick import earliest
 
 PUBLICATION_DAYS = (0, 45)
 RELEASE_TOLERANCE = 1000
+SO_FAR = (W.unboundedPreceding, W.currentRow)
 
 
 def name_map(names: DataFrame) -> DataFrame:
@@ -49,42 +51,66 @@ def tolerance_match(
     An observation corroborates a claim with the same keys if the values differ
     by at most the claim's tolerance, every percent agrees or is unknown on a
     side, and every (column, tolerance) of ``also`` agrees. The best one is
-    current first, then the lowest id.
+    current first, then the lowest id. Null keys, values and tolerances and
+    negative tolerances match nothing. ``claims`` is read three times; a caller
+    stores it first if it is costly to derive.
 
     Equal claims and equal observations are reduced to one each before they
-    meet. They then meet in value bands: at level k, bands are 2^k wide, and a
-    claim uses the level at which its whole tolerance range touches at most two
-    bands. A key with very many claims and observations is thereby cut into
-    bands instead of being paired in full.
+    meet, and a claim is never paired with the observations of its range. Values
+    are cut into blocks of 2^k, the widest that fits a claim's whole range, so
+    that a range is the end of one block, perhaps a whole block, and the start of
+    another. Inside a block both sides are sorted by value, and the best
+    observation so far, from the left or from the right, answers a claim.
+    Percents and ``also`` are settled before: a claim meets each distinct set of
+    them once a block, however many observations share it.
     """
     keys, percents = list(keys), list(percents)
-    extra = [c for c, _ in also]
-    figures = [value, *extra, *percents]
-    distinct = claims.select(*keys, *figures, tolerance).distinct()
-    # Read twice below; claims may be costly to derive.
-    distinct = stored(distinct.withColumn("_level", F.length(F.bin(F.col(tolerance) * 2 + 1))))
-    low = F.expr(f"shiftright({value} - {tolerance}, _level)")
-    high = F.expr(f"shiftright({value} + {tolerance}, _level)")
-    banded = distinct.withColumn("_band", F.explode(F.sequence(low, high)))
-
-    unique = observations.groupBy(*keys, *figures).agg(
-        F.coalesce(F.min(F.when(F.col("is_current"), F.col("obs_id"))), F.min("obs_id")).alias("obs_id"),
-        F.bool_or("is_current").alias("is_current"),
+    settled = [c for c, _ in also] + percents
+    figures = [value, *settled]
+    distinct = claims.where(F.col(tolerance) >= 0).select(*keys, *figures, tolerance).distinct()
+    distinct = distinct.withColumn("_level", F.length(F.bin(F.col(tolerance) * 2 + 1)) - 1)
+
+    rank = F.when(F.col("is_current"), 0).when(~F.col("is_current"), 1).otherwise(2)
+    unique = observations.where(F.col(value).isNotNull()).groupBy(*keys, *figures).agg(
+        F.min(F.struct(rank.alias("rank"), "obs_id")).alias("_first")
     )
     levels = distinct.select(*keys, "_level").distinct()
-    seen = unique.join(levels, keys).withColumn("_band", F.expr(f"shiftright({value}, _level)"))
-    seen = seen.select(
-        *keys, "_level", "_band", "obs_id", "is_current", *[F.col(c).alias(f"matched_{c}") for c in figures]
+    found = [F.col(value).alias(f"matched_{value}"), *[F.col(f"matched_{c}") for c in settled]]
+    seen = (
+        unique.join(levels, keys)
+        .withColumns({"_block": F.expr(f"shiftright({value}, _level)"), **{f"matched_{c}": F.col(c) for c in settled}})
+        .withColumn("_best", F.struct("_first.rank", "_first.obs_id", *found))
     )
-    pairs = banded.join(seen, [*keys, "_level", "_band"])
-    near = F.abs(F.col(value) - F.col(f"matched_{value}")) <= F.col(tolerance)
-    tests = [near]
-    tests += [F.abs(F.col(c) - F.col(f"matched_{c}")) <= t for c, t in also]
+    place = [*keys, "_level", "_block", *[f"matched_{c}" for c in settled]]
+
+    low, high = F.col(value) - F.col(tolerance), F.col(value) + F.col(tolerance)
+    shifted = lambda edge: F.call_function("shiftright", edge, F.col("_level"))
+    asking = distinct.withColumn("_block", F.explode(F.sequence(shifted(low), shifted(high))))
+    tests = [F.abs(F.col(c) - F.col(f"matched_{c}")) <= t for c, t in also]
     tests += [percent_close(c, f"matched_{c}") for c in percents]
-    good = pairs.where(reduce(lambda a, b: a & b, tests))
-    chosen = top_per_key(
-        good, [*keys, *figures, tolerance], [F.desc("is_current"), F.asc("obs_id")]
-    ).drop("_level", "_band")
+    if settled:
+        asking = asking.join(seen.select(*place).distinct(), [*keys, "_level", "_block"])
+        asking = asking.where(reduce(lambda a, b: a & b, tests))
+
+    claim = F.struct(*figures, tolerance).alias("_claim")
+    from_low = F.col("_block") == shifted(low)
+    asking = asking.select(*place, F.when(from_low, low).otherwise(high).alias("_at"), from_low.alias("_up"), claim)
+    offered = seen.select(*place, F.col(value).alias("_at"), "_best")
+    both = offered.unionByName(asking, allowMissingColumns=True)
+    # At one value observations come before claims.
+    last = F.col("_claim").isNotNull()
+    block = W.partitionBy(*place)
+    best = F.when(F.col("_up"), F.min("_best").over(block.orderBy(F.desc("_at"), last).rowsBetween(*SO_FAR)))
+    best = best.otherwise(F.min("_best").over(block.orderBy(F.asc("_at"), last).rowsBetween(*SO_FAR)))
+    answered = both.withColumn("_best", best).where(last & F.col("_best").isNotNull())
+    chosen = answered.groupBy(*keys, "_claim").agg(F.min("_best").alias("_best"))
+    chosen = chosen.select(
+        *keys,
+        "_claim.*",
+        F.col("_best.obs_id").alias("obs_id"),
+        F.when(F.col("_best.rank") < 2, F.col("_best.rank") == 0).alias("is_current"),
+        *[F.col(f"_best.matched_{c}").alias(f"matched_{c}") for c in figures],
+    )
 
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in [*keys, *figures, tolerance]]
     return (

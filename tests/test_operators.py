@@ -213,6 +213,46 @@ def test_tolerance_match_against_brute_force(spark):
     assert "CartesianProduct" not in got._jdf.queryExecution().toString()
 
 
+def join_rows(frame):
+    """Most rows that a join of the executed plan gave."""
+    frame.collect()
+    most, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif "Join" in name and node.metrics().contains("numOutputRows"):
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_tolerance_match_of_one_dense_key(spark):
+    rng = random.Random(4)
+    n = 4000
+    claims = [(i, 1, rng.randrange(20_000), rng.choice([0, 700, 5000, -1]), rng.choice([None, 0.0, 0.1, 0.2])) for i in range(n)]
+    seen = [(i, 1, rng.randrange(20_000), rng.random() < 0.001, rng.choice([None, 0.0, 0.05, 0.1])) for i in range(n)]
+    want, best_first = [], sorted(seen, key=lambda o: (not o[3], o[0]))
+    for r, _, v, t, p in claims:
+        for o, _, w, c, q in best_first:
+            if abs(v - w) <= t and (p is None or q is None or abs(p - q) <= 0.06):
+                want.append((r, o, c, w, q))
+                break
+    c = spark.createDataFrame(claims, "record_id int, entity int, revenue long, tolerance long, mom double")
+    o = spark.createDataFrame(seen, "obs_id int, entity int, revenue long, is_current boolean, mom double")
+    got = match.tolerance_match(c, o, keys=["entity"], percents=["mom"])
+    assert rows(got, "record_id", "obs_id", "is_current", "matched_revenue", "matched_mom") == sorted(want, key=repr)
+    assert join_rows(got) <= 12 * n
+    empty = o.where("obs_id < 0")
+    assert match.tolerance_match(c, empty, keys=["entity"], percents=["mom"]).count() == 0
+    odd = spark.createDataFrame([(1, None, 5, 5, None), (2, 1, None, 5, None), (3, 1, 5, None, None)], c.schema)
+    assert match.tolerance_match(odd, o, keys=["entity"], percents=["mom"]).count() == 0
+
+
 def test_retention_of_distinct_months(spark):
     data = [(1, f"{2000 + k % 15}-01-01", k) for k in range(60)] + [(2, "2000-01-01", 1)]
     frame = dated(spark.createDataFrame(data, "entity int, month string, n int"), "month")
