@@ -32,7 +32,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "jwt", "key")
@@ -341,12 +341,17 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
         return texts.map(one, na_action="ignore")
 
-    columns = docs.columns
-    made = docs.withColumn("_clean", clean(F.col("text")))
-    changed = ~F.col("_clean").eqNullSafe(F.col("text"))
-    if "n_chars" in columns:
-        made = made.withColumn("n_chars", F.when(changed, F.length("_clean").cast("long")).otherwise(F.col("n_chars")))
-    return made.withColumn("text", F.col("_clean")).select(*[F.col(f"`{c}`") for c in columns])
+    # The row goes along as one struct, so its columns may have any names.
+    made = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), clean(F.col("text")).alias("clean"))
+    changed = ~F.col("clean").eqNullSafe(F.col("row").getField("text"))
+
+    def column(name: str) -> Column:
+        if name.lower() == "text":
+            return F.col("clean")
+        same = F.col("row").getField(name)
+        return F.when(changed, F.length("clean").cast("long")).otherwise(same) if name.lower() == "n_chars" else same
+
+    return made.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def op2_secrets(spark, sf_dir: str) -> DataFrame:
