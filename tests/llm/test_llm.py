@@ -200,6 +200,29 @@ def test_secrets_of_rows(odd, none):
     assert "AKIA" not in clean.where("doc_id = 11").first().text
 
 
+def test_redact_leaves_other_columns_alone(spark):
+    secret_text = "my token = abcdef0123456789 here"
+    names = "doc_id long, text string, _clean string, row string, clean string, `a.b` string, n_chars long"
+    data = [(1, secret_text, "c", "r", "k", "d", len(secret_text)), (1, None, None, "r", "k", "d", 7), (2, "nothing", "c", None, "k", "d", 9)]
+    docs = spark.createDataFrame(data, names)
+    got = secret.redact(docs)
+    assert got.columns == docs.columns
+    found = sorted(map(tuple, got.collect()), key=repr)
+    new = next(r for r in found if r[1] and r[1] != "nothing")
+    assert "abcdef" not in new[1] and new[2:6] == ("c", "r", "k", "d") and new[6] == len(new[1])
+    assert [r for r in found if r != new] == sorted(data[1:], key=repr)
+
+
+def test_quality_order_changes_no_verdict(odd):
+    """Rules that come later are only asked about texts that reach them, whatever their order."""
+    every = quality.measure(odd, quality.RULES)
+    turned = quality.measure(odd, quality.RULES[::-1])
+    keep = lambda d: sorted(map(tuple, d.drop("rejected_by").collect()), key=repr)
+    assert keep(every) == keep(turned)
+    # What only a late rule looks at is no column that every row computes.
+    assert not {"n_upper", "n_lines"} & set(every.columns)
+
+
 def test_base_spans_by_brute_force():
     r = random.Random(6)
     bits = ["token", "=", " ", '"', "a1b2c3d4e5f6", "deadbeef", "AKIA", "ABCDEFGHIJKLMNOP", "Secret", ":", "ſecret", "x"]
