@@ -24,6 +24,7 @@ from ..functions.labels import (
     migrated_priority,
 )
 from ..functions.months import local_date, local_time
+from .groups import build_bridge
 from .pick import earliest, last_wins, retain_latest, retain_latest_distinct, top_per_key
 from .views import exact_promotions
 
@@ -615,6 +616,12 @@ def refresh_manifest(dim: DataFrame, universe: DataFrame, now) -> DataFrame:
     )
 
 
+def labels_of_new(manifest: DataFrame) -> DataFrame:
+    """(ticker, classification, label_order) of entities that ``refresh_manifest`` inserts; known ones keep theirs."""
+    new = manifest.where("action = 'insert'")
+    return build_bridge(new.select(F.col("ticker").alias("entity"), "labels")).withColumnRenamed("entity", "ticker")
+
+
 def migrate_dates(dates: DataFrame) -> DataFrame:
     """Stored report dates with the priority their basis now has."""
     return dates.withColumn("source_priority", migrated_priority("basis"))

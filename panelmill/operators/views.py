@@ -150,6 +150,31 @@ def universe_difference(universe: DataFrame, dim: DataFrame, on: str = "ticker")
     )
 
 
+def universe_gate(universe: DataFrame, dim: DataFrame, expected: DataFrame, on: str = "ticker") -> DataFrame:
+    """One row that tells whether a universe file may be loaded.
+
+    Every key of the dimension must be in the file, and of the keys new in the
+    file all must be ``expected`` and there may be at most one.
+    """
+    gap = universe_difference(universe, dim, on)
+    known = expected.select(on).distinct().withColumn("_expected", F.lit(True))
+    new = F.col("missing_from") == "dimension"
+    counts = gap.join(known, on, "left").agg(
+        F.count_if(~new).alias("missing"),
+        F.count_if(new).alias("added"),
+        F.count_if(new & F.col("_expected").isNull()).alias("unexpected"),
+    )
+    passes = (F.col("missing") == 0) & (F.col("added") <= 1) & (F.col("unexpected") == 0)
+    return counts.withColumn("passes", passes)
+
+
+def check_universe(universe: DataFrame, dim: DataFrame, expected: DataFrame, on: str = "ticker") -> None:
+    """Raise unless the gate passes; one row of counts comes to the driver."""
+    row = universe_gate(universe, dim, expected, on).first()
+    if not row.passes:
+        raise ValueError(f"universe file: {row.missing} keys missing, {row.added} added, {row.unexpected} of them not expected")
+
+
 def missing_rates(facts: DataFrame, rates: DataFrame) -> DataFrame:
     """Fact months without an exchange rate."""
     return facts.select("month").distinct().join(rates.select("month"), "month", "left_anti")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from .registry import REGISTRY, oracle_text
 
-from . import analytics, columns, forecasts, maintenance, matching, raw, screening, streams, trends  # noqa: E402,F401  isort:skip
+from . import analytics, columns, files, forecasts, maintenance, matching, raw, screening, streams, trends  # noqa: E402,F401  isort:skip
 
 
 def queries() -> dict[str, Callable]:

@@ -1,5 +1,6 @@
 """Raw inputs: files on disk to typed rows."""
 
+import hashlib
 import json
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelmill.functions import finished_note, has_han, name_key, expand_roc_years
 from panelmill.operators import maintain, match, pick, views
-from panelmill.sources import archive, feeds, pages, reference, sinks
+from panelmill.sources import archive, feeds, manifest, pages, reference, sinks
 
 HEADER = ",".join(archive.HEADERS.values())
 ROW = "115/08/01,115/7,2330,source company,source industry,442679969,416975163,263708978,6.1645,67.8668,2404483690,1773045533,35.6131,-"
@@ -286,6 +287,39 @@ def test_monthly_rates_upsert(spark):
     assert rows(changed, "month", "average_rate", "action") == [("2026-07-01", 33.5, "update")]
 
 
+def test_file_manifest(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder / "a.csv", "x,y\n1,2\n3,4\n")
+    write(folder / "b.csv", "x,y\n")
+    read = lambda: manifest.with_file(spark.read.option("header", True).csv(str(folder)))
+    found = manifest.file_manifest(spark, str(folder), read(), "2026-08-01 00:00:00")
+    name = lambda d: d.withColumn("file", F.regexp_extract("file", "[^/]+$", 0))
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    first = [("a.csv", 12, digest("x,y\n1,2\n3,4\n"), 2), ("b.csv", 4, digest("x,y\n"), 0)]
+    assert rows(name(found), "file", "bytes", "content_hash", "row_count") == first
+    known = pick.stored(found)
+    write(folder / "a.csv", "x,y\n9,9\n")
+    write(folder / "c.csv", "x,y\n")
+    later = manifest.file_manifest(spark, str(folder), read(), "2026-08-02 00:00:00")
+    applied = manifest.apply_manifest(known, later)
+    got = name(applied).select("file", "row_count", F.dayofmonth("imported_at").alias("day"), "action")
+    assert rows(got, "file", "row_count", "day", "action") == [("a.csv", 1, 2, "update"), ("b.csv", 0, 1, "keep"), ("c.csv", 0, 2, "insert")]
+    again = manifest.apply_manifest(applied.drop("action"), later)
+    assert {r.action for r in again.collect()} == {"keep"}
+    assert manifest.apply_manifest(known, later.limit(0)).where("action <> 'keep'").count() == 0
+
+
+def test_universe_gate(spark):
+    frame = lambda *t: spark.createDataFrame([(x,) for x in t], "ticker string")
+    dim = frame("1", "2")
+    views.check_universe(frame("1", "2", "2"), dim, frame("9"))
+    views.check_universe(frame("1", "2", "9"), dim, frame("9"))
+    for bad, expected in ((frame("1"), frame()), (frame("1", "2", "3"), frame("9")), (frame("1", "2", "8", "9"), frame("8", "9"))):
+        with pytest.raises(ValueError, match="universe file"):
+            views.check_universe(bad, dim, expected)
+
+
 def test_reference_inputs(spark, tmp_path):
     holidays = reference.scan_holidays(spark, payload(tmp_path / "h.json", [{"Name": "國慶日", "Date": "1151009", "Description": "10月9日補假。"}, {"Name": "x", "Date": "1151010"}, {"Name": "放假", "Date": "bad"}]))
     assert rows(holidays) == [("2026-10-09",)]
