@@ -34,8 +34,9 @@ def js_round(c, digits: int = 0) -> Column:
     c = _col(c).cast("double")
     factor = float(10**digits)
     # From 2**53 on a double has no fraction, and floor() would leave the range of its result.
-    whole = F.abs(c * factor) >= float(1 << 53)
-    return F.when(F.abs(c) <= MAX_DOUBLE, F.when(whole, c).otherwise(F.floor(c * factor + 0.5) / factor))
+    # Ordinary values pass one test and are computed twice, as Spark repeats ``c`` for each mention.
+    small = F.abs(c * factor) < float(1 << 53)
+    return F.when(small, F.floor(c * factor + 0.5) / factor).when(F.abs(c) <= MAX_DOUBLE, c)
 
 
 def growth_pct(current, prior) -> Column:

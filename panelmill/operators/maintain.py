@@ -473,8 +473,12 @@ def apply_sources(sources: DataFrame, polls: DataFrame, now) -> DataFrame:
     url moved, else it is new. An unavailable poll clears a stored error; a
     failed poll stores its error once; a good poll stores its content hash and
     clears the error. ``content_changed`` marks sources whose events to renew.
+    Of several polls that lead to one source the last decides: the one of the
+    highest ``poll_order``, where ``polls`` has that column, then of the greatest
+    address.
     """
     at = F.lit(now).cast("timestamp")
+    order = F.col("poll_order") if "poll_order" in polls.columns else F.lit(0)
     definition = ["source_type", "source_url", "parser_name", "source_priority", "enabled"]
     state = ["content_hash", "last_success_at", "last_error_at", "last_error_message"]
     p = polls.select(
@@ -483,15 +487,18 @@ def apply_sources(sources: DataFrame, polls: DataFrame, now) -> DataFrame:
         F.col("unavailable").alias("p_unavailable"),
         F.col("error").alias("p_error"),
         F.col("content_hash").alias("p_hash"),
+        order.alias("p_order"),
     )
+    # An address polled again still finds its source once.
+    hits = p.select("entity", F.col("p_source_url").alias("source_url"), F.lit(True).alias("_hit")).distinct()
     by_url = sources.join(
-        p.select("entity", F.col("p_source_url").alias("source_url"), F.lit(True).alias("_hit")),
+        hits,
         ["entity", "source_url"],
         "left",
     )
     url_hits = by_url.where("_hit").select("entity", F.col("source_url").alias("p_source_url"), "source_id")
     moved = p.join(url_hits, ["entity", "p_source_url"], "left_anti")
-    candidates = moved.select("entity", "p_source_url", F.col("p_parser_name").alias("parser_name")).join(
+    candidates = moved.select("entity", "p_source_url", F.col("p_parser_name").alias("parser_name")).distinct().join(
         sources.select("entity", "parser_name", "source_id", "enabled"), ["entity", "parser_name"]
     )
     parser_hits = top_per_key(
@@ -504,7 +511,7 @@ def apply_sources(sources: DataFrame, polls: DataFrame, now) -> DataFrame:
         "source_id", F.coalesce("source_id", fresh_id)
     )
     # Two polled addresses can lead to one source; it takes the last of them.
-    located = top_per_key(located, ["source_id"], [F.desc("p_source_url")])
+    located = top_per_key(located, ["source_id"], [F.desc_nulls_last("p_order"), F.desc("p_source_url")])
 
     both = sources.alias("s").join(located.alias("p"), "source_id", "full_outer")
     polled = F.col("p._new").isNotNull()

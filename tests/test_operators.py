@@ -296,6 +296,9 @@ def test_sources_and_events(spark):
     poll = lambda url, denied, error, h: spark.createDataFrame([(1, "t", url, "umc", 1, True, denied, error, h)], "entity int, source_type string, source_url string, parser_name string, source_priority int, enabled boolean, unavailable boolean, error string, content_hash string")
     moved = maintain.apply_sources(stored, poll("new", False, None, "h2"), NOW)
     assert rows(moved, "source_id", "source_url", "last_error_message", "content_changed", "action") == [("s1", "new", None, True, "update")]
+    turns = poll("a-new", False, None, "h3").withColumn("poll_order", F.lit(2)).unionByName(poll("z-new", False, None, "h2").withColumn("poll_order", F.lit(1)))
+    turns = turns.unionByName(poll("z-new", False, "broken", None).withColumn("poll_order", F.lit(0)))
+    assert rows(maintain.apply_sources(stored, turns, NOW), "source_id", "source_url", "content_hash", "action") == [("s1", "a-new", "h3", "update")]
     denied = maintain.apply_sources(stored, poll("old", True, None, None), NOW)
     assert rows(denied, "last_error_message", "content_hash", "action") == [(None, "h", "update")]
     failed = maintain.apply_sources(stored, poll("old", False, "found no events", None), NOW)
