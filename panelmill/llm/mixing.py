@@ -7,13 +7,16 @@ time until the budget is full, so at any moment the sources are served in
 proportion to their targets, and each ends near its own.
 
 A busy source is cut into 4,096 slices of the shuffled order: sums per slice give
-each slice its start, and running sums stay within a slice. The point of
-truncation is found from sums per band of finish time; only items of the one
-band in which the budget ends are put in order.
+each slice its start, and running sums stay within a slice. Slice and order come
+from a hash of id and text, so rows without an id, or with one id, spread over the
+slices too. The point of truncation is found from sums per band of finish time: the
+band in which the budget ends is cut into bands again, ``LEVELS`` times in all, and
+only what is then left is put in order.
 
 Defined results: null and empty texts have size 0 and are never taken; null is a
-source of its own, after the others; rows with equal ids are separate documents
-that stand next to each other, smaller first, so equal rows are interchangeable;
+source of its own, after the others; rows with equal ids are separate documents,
+each with its own place; those of equal text as well stand next to each other and are
+interchangeable;
 no rows or no words give targets of 0; other columns are passed through by
 ``mix`` and ignored by ``plan``.
 """
@@ -30,11 +33,14 @@ WEIGHTS = (5, 2, 1)
 #: Words to take, as a share of all words, and at most this many times a source.
 SHARE, EPOCHS = 1.5, 2
 BANDS = 4096
+#: After three levels a band is 1/2^36 of a target, fewer words than most documents have.
+LEVELS = 3
 _SLICE = ["_has", "_source", "_slice"]
 
 
-def _keyed(docs: DataFrame, doc_id: Column, source: Column, size: Column) -> DataFrame:
-    key = F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def _keyed(docs: DataFrame, doc_id: Column, source: Column, size: Column, text: Column) -> DataFrame:
+    """Place of each document in its source's order; ``text`` is the text's hash."""
+    key = F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), text))
     return docs.select(
         "*",
         size.alias("_size"),
@@ -95,26 +101,31 @@ def _finish(epoch: int) -> Column:
 
 
 def _cut(finished: DataFrame) -> tuple[Column, Column]:
-    """The band in which the budget ends, and the last item taken from it.
+    """The last level's band in which the budget ends, and the last item taken from it.
 
-    Both are scalar subqueries. Bands count finish times in 4,096ths; beyond two
-    targets all is one band, which the budget never reaches.
+    Both are scalar subqueries. A band of the first level is a 4,096th of a target's
+    finish time, one of the next level a 4,096th of that; beyond two targets all is one
+    band, which the budget never reaches.
     """
     item = F.explode(F.array(*[F.struct(_finish(e).alias("finish"), F.col("rank").alias("rank")) for e in range(EPOCHS)]))
-    items = finished.where("_size > 0").select("_size", "budget", item.alias("item"))
-    items = items.select("_size", "budget", "item", band(F.col("item")["finish"]).alias("band"))
-    bands = items.groupBy("band").agg(F.sum("_size").alias("words"), F.max("budget").alias("budget"))
-    bands = bands.withColumn("upto", F.sum("words").over(W.orderBy("band")))
-    crossed = bands.where("upto > budget").groupBy().agg(F.min(F.struct("band", "upto", "words", "budget")).alias("c")).select("c.*")
-    crossed = stored(crossed.select("band", (F.col("upto") - F.col("words")).alias("before"), "budget"))
-    last = items.join(F.broadcast(crossed.select("band", "before")), "band")
-    last = last.withColumn("upto", F.col("before") + F.sum("_size").over(W.orderBy("item")))
+    items = finished.where("_size > 0").select("_size", "budget", F.lit(0).cast("long").alias("before"), item.alias("item"))
+    for level in range(1, LEVELS + 1):
+        items = items.withColumn("band", band(F.col("item")["finish"], level))
+        bands = items.groupBy("band").agg(F.sum("_size").alias("words"), F.max("budget").alias("budget"), F.max("before").alias("before"))
+        # At most 8,193 bands on the first level and 4,096 on the others.
+        bands = bands.withColumn("upto", F.col("before") + F.sum("words").over(W.orderBy("band")))
+        first = bands.where("upto > budget").groupBy().agg(F.min(F.struct("band", "upto", "words")).alias("c")).select("c.*")
+        crossed = stored(first.where("band IS NOT NULL").select("band", (F.col("upto") - F.col("words")).alias("_before")))
+        items = items.join(F.broadcast(crossed), "band").select("_size", "budget", F.col("_before").alias("before"), "item")
+        items = stored(items) if level < LEVELS else items
+    last = items.withColumn("upto", F.col("before") + F.sum("_size").over(W.orderBy("item")))
     last = last.where("upto <= budget").agg(F.max("item").alias("item"))
     return crossed.select("band").scalar(), last.scalar()
 
 
-def band(finish: Column) -> Column:
-    return F.least(F.floor(finish * BANDS), F.lit(2 * BANDS)).cast("int")
+def band(finish: Column, level: int = LEVELS) -> Column:
+    """Number of the band; scaling by a power of two is exact, so bands of a level lie within those of the one before."""
+    return F.least(F.floor(finish * BANDS**level), F.lit(2 * BANDS**level)).cast("long")
 
 
 def _times(finished: DataFrame) -> Column:
@@ -123,15 +134,15 @@ def _times(finished: DataFrame) -> Column:
     total = F.lit(0).cast("long")
     for e in range(EPOCHS):
         item = F.struct(_finish(e).alias("finish"), F.col("rank").alias("rank"))
-        inside = (band(_finish(e)) < F.coalesce(edge, F.lit(2 * BANDS + 1))) | ((band(_finish(e)) == edge) & (item <= last))
+        inside = (band(_finish(e)) < F.coalesce(edge, F.lit(2 * BANDS**LEVELS + 1))) | ((band(_finish(e)) == edge) & (item <= last))
         total = total + F.when(inside, 1).otherwise(0)
     return total
 
 
 def plan(docs: DataFrame) -> DataFrame:
     """One row for each document: its size, its source's size and target, words taken."""
-    narrow = _keyed(docs.select("doc_id", "source", n_words(text_of()).alias("size")), F.col("doc_id"), F.col("source"), F.col("size"))
-    narrow = stored(narrow)
+    read = docs.select("doc_id", "source", n_words(text_of()).alias("size"), F.md5(text_of()).alias("_text"))
+    narrow = stored(_keyed(read, F.col("doc_id"), F.col("source"), F.col("size"), F.col("_text")).drop("_text"))
     finished = stored(_finished(narrow, _starts(narrow)))
     taken = F.col("size") * _times(finished)
     return finished.select("doc_id", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"), taken.alias("taken"))
@@ -145,7 +156,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     wide = docs.select(row.alias("_row"), n_words(text_of()).alias("_n"))
-    wide = _keyed(wide, F.col("_row")["doc_id"], F.col("_row")["source"], F.col("_n"))
+    wide = _keyed(wide, F.col("_row")["doc_id"], F.col("_row")["source"], F.col("_n"), F.md5(text_of(F.col("_row")["text"])))
     narrow = stored(wide.drop("_row"))
     starts = stored(_starts(narrow))
     edge_of = stored(_finished(narrow, starts).drop("_key", "_slice"))
@@ -165,7 +176,7 @@ def op8_mixing(spark, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents),
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM s0),
 s2 AS (SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s1),

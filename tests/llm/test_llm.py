@@ -6,6 +6,7 @@ import json
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,31 @@ def test_mix_follows_targets(documents):
     assert (abs(by["taken"] - by["target"]) <= by["largest"] + 1).all()
 
 
+def test_mix_of_rows_without_ids(spark, tmp_path):
+    """A third of all rows have no id, some one id: all have places of their own, and the result is the SQL's."""
+    r = random.Random(8)
+    rows = [(None if i % 3 == 0 else i % 40, prose(i % 700, r.randint(0, 30)), r.choice("aaab")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    slices = mixing._keyed(docs, F.col("doc_id"), F.col("source"), F.lit(1), F.md5("text")).where("text <> ''").groupBy("_slice").count()
+    assert slices.agg(F.max("count")).first()[0] < 30
+    path = str(tmp_path / "documents.parquet")
+    docs.write.parquet(path)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    want = [tuple(x) for x in duck.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.OP8_SQL})").fetchall()]
+    got = [tuple(x) for x in mixing.plan(docs).select("doc_id", "size", "source_size", "target", "taken").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_bands_lie_within_bands(spark):
+    r = random.Random(9)
+    times = spark.createDataFrame([(r.random() * 2.2,) for _ in range(2000)], "t double")
+    got = times.select(*[mixing.band(F.col("t"), k).alias(f"b{k}") for k in (1, 2, 3)], "t").collect()
+    assert all(x.b3 >> 12 == x.b2 and x.b2 >> 12 == x.b1 for x in got)
+    ordered = sorted(got, key=lambda x: x.t)
+    assert all(x.b3 <= y.b3 for x, y in zip(ordered, ordered[1:], strict=False))
+
+
 def test_shards(odd, none, documents):
     for docs in (odd, documents):
         got = sharding.assign(docs).toPandas()
