@@ -19,8 +19,9 @@ the word's lattice. Its edges are grouped by word and folded by Spark's
   keeps the best sum of scores that reaches it.
 
 Characters without a piece become byte pieces. The piece table has a fixed size
-and is broadcast. The encodings of the most frequent words, ``HOT`` of them, go to
-the tasks that read documents; occurrences of all other words meet theirs in a join.
+and is broadcast. The most frequent words, ``HOT`` of them, are numbered by their rank.
+Tasks that read documents write a text as these numbers, packed, and its other words in
+full; those meet their ids in a join, and the numbers are written as ids at the end.
 
 Defined results: null and empty texts have no pieces; equal texts have equal
 results; white space is kept, so decoding gives back the text; characters outside
@@ -33,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -47,7 +49,7 @@ from .common import most_frequent, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-HOT = 1 << 17
+HOT = 1 << 18
 #: Longer words are merged by a heap.
 LONG = 240
 _LETTER, _SIGN = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
@@ -71,9 +73,8 @@ class Pieces:
         self.bytes = {int(_BYTE.fullmatch(self.texts[i])[1], 16): i for i in every if model.is_byte(i)}
         self.longest = max(map(len, self.ids))
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        #: Ids are stored as numbers of this kind; its highest stands for a word that is still to come.
+        #: Ids are stored as numbers of this kind.
         self.number = np.dtype(np.uint16 if len(self.texts) < 0xFFFF else np.uint32)
-        self.gap = np.iinfo(self.number).max
         if any(BLANK in t.lstrip(BLANK) or len(_CHUNK.findall(t.replace(BLANK, " "))) > 1 for t in self.ids):
             raise ValueError("pieces that reach across words are not supported")
 
@@ -275,56 +276,87 @@ def sha_of(text: str) -> bytes:
     return hashlib.sha256(text.encode("utf-8", "replace")).digest()
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers of words, all first bytes before all second ones, which packs ranks of frequent words well."""
+    return zlib.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+class Ranked:
+    """Ids of the frequent words, the one of rank r at r + 1; 0 stands for a word that is still to come."""
+
+    def __init__(self, ids: list[bytes], number: np.dtype):
+        self.sizes = np.array([0] + [len(x) // number.itemsize for x in ids], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ids = np.frombuffer(b"".join(ids) or bytes(number.itemsize), number)
+        self.number = number
+
+    def of(self, numbers: np.ndarray, parts: list[bytes]) -> np.ndarray:
+        """Ids of a text, ``parts`` in the places of the words to come."""
+        gaps = np.flatnonzero(numbers == 0)
+        if len(gaps) != len(parts):
+            raise ValueError(f"{len(gaps)} words without ids, {len(parts)} found")
+        sizes = self.sizes[numbers]
+        sizes[gaps] = [len(x) // self.number.itemsize for x in parts]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        ids = self.ids.take(at, mode="clip")
+        if len(gaps):
+            ids[np.repeat(numbers == 0, sizes)] = np.frombuffer(b"".join(parts), self.number)
+        return ids
+
+
 def _whole(docs: DataFrame, pieces: Pieces, kind: str, hot: int) -> DataFrame:
     """doc_id, n_chars, n_words, ids of every document, and whether they decode to its whole text.
 
-    Tasks that read documents write the ids of frequent words at once and a gap for each
-    other word; those meet their ids in a join and fill the gaps in order.
+    A text travels as one array of bytes, so that both readers below need the same rows
+    and share one shuffle: its numbers, its hash and length, its doc_id, its other words.
     """
     spark = docs.sparkSession
     words = stored(encode_words(_counted(docs), pieces, kind))
     # At most ``hot`` words go to the driver and on to the tasks.
-    top = most_frequent(words, "n", hot).select("word", "ids").toPandas()
-    sent = spark.sparkContext.broadcast((pieces, {w: bytes(i) for w, i in zip(top["word"], top["ids"], strict=True)}))
+    top = most_frequent(words, "n", hot).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    known = spark.sparkContext.broadcast(dict(zip(top["word"], range(1, len(top) + 1), strict=True)))
+    sent = spark.sparkContext.broadcast((pieces, Ranked([bytes(x) for x in top["ids"]], pieces.number)))
 
-    @F.pandas_udf("struct<n_chars:long,n_words:long,sha:binary,ids:binary,words:array<string>>")
-    def begin(texts: pd.Series) -> pd.DataFrame:
-        table, known = sent.value
-        gap = np.array([table.gap], table.number).tobytes()
+    @F.pandas_udf("array<binary>")
+    def begin(texts: pd.Series, doc_id: pd.Series) -> pd.Series:
+        table = known.value
         out = []
-        for text in texts:
+        for text, i in zip(texts, doc_id, strict=True):
             text = text if isinstance(text, str) else ""
             found = chunks(text)
-            ids = b"".join(map(known.get, found, repeat(gap)))
-            out.append((len(text), len(found), sha_of(text), ids, [w for w in found if w not in known]))
-        return pd.DataFrame(out, columns=["n_chars", "n_words", "sha", "ids", "words"])
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
-    rows = stored(rows.select("row", "doc_id", begin("text").alias("_b")).select("row", "doc_id", "_b.*"))
-    rare = rows.select("row", F.posexplode("words").alias("at", "word")).join(words.select("word", F.col("ids").alias("more")), "word")
+            numbers = np.fromiter(map(table.get, found, repeat(0)), np.uint32, len(found))
+            head = [packed(numbers), sha_of(text) + len(text).to_bytes(8, "big"), i.encode() if isinstance(i, str) else None]
+            out.append(head + [w.encode() for w in found if w not in table])
+        return pd.Series(out, dtype=object)
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("string").alias("_id"))
+    rows = rows.select("row", begin("text", "_id").alias("_b")).repartition("row")
+    # The outer form, as Spark would filter the other's input and so shuffle it once more.
+    rare = rows.select("row", F.posexplode_outer(F.slice("_b", F.lit(4), F.size("_b"))).alias("at", "word")).where("word IS NOT NULL")
+    rare = rare.join(words.select(F.col("word").cast("binary").alias("word"), F.col("ids").alias("more")), "word")
     more = F.transform(F.array_sort(F.collect_list(F.struct("at", "more"))), lambda x: x["more"])
-    got = rows.drop("words").join(rare.groupBy("row").agg(more.alias("more")), "row", "left")
+    got = rows.join(rare.groupBy("row").agg(more.alias("more")), "row", "left")
 
-    @F.pandas_udf("struct<ids:array<int>,lossless:boolean>")
-    def finish(ids: pd.Series, more: pd.Series, sha: pd.Series) -> pd.DataFrame:
-        table, _ = sent.value
+    @F.pandas_udf("struct<n_chars:long,n_words:long,ids:array<int>,lossless:boolean>")
+    def finish(raw: pd.Series, head: pd.Series, more: pd.Series) -> pd.DataFrame:
+        table, ranked = sent.value
         out = []
-        for raw, parts, want in zip(ids, more, sha, strict=True):
-            whole = np.frombuffer(raw, table.number)
-            gaps = np.flatnonzero(whole == table.gap)
-            parts = [] if parts is None else list(parts)
-            if len(gaps) != len(parts):
-                raise ValueError(f"{len(gaps)} words without ids, {len(parts)} found")
-            if parts:
-                sizes = np.ones(len(whole), np.int64)
-                sizes[gaps] = [len(x) // table.number.itemsize for x in parts]
-                whole = np.repeat(whole, sizes)
-                whole[whole == table.gap] = np.frombuffer(b"".join(parts), table.number)
-            out.append((whole.astype(np.int32), sha_of(table.decode_text(whole.tolist())) == bytes(want)))
-        return pd.DataFrame(out, columns=["ids", "lossless"])
-
-    got = got.select("doc_id", "n_chars", "n_words", finish("ids", "more", "sha").alias("_f"))
-    return got.select("doc_id", "n_chars", "n_words", "_f.*")
+        for text, known_by, parts in zip(raw, head, more, strict=True):
+            numbers = unpacked(text)
+            ids = ranked.of(numbers, [] if parts is None else list(parts))
+            lossless = sha_of(table.decode_text(ids.tolist())) == bytes(known_by[:32])
+            out.append((int.from_bytes(known_by[32:], "big"), len(numbers), ids.astype(np.int32), lossless))
+        return pd.DataFrame(out, columns=["n_chars", "n_words", "ids", "lossless"])
+
+    part = lambda i: F.get("_b", F.lit(i))
+    doc_id = part(2).cast("string").cast(docs.schema["doc_id"].dataType).alias("doc_id")
+    return got.select(doc_id, finish(part(0), part(1), "more").alias("_f")).select("doc_id", "_f.*")
 
 
 def encode(docs: DataFrame, pieces: Pieces | None = None, kind: str = "bpe", hot: int = HOT) -> DataFrame:
