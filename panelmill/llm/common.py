@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import pick
 
-__all__ = ["Recent", "WORD", "SPACE", "let", "most_frequent", "stored", "text_of", "unit", "words"]
+__all__ = ["Recent", "WORD", "SPACE", "let", "most_frequent", "small_batches", "stored", "text_of", "unit", "words"]
 
 #: A word is a run of anything but these six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +31,17 @@ def stored(df: DataFrame) -> DataFrame:
         conf.set(key, before)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keep this session's batches of rows for Python at ``BATCH``.
+
+    For results that are computed after the call that makes them: unlike ``stored``, such
+    a call cannot put the setting back, as Spark reads it when the result is used.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= int(BATCH):
+        spark.conf.set(key, BATCH)
+
+
 def text_of(c: Column | str = "text") -> Column:
     """The text, with null as empty."""
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))

@@ -45,7 +45,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import most_frequent, stored
+from .common import most_frequent, small_batches, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -73,6 +73,8 @@ class Pieces:
         self.bytes = {int(_BYTE.fullmatch(self.texts[i])[1], 16): i for i in every if model.is_byte(i)}
         self.longest = max(map(len, self.ids))
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.is_byte = np.array([model.is_byte(i) for i in every])
+        self.plain = [t.replace(BLANK, " ") for t in self.texts]
         #: Ids are stored as numbers of this kind.
         self.number = np.dtype(np.uint16 if len(self.texts) < 0xFFFF else np.uint32)
         if any(BLANK in t.lstrip(BLANK) or len(_CHUNK.findall(t.replace(BLANK, " "))) > 1 for t in self.ids):
@@ -117,8 +119,10 @@ class Pieces:
         return "".join(map(str, cuts))
 
     def decode(self, ids) -> str:
-        if self.byte_of.keys().isdisjoint(ids):
-            return "".join([self.texts[i] for i in ids]).replace(BLANK, " ")
+        ids = np.asarray(ids, np.int64)
+        bytewise, ids = self.is_byte[ids].any(), ids.tolist()
+        if not bytewise:
+            return "".join(map(self.plain.__getitem__, ids))
         raw = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.texts[i].encode() for i in ids)
         return raw.decode("utf-8", "replace").replace(BLANK, " ")
 
@@ -317,6 +321,8 @@ def _whole(docs: DataFrame, pieces: Pieces, kind: str, hot: int) -> DataFrame:
     and share one shuffle: its numbers, its hash and length, its doc_id, its other words.
     """
     spark = docs.sparkSession
+    # Both functions below hold a batch of whole texts or ids, when the caller uses the result.
+    small_batches(spark)
     words = stored(encode_words(_counted(docs), pieces, kind))
     # At most ``hot`` words go to the driver and on to the tasks.
     top = most_frequent(words, "n", hot).toPandas().sort_values(["n", "word"], ascending=[False, True])
@@ -332,7 +338,7 @@ def _whole(docs: DataFrame, pieces: Pieces, kind: str, hot: int) -> DataFrame:
             found = chunks(text)
             numbers = np.fromiter(map(table.get, found, repeat(0)), np.uint32, len(found))
             head = [packed(numbers), sha_of(text) + len(text).to_bytes(8, "big"), i.encode() if isinstance(i, str) else None]
-            out.append(head + [w.encode() for w in found if w not in table])
+            out.append(head + [found[k].encode() for k in np.flatnonzero(numbers == 0).tolist()])
         return pd.Series(out, dtype=object)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("string").alias("_id"))
@@ -350,7 +356,7 @@ def _whole(docs: DataFrame, pieces: Pieces, kind: str, hot: int) -> DataFrame:
         for text, known_by, parts in zip(raw, head, more, strict=True):
             numbers = unpacked(text)
             ids = ranked.of(numbers, [] if parts is None else list(parts))
-            lossless = sha_of(table.decode_text(ids.tolist())) == bytes(known_by[:32])
+            lossless = sha_of(table.decode_text(ids)) == bytes(known_by[:32])
             out.append((int.from_bytes(known_by[32:], "big"), len(numbers), ids.astype(np.int32), lossless))
         return pd.DataFrame(out, columns=["n_chars", "n_words", "ids", "lossless"])
 
@@ -370,7 +376,7 @@ def decode(encoded: DataFrame, pieces: Pieces | None = None) -> DataFrame:
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: sent.value.decode_text(x.tolist()), na_action="ignore")
+        return ids.map(lambda x: sent.value.decode_text(x), na_action="ignore")
 
     return encoded.select("doc_id", text("ids").alias("text"))
 
