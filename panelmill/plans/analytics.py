@@ -518,10 +518,10 @@ def reconcile_groups(s):
 )
 def reconcile_series(s):
     """Snapshot rows that differ from the series; mix is held against the latest month."""
-    snapshot = groups.group_snapshot(members(s))
+    snapshot = groups.group_snapshot(members(s), exact=True)
     latest = F.date_format(panel.latest_month(s.kept_facts), "yyyy-MM")
     held = snapshot.withColumn("key", F.when(F.col("key") == "mix", latest).otherwise(F.col("key")))
-    series = groups.group_growth(s.kept_facts, s.bridge)
+    series = groups.group_growth(s.kept_facts, s.bridge, exact=True)
     return quality.snapshot_series_mismatch(held, series).select("classification", "key")
 
 

@@ -339,3 +339,13 @@ def test_stream_batches_replay_and_gate(spark, tmp_path):
     assert rows(again) == rows(got)  # a restart without new input keeps every row
     held = jobs.stream_apply(jobs.read_stream(spark, folder), empty, prepare, keys, "row_hash", ["revenue"], str(tmp_path / "held"), gate=lambda b: False)
     assert held.count() == 0
+
+
+def test_exact_group_figures_do_not_depend_on_row_order(spark):
+    yoys = [70.1751, -76.7656, -36.5082, -65.2413]  # their average lies on the edge of two roundings
+    schema = "classification string, key string, revenue long, yoy double"
+    rows_of = lambda order: spark.createDataFrame([("c", "2001-05", 10, y) for y in order], schema).coalesce(1)
+    figures = lambda order: groups.group_snapshot(rows_of(order), exact=True)
+    assert figures(yoys).collect()[0].simple_yoy == figures(yoys[::-1]).collect()[0].simple_yoy
+    odd = figures([0.1234567, 0.2])  # not six digits: averaged as doubles
+    assert odd.collect()[0].simple_yoy == 0.16
