@@ -349,3 +349,14 @@ def test_exact_group_figures_do_not_depend_on_row_order(spark):
     assert figures(yoys).collect()[0].simple_yoy == figures(yoys[::-1]).collect()[0].simple_yoy
     odd = figures([0.1234567, 0.2])  # not six digits: averaged as doubles
     assert odd.collect()[0].simple_yoy == 0.16
+
+
+def test_window_momentum_needs_no_frame_per_window(spark):
+    from panelmill.operators import panel
+
+    facts = spark.sql("SELECT 1L AS entity, add_months(DATE'2000-01-01', CAST(id AS INT)) AS month, id * id + 7 AS revenue FROM range(60) WHERE id NOT IN (3, 30)")
+    dense = panel.densify(facts)
+    windows = {f"w{n}_{lag}": (n, lag) for n, lag in [(1, 0), (1, 13), (3, 3), (6, 12), (12, 0), (12, 24), (5, 2)]}
+    frames = dense.withColumns({k: panel.period_sum("revenue", *w) for k, w in windows.items()})
+    assert rows(panel.complete_sums(dense, windows), "month", *windows) == rows(frames, "month", *windows)
+    assert "rangeframe" not in panel.window_momentum(facts)._jdf.queryExecution().optimizedPlan().toString().lower()
