@@ -360,3 +360,24 @@ def test_window_momentum_needs_no_frame_per_window(spark):
     frames = dense.withColumns({k: panel.period_sum("revenue", *w) for k, w in windows.items()})
     assert rows(panel.complete_sums(dense, windows), "month", *windows) == rows(frames, "month", *windows)
     assert "rangeframe" not in panel.window_momentum(facts)._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_versions_meet_in_one_shuffle(spark):
+    from panelmill.operators import maintain
+
+    cur = spark.createDataFrame(
+        [(1, 1, "a", 5, False), (1, 2, "b", 6, True), (2, 1, "a", 5, True), (3, 1, "a", 5, True), (None, 4, "n", 1, True), (5, 2, "x", 1, False)],
+        "k int, version int, row_hash string, v int, is_current boolean",
+    )
+    inc = spark.createDataFrame([(1, "a", 5), (2, "z", 5), (3, "q", 9), (None, "n", 1), (None, "m", 2), (4, "f", 3), (5, "y", 2)], "k int, row_hash string, v int")
+    got = maintain.apply_versions(cur, inc, ["k"], "row_hash", ["v"])
+    assert rows(got) == sorted(
+        [
+            (1, 1, "a", 5, True, "reactivate", True), (1, 2, "b", 6, False, "deactivate", False), (2, 1, "a", 5, True, "keep", False),
+            (3, 1, "a", 5, False, "deactivate", False), (3, 2, "q", 9, True, "insert", True), (4, 1, "f", 3, True, "insert", False),
+            (5, 2, "x", 1, False, "keep", False), (5, 3, "y", 2, True, "insert", False),
+            (None, 4, "n", 1, True, "keep", False), (None, 1, "n", 1, True, "insert", False), (None, 1, "m", 2, True, "insert", False),
+        ],
+        key=repr,
+    )
+    assert got.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
