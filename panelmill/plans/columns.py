@@ -316,7 +316,14 @@ def name_keys(s):
 
 @query("folded_notes")
 def folded_notes(s):
-    """Compatibility folding and note clean-up over all documents (no SQL form)."""
+    """Compatibility folding and note clean-up over all documents (no SQL form).
+
+    A worker holds a batch of whole texts, so batches are set to 1,000 rows at
+    most; the session keeps them, as the result is computed when it is used.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(s.spark.conf.get(key)) <= 1000:
+        s.spark.conf.set(key, "1000")
     return s.table("documents").select(
         "doc_id",
         text.ascii_clean("text").alias("ascii"),

@@ -381,3 +381,18 @@ def test_versions_meet_in_one_shuffle(spark):
         key=repr,
     )
     assert got.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_folded_notes_bounds_its_batches(spark):
+    from conftest import SMALL
+
+    from panelmill import plans
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for asked, used in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+            spark.conf.set(key, asked)
+            assert plans.queries()["folded_notes"](spark, SMALL).count() == 200 and spark.conf.get(key) == used
+    finally:
+        spark.conf.set(key, before)
