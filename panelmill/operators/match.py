@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.labels import REPORT_DATE_PRIORITY
 from ..functions.months import in_window
 from ..functions.numbers import percent_close
-from .pick import earliest
+from .pick import earliest, stored
 
 PUBLICATION_DAYS = (0, 45)
 RELEASE_TOLERANCE = 1000
+#: Keys of at most so many distinct observations are matched in one join.
+FEW = 8
 SO_FAR = (W.unboundedPreceding, W.currentRow)
 
 
@@ -52,28 +54,82 @@ def tolerance_match(
     by at most the claim's tolerance, every percent agrees or is unknown on a
     side, and every (column, tolerance) of ``also`` agrees. The best one is
     current first, then the lowest id. Null keys, values and tolerances and
-    negative tolerances match nothing. ``claims`` is read three times; a caller
-    stores it first if it is costly to derive.
-
-    Equal claims and equal observations are reduced to one each before they
-    meet, and a claim is never paired with the observations of its range. Values
-    are cut into blocks of 2^k, the widest that fits a claim's whole range, so
-    that a range is the end of one block, perhaps a whole block, and the start of
-    another. Inside a block both sides are sorted by value, and the best
+    negative tolerances match nothing.
+
+    Equal observations are reduced to one each and stored, gathered by key. A key
+    with at most ``FEW`` of them keeps them in one row, which its claims meet in
+    a join. Keys with more, if there are any, are matched in blocks
+    (``_block_match``), their claims stored first.
+    """
+    keys, percents = list(keys), list(percents)
+    figures = [value, *[c for c, _ in also], *percents]
+    matched = [f"matched_{c}" for c in figures]
+    rank = F.when(F.col("is_current"), 0).when(~F.col("is_current"), 1).otherwise(2)
+    unique = observations.where(F.col(value).isNotNull()).groupBy(*keys, *figures).agg(
+        F.min(F.struct(rank.alias("rank"), "obs_id")).alias("_first")
+    )
+    seen = F.struct("_first.rank", "_first.obs_id", *[F.col(c).alias(m) for c, m in zip(figures, matched, strict=True)])
+    place = F.row_number().over(W.partitionBy(*keys).orderBy("_first", *figures))
+    placed = unique.select(*keys, seen.alias("_one"), place.alias("_place")).where(F.col("_place") <= FEW + 1)
+    many = F.max("_place") > FEW
+    by_key = stored(placed.groupBy(*keys).agg(many.alias("_many"), F.when(~many, F.collect_list("_one")).alias("_seen")))
+
+    same = [F.col(f"c.{k}") == F.col(f"m.{k}") for k in keys]
+    few = by_key.where(~F.col("_many")).drop("_many")
+    claim = lambda c: F.col(f"c.{c}")
+
+    def agrees(o: Column) -> Column:
+        near = o[f"matched_{value}"].between(claim(value) - claim(tolerance), claim(value) + claim(tolerance))
+        tests = [F.abs(claim(c) - o[f"matched_{c}"]) <= t for c, t in also]
+        tests += [percent_close(claim(c), o[f"matched_{c}"]) for c in percents]
+        return reduce(lambda a, b: a & b, tests, near)
+
+    best = F.array_min(F.filter("m._seen", agrees))
+    current = F.when(F.col("_best.rank") < 2, F.col("_best.rank") == 0)
+    found = (
+        claims.alias("c")
+        .join(few.alias("m"), reduce(lambda a, b: a & b, same))
+        .select("c.*", best.alias("_best"))
+        .where(F.col("_best").isNotNull())
+        .select(
+            *claims.columns,
+            F.col("_best.obs_id").alias("obs_id"),
+            current.alias("is_current"),
+            *[F.col(f"_best.{m}").alias(m) for m in matched],
+        )
+    )
+    busy = by_key.where("_many").select(*keys)
+    if busy.isEmpty():
+        return found
+    crowded = stored(claims.join(busy, keys, "left_semi").select(*claims.columns))
+    return found.unionByName(_block_match(crowded, unique.join(busy, keys, "left_semi"), keys, value, tolerance, percents, also))
+
+
+def _block_match(
+    claims: DataFrame,
+    unique: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    tolerance: str,
+    percents: Sequence[str],
+    also: Sequence[tuple[str, int]],
+) -> DataFrame:
+    """Tolerance match of keys with many observations, ``unique`` of ``tolerance_match``.
+
+    Equal claims are reduced to one each before they meet observations, and a claim
+    is never paired with the observations of its range; ``claims`` is read three
+    times. Values are cut into blocks of 2^k, the widest that fits a claim's whole
+    range, so that a range is the end of one block, perhaps a whole block, and the
+    start of another. Inside a block both sides are sorted by value, and the best
     observation so far, from the left or from the right, answers a claim.
     Percents and ``also`` are settled before: a claim meets each distinct set of
     them once a block, however many observations share it.
     """
-    keys, percents = list(keys), list(percents)
     settled = [c for c, _ in also] + percents
     figures = [value, *settled]
     distinct = claims.where(F.col(tolerance) >= 0).select(*keys, *figures, tolerance).distinct()
     distinct = distinct.withColumn("_level", F.length(F.bin(F.col(tolerance) * 2 + 1)) - 1)
 
-    rank = F.when(F.col("is_current"), 0).when(~F.col("is_current"), 1).otherwise(2)
-    unique = observations.where(F.col(value).isNotNull()).groupBy(*keys, *figures).agg(
-        F.min(F.struct(rank.alias("rank"), "obs_id")).alias("_first")
-    )
     levels = distinct.select(*keys, "_level").distinct()
     found = [F.col(value).alias(f"matched_{value}"), *[F.col(f"matched_{c}") for c in settled]]
     seen = (

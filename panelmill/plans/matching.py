@@ -136,8 +136,7 @@ def corroborated_articles(s):
 
 
 def _corroborated(s):
-    """Articles and observations are stored tables in use, and read several times."""
-    return match.corroborate(pick.stored(articles(s)), panel_observations(s))
+    return match.corroborate(articles(s), panel_observations(s))
 
 
 def _described(s):

@@ -253,6 +253,34 @@ def test_tolerance_match_of_one_dense_key(spark):
     assert match.tolerance_match(odd, o, keys=["entity"], percents=["mom"]).count() == 0
 
 
+def test_tolerance_match_of_few_observations_reads_claims_once(spark, tmp_path):
+    rng = random.Random(11)
+    sizes = {1: 1, 2: 2, 3: match.FEW, 4: match.FEW + 1}
+    claims = [(i, rng.randrange(1, 6), rng.randrange(300), rng.choice([0, 20, 90, -1, None]), rng.choice([None, 0.0, 0.1])) for i in range(300)]
+    seen = [(10 * e + k, e, rng.randrange(300), rng.choice([None, False, True]), rng.choice([None, 0.0, 0.1])) for e, n in sizes.items() for k in range(n)]
+    rank = {True: 0, False: 1, None: 2}
+
+    def want(most):
+        best = []
+        for r, e, v, t, p in claims:
+            near = lambda w, q: t is not None and abs(v - w) <= t and (p is None or q is None or abs(p - q) <= 0.06)
+            good = [(rank[c], o, c, w, q) for o, f, w, c, q in seen if f == e and sizes[e] <= most and near(w, q)]
+            if good:
+                best.append((r, *min(good, key=lambda g: g[:2])[1:]))
+        return sorted(best, key=repr)
+
+    folder = str(tmp_path / "claims")
+    spark.createDataFrame(claims, "record_id int, entity int, revenue long, tolerance long, mom double").write.parquet(folder)
+    c = spark.read.parquet(folder)
+    o = spark.createDataFrame(seen, "obs_id int, entity int, revenue long, is_current boolean, mom double")
+    columns = ["record_id", "obs_id", "is_current", "matched_revenue", "matched_mom"]
+    few = match.tolerance_match(c, o.where("entity < 4"), keys=["entity"], percents=["mom"])
+    assert rows(few, *columns) == want(match.FEW)
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Relation [record_id") == 1
+    mixed = match.tolerance_match(c, o, keys=["entity"], percents=["mom"])
+    assert rows(mixed, *columns) == want(match.FEW + 1)
+
+
 def test_retention_of_distinct_months(spark):
     data = [(1, f"{2000 + k % 15}-01-01", k) for k in range(60)] + [(2, "2000-01-01", 1)]
     frame = dated(spark.createDataFrame(data, "entity int, month string, n int"), "month")
